@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rejoinder.operators.skew import (
     ROWS_PER_TASK,
-    SALT,
     SALTS,
     hot_keys,
     join_keys,
@@ -19,7 +19,11 @@ def accepted_keys(
     new: DataFrame, existing: DataFrame, key: str = "key", rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Rows of ``new`` whose key is not there yet, null keys included."""
-    return _compare(new, existing, key, "left_anti", rows_per_task)
+    # Null keys match nothing. They stay out of the join, which would send them
+    # all to one task.
+    null = F.col(f"`{key}`").isNull()
+    unknown = _compare(new.filter(~null), existing, key, "left_anti", rows_per_task)
+    return unknown.unionAll(new.filter(null))
 
 
 def refused_keys(
@@ -35,6 +39,6 @@ def _compare(
     # Copies of an existing key collapse before the shuffle, and the join reuses
     # the partitioning of that aggregation.
     hot = hot_keys(new, key, rows_per_task)
-    known = replicate(existing.select(key).distinct(), key, hot).drop(SALTS)
+    known = replicate(existing.select(f"`{key}`").distinct(), key, hot).drop(SALTS)
     kept = scatter(new, key, hot).join(known, on=join_keys(key, hot), how=how)
-    return kept.drop(SALT).select(*new.columns)
+    return kept.select(*[F.col(f"`{name}`") for name in new.columns])

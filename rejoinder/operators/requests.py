@@ -41,7 +41,6 @@ def check_requests(
     400 where a key is missing, else 404 where a file is, else 200. ``listing``
     has ``bucket, key``. Missing files are named ``bucket/key``, orders first.
     """
-    arrived = listing.select(file_path(F.col("bucket"), F.col("key")).alias("file")).distinct()
     bad = is_bad_request()
     files = manifest.withColumns(
         {
@@ -53,8 +52,8 @@ def check_requests(
     hot = {name: hot_keys(files, name, rows_per_task) for name in ("__orders", "__returns")}
     for name, keys in hot.items():
         files = scatter(files, name, keys, name + SALT)
-    for name, keys in hot.items():
-        files = _mark(files, name, arrived, keys)
+    for name, bucket in (("__orders", orders_bucket), ("__returns", returns_bucket)):
+        files = _mark(files, name, listing.filter(F.col("bucket") == bucket), hot[name])
     missing = F.array_compact(
         F.array(
             F.when(F.col("__orders_arrived").isNull(), F.col("__orders")),
@@ -80,9 +79,10 @@ def _lookup(bad: Column, bucket: str, key: str) -> Column:
     return F.when(bad, nothing).otherwise(file_path(bucket, F.col(key)))
 
 
-def _mark(requests: DataFrame, column: str, arrived: DataFrame, hot: HotKeys) -> DataFrame:
+def _mark(requests: DataFrame, column: str, listing: DataFrame, hot: HotKeys) -> DataFrame:
     salt = column + SALT
-    known = arrived.select(F.col("file").alias(column), F.lit(True).alias(f"{column}_arrived"))
+    arrived = listing.select(file_path(F.col("bucket"), F.col("key")).alias(column)).distinct()
+    known = arrived.withColumn(f"{column}_arrived", F.lit(True))
     known = replicate(known, column, hot, salt).drop(SALTS)
     return requests.join(known, on=join_keys(column, hot, salt), how="left")
 

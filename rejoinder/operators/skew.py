@@ -16,8 +16,9 @@ from pyspark.sql import types as T
 SALT = "__salt"
 SALTS = "__salts"
 
-ROWS_PER_TASK = 1_000_000
+ROWS_PER_TASK = 250_000
 MAX_HOT_KEYS = 1_000
+SALTS_PER_PARTITION = 4
 _TRACKED_KEYS = 10_000
 _MERGE_GROUPS = 256
 
@@ -27,22 +28,32 @@ HotKeys = list[tuple[object, int]]
 def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> HotKeys:
     """The keys with more than ``rows_per_task`` rows, each with its number of salts.
 
-    One pass over the key column. Every task keeps a frequent-items sketch of fixed
-    size, so no keys are shuffled; the sketches are merged in two steps. A sketch
+    Where there are no more rows than that in all, which takes reading that many,
+    there is nothing to look for. Else one pass over the key column: every task
+    keeps a frequent-items sketch of fixed size, so no keys are shuffled, and the
+    sketches are merged in two steps. A sketch
     finds every key above a few ten-thousandths of all rows, and at most
     ``MAX_HOT_KEYS`` come back to the driver. The list only steers where rows go:
     a key it misses is joined like any other.
+
+    More salts than a few per shuffle partition would spread no better, so there
+    their number ends.
     """
+    keys = df.select(F.col(f"`{key}`").alias("k")).filter(F.col("k").isNotNull())
+    if keys.offset(rows_per_task).isEmpty():
+        return []
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = F.least(
+        F.ceil(F.col("count") / rows_per_task), F.lit(SALTS_PER_PARTITION * partitions)
+    )
     found = (
-        df.select(F.col(f"`{key}`").alias("k"))
-        .filter(F.col("k").isNotNull())
-        .groupBy(F.expr(f"pmod(spark_partition_id(), {_MERGE_GROUPS})"))
+        keys.groupBy(F.expr(f"pmod(spark_partition_id(), {_MERGE_GROUPS})"))
         .agg(F.expr(f"approx_top_k_accumulate(k, {_TRACKED_KEYS})").alias("sketch"))
         .groupBy(F.lit("all"))
         .agg(F.expr(f"approx_top_k_combine(sketch, {_TRACKED_KEYS})").alias("sketch"))
         .select(F.expr(f"inline(approx_top_k_estimate(sketch, {MAX_HOT_KEYS}))"))
         .filter(F.col("count") > rows_per_task)
-        .select("item", F.ceil(F.col("count") / rows_per_task).cast("int").alias("salts"))
+        .select("item", salts.cast("int").alias("salts"))
     )
     return [(row.item, row.salts) for row in found.collect()]
 

@@ -231,20 +231,23 @@ def result_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shape.result_shape(joined(spark, sf_dir))
 
 
-@_register(
-    """SELECT o_orderpriority AS priority, count(*) AS n_rows, 1 AS n_parts
-FROM orders GROUP BY o_orderpriority"""
-)
+@_register("SELECT count(*) AS n_rows, true AS has_parts, 0 AS unlisted FROM orders")
 def result_part_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Part files of a dataset with one file per priority, found by listing."""
+    """Part files found by listing against those the rows come from."""
     path = scratch_dir(spark, "parts")
-    source = table(spark, sf_dir, "orders")
-    write_parquet(source.repartition("o_orderpriority"), path, ("o_orderpriority",))
-    folder = F.url_decode(F.regexp_extract("path", "o_orderpriority=([^/]+)/", 1))
-    parts = shape.with_suffix(list_files(spark, path), key="path").groupBy(folder.alias("priority"))
-    stored = read_result(spark, "parquet", path=path, recursive=False)
-    rows = stored.groupBy(F.col("o_orderpriority").alias("priority")).agg(F.count("*").alias("n_rows"))
-    return rows.join(parts.agg(F.count("*").cast("int").alias("n_parts")), "priority")
+    write_parquet(orders(spark, sf_dir), path)
+    listed = shape.with_suffix(list_files(spark, path), key="path").select(_file_name("path"))
+    rows = read_result(spark, "parquet", path=path)
+    per_part = rows.groupBy(_file_name("_metadata.file_path")).agg(F.count("*").alias("n"))
+    return per_part.join(listed.withColumn("listed", F.lit(True)), "file", "left").agg(
+        F.sum("n").alias("n_rows"),
+        (F.count("*") > 0).alias("has_parts"),
+        F.count_if(F.col("listed").isNull()).cast("int").alias("unlisted"),
+    )
+
+
+def _file_name(path: str) -> Column:
+    return F.substring_index(path, "/", -1).alias("file")
 
 
 # --- gates and keys --------------------------------------------------------

@@ -1,0 +1,152 @@
+"""The left join, its filter and stamp, and how frequent keys are spread."""
+
+from __future__ import annotations
+
+from collections import Counter
+from datetime import datetime, timezone
+
+import pytest
+
+from rejoinder.operators import skew
+from rejoinder.operators.enrich import drop_null_keys, enrich, join_returns, stamp
+from rejoinder.operators.gates import InputError, gate_report
+from rejoinder.operators.landing import accepted_keys, refused_keys
+from tests.conftest import rows
+
+
+def frames(spark, orders, returns):
+    return (
+        spark.createDataFrame(orders, "`Order ID` string, c string"),
+        spark.createDataFrame(returns, "`Order ID` string, r string"),
+    )
+
+
+def brute_force(orders, returns):
+    out = []
+    for key, c in orders:
+        found = [r for k, r in returns if k is not None and k == key]
+        out += [(key, c, r) for r in found] or [(key, c, None)]
+    return sorted([r for r in out if r[0] is not None], key=str)
+
+
+def test_semantics(spark):
+    orders = [("1", "a"), ("1", "b"), ("2", "c"), (None, "d"), ("   ", "e"), ("NA", "f"), ("null", "g")]
+    returns = [("1", "x"), ("1", "y"), (None, "z"), ("9", "orphan"), ("NA", "w")]
+    left, right = frames(spark, orders, returns)
+    joined = join_returns(left, right)
+    assert joined.columns == ["Order ID", "c", "r"]
+    assert (None, "d", None) in rows(joined)
+    assert sorted(map(tuple, drop_null_keys(joined).collect()), key=str) == brute_force(orders, returns)
+
+
+def test_key_comes_first(spark):
+    left = spark.createDataFrame([("a", "1")], "c string, `Order ID` string")
+    right = spark.createDataFrame([("x", "1"), ("y", "1")], "r string, `Order ID` string")
+    assert join_returns(left, right).columns == ["Order ID", "c", "r"]
+    assert join_returns(left, right, rows_per_task=1).columns == ["Order ID", "c", "r"]
+
+
+def test_clash_is_refused(spark):
+    left, right = frames(spark, [("1", "a")], [("1", "b")])
+    with pytest.raises(InputError, match="'C'"):
+        join_returns(left, right.withColumnRenamed("r", "C"))
+
+
+def test_stamp_is_one_value(spark):
+    at = datetime(2024, 1, 2, 3, 4, 5, 6, tzinfo=timezone.utc)
+    df = stamp(spark.range(100).repartition(4), at)
+    assert df.columns[-1] == "UpdatedOn" and dict(df.dtypes)["UpdatedOn"] == "timestamp"
+    assert [r[0] for r in df.selectExpr("cast(UpdatedOn as string)").distinct().collect()] == [
+        "2024-01-02 03:04:05.000006"
+    ]
+    assert stamp(spark.range(3)).select("UpdatedOn").distinct().count() == 1
+
+
+SKEWED_RETURNS = [("hot", f"h{i}") for i in range(200)] + [("hot", "copy")] * 200 + [
+    ("warm", f"w{i}") for i in range(60)
+] + [(str(i), f"r{i}") for i in range(0, 300, 2)] + [(None, "n")] * 300 + [("orphan", "o")] * 100
+SKEWED_ORDERS = [("hot", "a"), ("hot", "b"), ("warm", "c"), (None, "d")] + [(str(i), f"c{i}") for i in range(300)]
+
+
+@pytest.mark.parametrize("rows_per_task", [1, 10, 50, 1_000_000])
+def test_frequent_keys_give_the_same_rows(spark, rows_per_task):
+    left, right = frames(spark, SKEWED_ORDERS, SKEWED_RETURNS)
+    joined = enrich(left.repartition(3), right.repartition(5), rows_per_task=rows_per_task)
+    assert joined.columns == ["Order ID", "c", "r", "UpdatedOn"]
+    found = Counter(tuple(r)[:3] for r in joined.collect())
+    assert found == Counter(brute_force(SKEWED_ORDERS, SKEWED_RETURNS))
+
+
+def test_hot_keys(spark):
+    _, right = frames(spark, [("1", "a")], SKEWED_RETURNS)
+    found = dict(skew.hot_keys(right.repartition(6), "Order ID", 50))
+    assert found == {"hot": 8, "warm": 2, "orphan": 2}
+    assert skew.hot_keys(right, "Order ID", 1_000_000) == []
+    assert skew.hot_keys(right.filter("false"), "Order ID", 0) == []
+    # four salts per shuffle partition are the most
+    assert dict(skew.hot_keys(right, "Order ID", 1))["hot"] == 16
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint", "double", "date", "timestamp", "boolean", "decimal(10,2)"])
+def test_hot_keys_of_any_type(spark, kind):
+    values = {"date": "date_add(date'2024-01-01', cast(id % 2 as int))", "timestamp": "timestamp_seconds(id % 2)"}
+    key = values.get(kind, f"cast(id % 2 as {kind})")
+    right = spark.range(200).selectExpr(f"{key} as `Order ID`", "id as r")
+    left = right.select("Order ID").distinct()
+    assert len(skew.hot_keys(right, "Order ID", 20)) == 2
+    assert join_returns(left, right, rows_per_task=20).count() == 200
+
+
+def test_copies_are_spread(spark):
+    _, right = frames(spark, [("1", "a")], [("hot", "copy")] * 400)
+    hot = skew.hot_keys(right, "Order ID", 50)
+    salts = Counter(r[0] for r in skew.scatter(right, "Order ID", hot).select(skew.SALT).collect())
+    assert len(salts) == 8 and max(salts.values()) <= 60
+
+
+def test_aqe_splits_frequent_orders(spark, capsys):
+    """A key that is frequent among the orders is split by AQE, not by us."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        orders = spark.range(0, 40_000, 1, 8).selectExpr(
+            "if(id % 3 = 0, 'hot', cast(id as string)) as `Order ID`", "id as c"
+        )
+        returns = spark.createDataFrame([("hot", "x"), ("1", "y")], "`Order ID` string, r string")
+        joined = join_returns(orders, returns)
+        matched = [r for r in joined.collect() if r.r]
+        assert len(matched) == 13_335
+        joined.explain()  # final, since the frame was collected
+        assert "SortMergeJoin(skew=true)" in capsys.readouterr().out
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("rows_per_task", [5, 1_000_000])
+def test_landing_keys(spark, rows_per_task):
+    new = spark.createDataFrame(
+        [("a", i) for i in range(40)] + [("b", 1), (None, 2)] + [("c", i) for i in range(30)], "key string, n int"
+    ).repartition(3)
+    existing = spark.createDataFrame([("a",)] * 20 + [("z",), (None,)], "key string")
+    accepted, refused = (f(new, existing, rows_per_task=rows_per_task) for f in (accepted_keys, refused_keys))
+    assert accepted.columns == refused.columns == ["key", "n"]
+    assert Counter(r.key for r in accepted.collect()) == {"b": 1, None: 1, "c": 30}
+    assert Counter(r.key for r in refused.collect()) == {"a": 40}
+
+
+def test_gate_report(spark):
+    left, _ = frames(spark, [("1", "a")], [("1", "b")])
+    report = gate_report({"full": left, "none": left.filter("false"), "bad": left.withColumnRenamed("c", "order id").drop("Order ID")})
+    assert {tuple(r) for r in report.collect()} == {
+        ("full", False, ""), ("none", True, ""), ("bad", False, "Order ID"),
+    }

@@ -1,0 +1,94 @@
+"""Sinks and read-back."""
+
+from __future__ import annotations
+
+import pytest
+
+from rejoinder.session import scratch_dir
+from rejoinder.sinks import tables
+from rejoinder.sources.results import list_files, read_jdbc_result, read_parquet_result, read_result
+from tests.conftest import rows
+
+DRIVER = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+URL = "jdbc:derby:memory:results;create=true"
+
+
+def test_all_parts_are_read(spark, tmp_path):
+    path = str(tmp_path / "r")
+    tables.write_parquet(spark.range(0, 1000, 1, 5), path)
+    assert list_files(spark, path, "*.parquet").count() == 5
+    assert read_parquet_result(spark, path).count() == 1000
+    assert read_parquet_result(spark, path, last_part_only=True).count() == 200
+
+
+def test_partitioned_result(spark, tmp_path):
+    path = str(tmp_path / "r")
+    df = spark.range(100).selectExpr("id", "id % 2 as g")
+    tables.write_parquet(df, path, partition_by=("g",), max_records_per_file=10)
+    assert read_parquet_result(spark, path).columns == ["id"]
+    back = read_parquet_result(spark, path, recursive=False)
+    assert back.columns == ["id", "g"] and back.count() == 100
+    assert list_files(spark, path, "*.parquet").count() >= 10
+
+
+def test_no_result_warns(spark, tmp_path):
+    with pytest.warns(UserWarning, match="No data found"):
+        assert read_result(spark, "parquet", path=str(tmp_path / "nothing")) is None
+    (tmp_path / "empty").mkdir()
+    with pytest.warns(UserWarning, match="No data found"):
+        assert read_result(spark, "parquet", path=str(tmp_path / "empty")) is None
+    with pytest.raises(ValueError, match="source"):
+        read_result(spark, "paper")
+
+
+def test_table_is_replaced_with_the_new_schema(spark):
+    df = spark.range(50).selectExpr("id as `Order ID`", "cast(id as string) as v")
+    tables.write_jdbc(df, URL, "replaced", num_partitions=2, **DRIVER)
+    tables.write_jdbc(df.withColumnRenamed("v", "w").limit(7), URL, "replaced", **DRIVER)
+    back = read_result(spark, "jdbc", url=URL, table="replaced", **DRIVER)
+    assert back.columns == ["Order ID", "w"] and back.count() == 7
+
+
+def test_table_is_read_in_parts(spark):
+    df = spark.range(100).selectExpr("id as `Order ID`", "id % 3 as g")
+    tables.write_jdbc(df, URL, "parts", attempts=2, **DRIVER)
+    by_range = read_jdbc_result(
+        spark, URL, "parts", partition_column="Order ID", bounds=(0, 99), num_partitions=4, **DRIVER
+    )
+    clauses = [f'MOD("Order ID", 5) = {i}' for i in range(5)]
+    by_clause = read_jdbc_result(spark, URL, "parts", predicates=clauses, **DRIVER)
+    assert by_range.rdd.getNumPartitions() == 4 and by_clause.rdd.getNumPartitions() == 5
+    assert rows(by_range) == rows(by_clause) == rows(df)
+
+
+def test_incomplete_table_is_written_again(spark, monkeypatch):
+    counts = iter([99, 101, 100])
+    monkeypatch.setattr(tables, "count_table", lambda *a, **k: next(counts))
+    df = spark.range(100)
+    tables.write_jdbc(df, URL, "again", attempts=3, **DRIVER)
+    assert next(counts, None) is None
+    monkeypatch.setattr(tables, "count_table", lambda *a, **k: 99)
+    with pytest.raises(tables.IncompleteWriteError, match="99 rows instead of 100"):
+        tables.write_jdbc(df, URL, "again", attempts=2, **DRIVER)
+
+
+def test_scratch_is_shared_and_new(spark):
+    first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+    assert first != second
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    assert base is None or first.startswith(base)
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    class Remote:
+        class sparkContext:
+            master = "spark://somewhere:7077"
+            applicationId = "app"
+
+        class conf:
+            @staticmethod
+            def get(name, default):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Remote, "x")
