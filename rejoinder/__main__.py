@@ -1,6 +1,6 @@
 """spark-submit entry: one batch.
 
-    spark-submit rejoinder/__main__.py --JOB_NAME nightly \\
+    spark-submit job.py --JOB_NAME nightly \\
         --orders_s3_key 20230801_101500_orders.csv \\
         --returns_s3_key 20230801_101502_returns.csv \\
         --base_orders s3a://orders --base_returns s3a://returns \\

@@ -9,7 +9,7 @@ them, and the join takes the salt as a second key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,10 +42,8 @@ def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> Hot
     keys = df.select(F.col(f"`{key}`").alias("k")).filter(F.col("k").isNotNull())
     if keys.offset(rows_per_task).isEmpty():
         return []
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salts = F.least(
-        F.ceil(F.col("count") / rows_per_task), F.lit(SALTS_PER_PARTITION * partitions)
-    )
+    most = SALTS_PER_PARTITION * _shuffle_partitions(df.sparkSession)
+    salts = F.least(F.ceil(F.col("count") / rows_per_task), F.lit(most))
     found = (
         keys.groupBy(F.expr(f"pmod(spark_partition_id(), {_MERGE_GROUPS})"))
         .agg(F.expr(f"approx_top_k_accumulate(k, {_TRACKED_KEYS})").alias("sketch"))
@@ -58,6 +56,11 @@ def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> Hot
     return [(row.item, row.salts) for row in found.collect()]
 
 
+def _shuffle_partitions(spark: SparkSession) -> int:
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    return int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", usual))
+
+
 def scatter(df: DataFrame, key: str, hot: HotKeys, salt: str = SALT) -> DataFrame:
     """Add ``salt``: rows of a hot key go round its salts, all others get 0.
 

@@ -55,7 +55,8 @@ def run_batch(
 
     ``jdbc`` holds the arguments of ``write_jdbc`` (``url``, ``table``, ...) and
     may be left out. The table is fed from the written dataset: the join runs once
-    and both sinks hold the same rows and the same time.
+    and both sinks hold the same rows and the same time. The rows of the table are
+    counted, and it is written again where they are not all there once.
     """
     for path in (orders_path, returns_path):
         if overlaps(output_path, path):
@@ -78,7 +79,7 @@ def run_batch(
     if jdbc:
         result.jdbc_table = str(jdbc["table"])
         try:
-            write_jdbc(spark.read.parquet(output_path), **jdbc)
+            write_jdbc(spark.read.parquet(output_path), **{"attempts": 3, **jdbc})
             log.info("replaced table %s", result.jdbc_table)
         except Exception as error:  # any driver may fail in its own way
             log.error("table %s was not replaced: %s", result.jdbc_table, error)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,11 @@ def input_path(base: str, key: str) -> str:
     return f"{base.rstrip('/')}/{key}"
 
 
+def literal_path(path: str) -> str:
+    """A listed path as a path to read, its wildcard characters taken literally."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 def with_input_paths(manifest: DataFrame, base_orders: str, base_returns: str) -> DataFrame:
     """Add ``orders_path`` and ``returns_path`` to rows holding the two keys."""
     return manifest.withColumns(

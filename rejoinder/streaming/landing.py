@@ -16,6 +16,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from rejoinder.functions.fixed import DATE_FORMAT
 from rejoinder.functions.keys import landing_key
 from rejoinder.sources.csv import cast_columns, scan_csv_by_header
+from rejoinder.sources.paths import literal_path
 
 LANDING_KEY = "landing_key"
 
@@ -91,7 +92,7 @@ def land_files(
     )
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        paths = [row.path for row in batch.collect()]  # at most max_files names
+        paths = [literal_path(row.path) for row in batch.collect()]  # at most max_files
         if not paths:
             return
         rows = scan_csv_by_header(batch.sparkSession, paths, types, date_format)

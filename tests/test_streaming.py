@@ -44,7 +44,7 @@ def test_files_land_by_name(spark, write_csv, tmp_path):
         return spark.read.option("mergeSchema", True).parquet(str(tmp_path / "out"))
 
     write_csv("in/a.csv", "Order ID,x\n1,a\n")
-    write_csv("in/b c.csv", "x,Order ID\nb,2\n")
+    write_csv("in/b [c].csv", "x,Order ID\nb,2\n")
     write_csv("in/zero.csv", "")
     write_csv("in/notes.txt", "not,a,table\n")
     assert rows(run(), "Order ID", "x") == [("1", "a"), ("2", "b")]
