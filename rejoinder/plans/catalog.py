@@ -78,8 +78,13 @@ def null_key_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register(joined_sql(extra=", TIMESTAMP '2024-01-31 12:30:15.25' AS \"UpdatedOn\""))
 def updated_on_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stamped = joins.stamp(joined(spark, sf_dir), RUN_TIME)
-    return stamped.withColumn(STAMP, F.col(STAMP).cast("timestamp_ntz"))
+    return joins.stamp(joined(spark, sf_dir), RUN_TIME).withColumn(STAMP, _utc(STAMP))
+
+
+def _utc(column: str) -> Column:
+    """A time as its UTC reading, whatever the zone of the session."""
+    local = F.col(column).cast("timestamp_ntz")
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), local)
 
 
 @_register(
@@ -223,7 +228,7 @@ def csv_batch_to_result(spark: SparkSession, sf_dir: str) -> DataFrame:
         at=RUN_TIME,
     )
     stored = read_result(spark, "parquet", path=result.output_path)
-    return stored.withColumn(STAMP, F.col(STAMP).cast("timestamp_ntz"))
+    return stored.withColumn(STAMP, _utc(STAMP))
 
 
 @_register(f"SELECT count(*) AS n_rows, 5 AS n_cols FROM ({joined_sql()})")

@@ -11,12 +11,16 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 # Settings a job of this package relies on. AQE coalesces small shuffle
 # partitions, splits a skewed left side of the join and turns a sort-merge join
-# into a broadcast join once the measured size of the returns allows it.
+# into a broadcast join once the measured size of the returns allows it. The
+# checksums make Spark run a stage again as a whole where a repeated task sent
+# other rows than before, which no mixture of old and new rows survives.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.shuffle.orderIndependentChecksum.enabled": "true",
+    "spark.sql.shuffle.orderIndependentChecksum.enableFullRetryOnMismatch": "true",
     "spark.ui.enabled": "false",
 }
 

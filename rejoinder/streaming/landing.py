@@ -30,6 +30,21 @@ _FILES = T.StructType(
 )
 
 
+def file_names(
+    spark: SparkSession, folder: str, pattern: str = "*.csv", max_files: int = 10_000
+) -> DataFrame:
+    """A stream of the ``path`` of new files. The content column is not selected,
+    so no file is opened."""
+    return (
+        spark.readStream.format("binaryFile")
+        .schema(_FILES)
+        .option("pathGlobFilter", pattern)
+        .option("maxFilesPerTrigger", max_files)
+        .load(folder)
+        .select("path")
+    )
+
+
 def land_rows(
     spark: SparkSession,
     arrivals: str,
@@ -82,15 +97,6 @@ def land_files(
     read by name and replaces its own ``batch_id=`` folder below ``target``, so a
     batch that is run again leaves no copies.
     """
-    files = (
-        spark.readStream.format("binaryFile")
-        .schema(_FILES)
-        .option("pathGlobFilter", pattern)
-        .option("maxFilesPerTrigger", max_files)
-        .load(arrivals)
-        .select("path")
-    )
-
     def land(batch: DataFrame, batch_id: int) -> None:
         paths = [literal_path(row.path) for row in batch.collect()]  # at most max_files
         if not paths:
@@ -100,7 +106,8 @@ def land_files(
             rows.write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch_id={batch_id}")
 
     return (
-        files.writeStream.foreachBatch(land)
+        file_names(spark, arrivals, pattern, max_files)
+        .writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -6,6 +6,8 @@ from collections import Counter
 from datetime import datetime, timezone
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from rejoinder.operators import skew
 from rejoinder.operators.enrich import drop_null_keys, enrich, join_returns, stamp
@@ -77,6 +79,21 @@ def test_frequent_keys_give_the_same_rows(spark, rows_per_task):
     assert found == Counter(brute_force(SKEWED_ORDERS, SKEWED_RETURNS))
 
 
+_key = st.sampled_from(["a", "b", "c", "", " ", None])
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    orders=st.lists(st.tuples(_key, st.sampled_from("xyz")), min_size=1, max_size=12),
+    returns=st.lists(st.tuples(_key, st.sampled_from("uvw")), min_size=1, max_size=25),
+    rows_per_task=st.integers(1, 4),
+)
+def test_any_input_joins_as_by_hand(spark, orders, returns, rows_per_task):
+    left, right = frames(spark, orders, returns)
+    joined = drop_null_keys(join_returns(left, right.repartition(2), rows_per_task=rows_per_task))
+    assert Counter(map(tuple, joined.collect())) == Counter(brute_force(orders, returns))
+
+
 def test_hot_keys(spark):
     _, right = frames(spark, [("1", "a")], SKEWED_RETURNS)
     found = dict(skew.hot_keys(right.repartition(6), "Order ID", 50))

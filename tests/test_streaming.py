@@ -7,6 +7,7 @@ from datetime import date
 import pytest
 
 from rejoinder.streaming.landing import LANDING_KEY, land_files, land_rows
+from rejoinder.streaming.trigger import newest_file, run_on_arrival
 from tests.conftest import rows
 
 
@@ -62,3 +63,29 @@ def test_repeated_batch_leaves_no_copies(spark, write_csv, tmp_path):
             spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / checkpoint)
         ).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def test_arrivals_start_a_batch(spark, write_csv, tmp_path):
+    folders = [str(tmp_path / "orders"), str(tmp_path / "returns")]
+    for folder in ("orders", "returns"):
+        (tmp_path / folder).mkdir()
+    out = tmp_path / "out"
+
+    def run():
+        run_on_arrival(spark, *folders, str(out), str(tmp_path / "cp")).awaitTermination()
+        return rows(spark.read.parquet(str(out)), "Order ID", "r") if out.exists() else None
+
+    assert newest_file(spark, folders[0]) is None and newest_file(spark, str(tmp_path / "no")) is None
+    write_csv("orders/20240101_000000_o.csv", "Order ID,c\n1,a\n")
+    assert run() is None  # no returns yet
+    write_csv("returns/20240101_000001_r.csv", "Order ID,r\n1,x\n")
+    assert run() == [("1", "x")]
+    written = sorted(p.name for p in out.glob("part-*"))
+    run()  # nothing new, nothing written
+    assert sorted(p.name for p in out.glob("part-*")) == written
+    write_csv("orders/20240102_000000_o.csv", "Order ID,c\n1,a\n2,b\n")
+    assert run() == [("1", "x"), ("2", None)]
+    write_csv("returns/20240103_000000_r.csv", "order id,r\n2,y\n")
+    assert run() == [("1", "x"), ("2", None)]  # refused, the old result stays
+    write_csv("returns/20240104_000000_r [2].csv", "Order ID,r\n2,z\n")
+    assert run() == [("1", None), ("2", "z")]
