@@ -22,6 +22,10 @@ SALTS_PER_PARTITION = 4
 _TRACKED_KEYS = 10_000
 _MERGE_GROUPS = 256
 
+# Key types that reach the driver and come back unchanged; text does as bytes. A key
+# of another type, such as a float, is not looked for.
+_EXACT = (T.StringType, T.IntegralType, T.DateType, T.DecimalType)
+
 HotKeys = list[tuple[object, int]]
 
 
@@ -39,6 +43,9 @@ def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> Hot
     More salts than a few per shuffle partition would spread no better, so there
     their number ends.
     """
+    kind = df.schema[key].dataType
+    if not isinstance(kind, _EXACT):
+        return []
     keys = df.select(F.col(f"`{key}`").alias("k")).filter(F.col("k").isNotNull())
     if keys.offset(rows_per_task).isEmpty():
         return []
@@ -51,11 +58,15 @@ def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> Hot
         .agg(F.expr(f"approx_top_k_combine(sketch, {_TRACKED_KEYS})").alias("sketch"))
         .select(F.expr(f"inline(approx_top_k_estimate(sketch, {MAX_HOT_KEYS}))"))
         .filter(F.col("count") > rows_per_task)
-        .select("item", salts.cast("int").alias("salts"))
+        .select(F.col("item").cast(_carrier(kind)).alias("item"), salts.cast("int").alias("salts"))
     )
     return [(row.item, row.salts) for row in found.collect()]
 
 
+def _carrier(kind: T.DataType) -> T.DataType:
+    return T.BinaryType() if isinstance(kind, T.StringType) else kind
+
+
 def _shuffle_partitions(spark: SparkSession) -> int:
     usual = spark.conf.get("spark.sql.shuffle.partitions")
     return int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", usual))
@@ -89,10 +100,12 @@ def join_keys(key: str, hot: HotKeys, salt: str = SALT) -> list[str]:
 
 def _with_salts(df: DataFrame, key: str, hot: HotKeys) -> DataFrame:
     # At most MAX_HOT_KEYS rows, so the broadcast cannot grow with the data.
+    kind = df.schema[key].dataType
     schema = T.StructType(
-        [T.StructField(key, df.schema[key].dataType), T.StructField("__found", T.IntegerType())]
+        [T.StructField(key, _carrier(kind)), T.StructField("__found", T.IntegerType())]
     )
-    salts = F.broadcast(df.sparkSession.createDataFrame(hot, schema))
+    known = df.sparkSession.createDataFrame(hot, schema)
+    salts = F.broadcast(known.withColumn(key, F.col(f"`{key}`").cast(kind)))
     return (
         df.join(salts, key, "left")
         .withColumn(SALTS, F.coalesce("__found", F.lit(1)))
