@@ -23,7 +23,7 @@ EXITED = "✅ Exited: "
 FAILED_STEP = "❌ Failed: "
 
 # Messages and subjects of the run notices.
-SUCCESS_MESSAGE = "✅ Glue job succeeded! Orders File: %s, Returns File: %s"
+SUCCESS_MESSAGE = "✅ Glue job succeeded! Orders File: {}, Returns File: {}"
 SUCCESS_SUBJECT = "Glue Job Success Notification"
 FAILURE_MESSAGE = "❌ ETL pipeline failed during Glue job execution."
 FAILURE_SUBJECT = "Glue Job Failure Notification"

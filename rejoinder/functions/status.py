@@ -32,6 +32,14 @@ def notice_subject(state: Column) -> Column:
 
 def notice_message(state: Column, orders_key: Column, returns_key: Column) -> Column:
     """Text of the notice a state check sends; null while waiting."""
-    return F.when(
-        state == fixed.SUCCEEDED, F.format_string(fixed.SUCCESS_MESSAGE, orders_key, returns_key)
-    ).when(state == fixed.FAILED, fixed.FAILURE_MESSAGE)
+    start, between, end = fixed.SUCCESS_MESSAGE.split("{}")
+    success = F.concat(
+        F.lit(start),
+        F.coalesce(orders_key, F.lit("null")),
+        F.lit(between),
+        F.coalesce(returns_key, F.lit("null")),
+        F.lit(end),
+    )
+    return F.when(state == fixed.SUCCEEDED, success).when(
+        state == fixed.FAILED, fixed.FAILURE_MESSAGE
+    )

@@ -9,6 +9,7 @@ from rejoinder.operators.skew import (
     ROWS_PER_TASK,
     SALTS,
     hot_keys,
+    is_broadcast,
     join_keys,
     replicate,
     scatter,
@@ -38,7 +39,10 @@ def _compare(
 ) -> DataFrame:
     # Copies of an existing key collapse before the shuffle, and the join reuses
     # the partitioning of that aggregation.
-    hot = hot_keys(new, key, rows_per_task)
-    known = replicate(existing.select(f"`{key}`").distinct(), key, hot).drop(SALTS)
-    kept = scatter(new, key, hot).join(known, on=join_keys(key, hot), how=how)
-    return kept.select(*[F.col(f"`{name}`") for name in new.columns])
+    known = existing.select(f"`{key}`").distinct()
+    plain = new.join(known, on=key, how=how)
+    hot = [] if is_broadcast(plain) else hot_keys(new, key, rows_per_task)
+    if hot:
+        known = replicate(known, key, hot).drop(SALTS)
+        plain = scatter(new, key, hot).join(known, on=join_keys(key, hot), how=how)
+    return plain.select(*[F.col(f"`{name}`") for name in new.columns])

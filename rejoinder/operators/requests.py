@@ -16,6 +16,7 @@ from rejoinder.operators.skew import (
     SALTS,
     HotKeys,
     hot_keys,
+    is_broadcast,
     join_keys,
     replicate,
     scatter,
@@ -48,12 +49,17 @@ def check_requests(
             "__returns": _lookup(bad, returns_bucket, "returns_key"),
         }
     )
+    arrived = {
+        "__orders": _arrived(listing, orders_bucket, "__orders"),
+        "__returns": _arrived(listing, returns_bucket, "__returns"),
+    }
     # Both salts are set before the first join shuffles the rows.
-    hot = {name: hot_keys(files, name, rows_per_task) for name in ("__orders", "__returns")}
-    for name, keys in hot.items():
-        files = scatter(files, name, keys, name + SALT)
-    for name, bucket in (("__orders", orders_bucket), ("__returns", returns_bucket)):
-        files = _mark(files, name, listing.filter(F.col("bucket") == bucket), hot[name])
+    hot = {name: _hot(files, known, name, rows_per_task) for name, known in arrived.items()}
+    for name in arrived:
+        files = scatter(files, name, hot[name], name + SALT)
+    for name, known in arrived.items():
+        known = replicate(known, name, hot[name], name + SALT).drop(SALTS)
+        files = files.join(known, on=join_keys(name, hot[name], name + SALT), how="left")
     missing = F.array_compact(
         F.array(
             F.when(F.col("__orders_arrived").isNull(), F.col("__orders")),
@@ -79,12 +85,16 @@ def _lookup(bad: Column, bucket: str, key: str) -> Column:
     return F.when(bad, nothing).otherwise(file_path(bucket, F.col(key)))
 
 
-def _mark(requests: DataFrame, column: str, listing: DataFrame, hot: HotKeys) -> DataFrame:
-    salt = column + SALT
-    arrived = listing.select(file_path(F.col("bucket"), F.col("key")).alias(column)).distinct()
-    known = arrived.withColumn(f"{column}_arrived", F.lit(True))
-    known = replicate(known, column, hot, salt).drop(SALTS)
-    return requests.join(known, on=join_keys(column, hot, salt), how="left")
+def _arrived(listing: DataFrame, bucket: str, column: str) -> DataFrame:
+    there = listing.filter(F.col("bucket") == bucket)
+    names = there.select(file_path(F.col("bucket"), F.col("key")).alias(column)).distinct()
+    return names.withColumn(f"{column}_arrived", F.lit(True))
+
+
+def _hot(requests: DataFrame, known: DataFrame, column: str, rows_per_task: int) -> HotKeys:
+    if is_broadcast(requests.join(known, on=column, how="left")):
+        return []
+    return hot_keys(requests, column, rows_per_task)
 
 
 def encode_outcome(

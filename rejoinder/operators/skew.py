@@ -1,14 +1,18 @@
 """Spreading the rows of very frequent keys over many tasks.
 
-AQE splits a skewed left side of a left, semi or anti join at run time, but never
-the right side of a left join, and nothing behind an aggregation. For those, the
-frequent keys are found first: ``scatter`` then sends each row of such a key to
-one of several salts, ``replicate`` copies the rows of the other side to all of
-them, and the join takes the salt as a second key.
+Nothing has to be spread where Catalyst broadcasts the right side. Else AQE splits
+a skewed left side of a left, semi or anti join at run time, but never the right
+side of a left join, and nothing behind an aggregation. For those, the frequent
+keys are found first: ``scatter`` then sends each row of such a key to one of
+several salts, ``replicate`` copies the rows of the other side to all of them, and
+the join takes the salt as a second key.
 """
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,13 +33,19 @@ _EXACT = (T.StringType, T.IntegralType, T.DateType, T.DecimalType)
 HotKeys = list[tuple[object, int]]
 
 
+def is_broadcast(joined: DataFrame) -> bool:
+    """Whether the outermost join of ``joined`` is planned as a broadcast join, as
+    it is if Catalyst estimates the right side below the broadcast threshold."""
+    plan = joined.sparkSession.sql("EXPLAIN SELECT * FROM {joined}", joined=joined).first()[0]
+    outermost = re.search(r"\b\w+Join\b", plan)
+    return outermost is not None and outermost.group() == "BroadcastHashJoin"
+
+
 def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> HotKeys:
     """The keys with more than ``rows_per_task`` rows, each with its number of salts.
 
-    Where there are no more rows than that in all, which takes reading that many,
-    there is nothing to look for. Else one pass over the key column: every task
-    keeps a frequent-items sketch of fixed size, so no keys are shuffled, and the
-    sketches are merged in two steps. A sketch
+    One pass over the key column: every task keeps a frequent-items sketch of fixed
+    size, so no keys are shuffled; the sketches are merged in two steps. A sketch
     finds every key above a few ten-thousandths of all rows, and at most
     ``MAX_HOT_KEYS`` come back to the driver. The list only steers where rows go:
     a key it misses is joined like any other.
@@ -47,8 +57,6 @@ def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> Hot
     if not isinstance(kind, _EXACT):
         return []
     keys = df.select(F.col(f"`{key}`").alias("k")).filter(F.col("k").isNotNull())
-    if keys.offset(rows_per_task).isEmpty():
-        return []
     most = SALTS_PER_PARTITION * _shuffle_partitions(df.sparkSession)
     salts = F.least(F.ceil(F.col("count") / rows_per_task), F.lit(most))
     found = (
@@ -100,12 +108,11 @@ def join_keys(key: str, hot: HotKeys, salt: str = SALT) -> list[str]:
 
 def _with_salts(df: DataFrame, key: str, hot: HotKeys) -> DataFrame:
     # At most MAX_HOT_KEYS rows, so the broadcast cannot grow with the data.
-    kind = df.schema[key].dataType
-    schema = T.StructType(
-        [T.StructField(key, _carrier(kind)), T.StructField("__found", T.IntegerType())]
+    values, numbers = zip(*hot)
+    known = df.sparkSession.createDataFrame(
+        pa.table({key: list(values), "__found": pa.array(numbers, pa.int32())})
     )
-    known = df.sparkSession.createDataFrame(hot, schema)
-    salts = F.broadcast(known.withColumn(key, F.col(f"`{key}`").cast(kind)))
+    salts = F.broadcast(known.withColumn(key, F.col(f"`{key}`").cast(df.schema[key].dataType)))
     return (
         df.join(salts, key, "left")
         .withColumn(SALTS, F.coalesce("__found", F.lit(1)))

@@ -17,6 +17,7 @@ from rejoinder.functions import keys
 from rejoinder.functions.fixed import ORDER_KEY, STAMP
 from rejoinder.operators import enrich as joins
 from rejoinder.operators import gates, landing, runs, shape
+from rejoinder.operators.skew import hot_keys
 from rejoinder.plans.batch import run_batch
 from rejoinder.plans.relations import joined_sql, orders, relations_sql, returns, table
 from rejoinder.plans.requests import accepted_batches, answer_requests
@@ -95,11 +96,11 @@ SELECT l."Order ID", r.returned FROM l LEFT JOIN r ON l."Order ID" = r."Order ID
 )
 def frequent_key_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same join on a key with five values, each holding a fifth of the right
-    side, which is salted over many tasks."""
+    side, which is salted over many tasks even where it could be broadcast."""
     source = table(spark, sf_dir, "orders")
     left = source.select(F.col("o_orderpriority").alias(ORDER_KEY)).distinct()
     right = source.select(F.col("o_orderpriority").alias(ORDER_KEY), F.col("o_orderkey").alias("returned"))
-    return joins.join_returns(left, right, rows_per_task=1_000)
+    return joins.join_spread(left, right, hot_keys(right, ORDER_KEY, rows_per_task=1_000))
 
 
 # --- CSV in ----------------------------------------------------------------
@@ -162,12 +163,17 @@ FROM orders"""
 )
 def batch_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "orders").select(
-        F.format_string("o_%d.csv", "o_orderkey").alias("orders_key"),
-        F.format_string("r_%d.csv", "o_orderkey").alias("returns_key"),
+        _name("o_", "o_orderkey", ".csv").alias("orders_key"),
+        _name("r_", "o_orderkey", ".csv").alias("returns_key"),
     )
     return with_input_paths(given, "s3a://orders/in/", "s3a://returns/in")
 
 
+def _name(prefix: str, number: str | Column, suffix: str = "") -> Column:
+    number = F.col(number) if isinstance(number, str) else number
+    return F.concat(F.lit(prefix), number.cast("string"), F.lit(suffix))
+
+
 # --- sinks and read-back ---------------------------------------------------
 
 
@@ -338,9 +344,9 @@ def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.col("o_orderkey")
     return table(spark, sf_dir, "orders").select(
         number.cast("string").alias("batch"),
-        F.when(F.col("o_orderstatus") != "P", F.format_string("o_%d", number)).alias("orders_key"),
+        F.when(F.col("o_orderstatus") != "P", _name("o_", number)).alias("orders_key"),
         F.when(F.col("o_orderpriority") == "1-URGENT", "")
-        .otherwise(F.format_string("r_%d", number))
+        .otherwise(_name("r_", number))
         .alias("returns_key"),
     )
 
@@ -351,10 +357,10 @@ def _listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     number = F.col("l_orderkey")
     shipped = lines.filter(F.col("l_linestatus") == "F").select(
-        F.lit("orders").alias("bucket"), F.format_string("o_%d", number).alias("key")
+        F.lit("orders").alias("bucket"), _name("o_", number).alias("key")
     )
     returned = lines.filter(F.col("l_returnflag") == "R").select(
-        F.lit("returns").alias("bucket"), F.format_string("r_%d", number).alias("key")
+        F.lit("returns").alias("bucket"), _name("r_", number).alias("key")
     )
     return shipped.unionAll(returned)
 
@@ -506,8 +512,8 @@ def run_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
     given = table(spark, sf_dir, "events").select(
         "event_id",
-        F.format_string("o_%d.csv", "user_id").alias("orders_key"),
-        F.format_string("r_%d.csv", "user_id").alias("returns_key"),
+        _name("o_", "user_id", ".csv").alias("orders_key"),
+        _name("r_", "user_id", ".csv").alias("returns_key"),
         F.when(kind == "purchase", "SUCCEEDED")
         .when(kind == "error", "FAILED")
         .when(kind == "signup", "TIMED_OUT")

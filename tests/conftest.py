@@ -28,6 +28,14 @@ def spark():
     session.stop()
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    """Plan as if every table were large; only what is marked is broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.fixture
 def write_csv(tmp_path):
     """Write text as a file and return its path."""

@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql.functions import broadcast
 
 from rejoinder.operators import skew
 from rejoinder.operators.enrich import drop_null_keys, enrich, join_returns, stamp
@@ -41,7 +42,7 @@ def test_semantics(spark):
     assert sorted(map(tuple, drop_null_keys(joined).collect()), key=str) == brute_force(orders, returns)
 
 
-def test_key_comes_first(spark):
+def test_key_comes_first(spark, no_broadcast):
     left = spark.createDataFrame([("a", "1")], "c string, `Order ID` string")
     right = spark.createDataFrame([("x", "1"), ("y", "1")], "r string, `Order ID` string")
     assert join_returns(left, right).columns == ["Order ID", "c", "r"]
@@ -71,7 +72,7 @@ SKEWED_ORDERS = [("hot", "a"), ("hot", "b"), ("warm", "c"), (None, "d")] + [(str
 
 
 @pytest.mark.parametrize("rows_per_task", [1, 10, 50, 1_000_000])
-def test_frequent_keys_give_the_same_rows(spark, rows_per_task):
+def test_frequent_keys_give_the_same_rows(spark, no_broadcast, rows_per_task):
     left, right = frames(spark, SKEWED_ORDERS, SKEWED_RETURNS)
     joined = enrich(left.repartition(3), right.repartition(5), rows_per_task=rows_per_task)
     assert joined.columns == ["Order ID", "c", "r", "UpdatedOn"]
@@ -88,12 +89,20 @@ _key = st.sampled_from(["a", "b", "c", "", " ", None])
     returns=st.lists(st.tuples(_key, st.sampled_from("uvw")), min_size=1, max_size=25),
     rows_per_task=st.integers(1, 4),
 )
-def test_any_input_joins_as_by_hand(spark, orders, returns, rows_per_task):
+def test_any_input_joins_as_by_hand(spark, no_broadcast, orders, returns, rows_per_task):
     left, right = frames(spark, orders, returns)
     joined = drop_null_keys(join_returns(left, right.repartition(2), rows_per_task=rows_per_task))
     assert Counter(map(tuple, joined.collect())) == Counter(brute_force(orders, returns))
 
 
+def test_broadcast_joins_are_recognised(spark, no_broadcast):
+    left, right = frames(spark, [("1", "a")], [("1", "b")])
+    inner = left.join(broadcast(right), "Order ID")
+    assert skew.is_broadcast(inner) and not skew.is_broadcast(left)
+    assert not skew.is_broadcast(inner.join(right.drop("r"), "Order ID", "left"))
+    assert skew.is_broadcast(left.join(right, "Order ID").join(broadcast(right.drop("r")), "Order ID"))
+
+
 def test_hot_keys(spark):
     _, right = frames(spark, [("1", "a")], SKEWED_RETURNS)
     found = dict(skew.hot_keys(right.repartition(6), "Order ID", 50))
@@ -117,7 +126,7 @@ KEYS = {
 
 
 @pytest.mark.parametrize("kind", KEYS)
-def test_keys_of_any_type(spark, kind):
+def test_keys_of_any_type(spark, no_broadcast, kind):
     right = spark.range(200).selectExpr(f"{KEYS[kind]} as `Order ID`", "id as r")
     left = right.select("Order ID").distinct()
     looked_for = kind not in ("double", "timestamp")
@@ -162,7 +171,9 @@ def test_aqe_splits_frequent_orders(spark, capsys):
 
 
 @pytest.mark.parametrize("rows_per_task", [5, 1_000_000])
-def test_landing_keys(spark, rows_per_task):
+@pytest.mark.parametrize("small", [True, False])
+def test_landing_keys(spark, request, small, rows_per_task):
+    small or request.getfixturevalue("no_broadcast")
     new = spark.createDataFrame(
         [("a", i) for i in range(40)] + [("b", 1), (None, 2)] + [("c", i) for i in range(30)], "key string, n int"
     ).repartition(3)

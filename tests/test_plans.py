@@ -25,14 +25,6 @@ def plan(capsys):
     return text
 
 
-@pytest.fixture
-def no_broadcast(spark):
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    yield
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-
-
 @pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_no_slow_nodes(spark, plan, name):
     text = plan(catalog.queries()[name](spark, SF_DIR))
@@ -63,7 +55,8 @@ def test_salted_join_broadcasts_only_the_list(spark, plan, no_broadcast):
     left, right = orders(spark, SF_DIR), returns(spark, SF_DIR)
     text = plan(drop_null_keys(join_returns(left, right, rows_per_task=5)))
     assert len(re.findall(r"^\(\d+\) Exchange", text, re.M)) == 2
-    assert "__salt" in text and "Scan ExistingRDD" in text
+    assert "__salt" in text and len(re.findall(r"^\(\d+\) BroadcastExchange", text, re.M)) == 2
+    assert len(re.findall(r"^\(\d+\) LocalTableScan", text, re.M)) == 2
     assert "PushedFilters: [IsNotNull(o_orderkey)]" in text
 
 

@@ -44,8 +44,10 @@ def listing(spark):
     return spark.createDataFrame(files, "bucket string, key string")
 
 
+@pytest.mark.parametrize("small", [True, False])
 @pytest.mark.parametrize("rows_per_task", [1, 1_000_000])
-def test_codes_and_missing_files(manifest, listing, rows_per_task):
+def test_codes_and_missing_files(manifest, listing, request, small, rows_per_task):
+    small or request.getfixturevalue("no_broadcast")
     checked = check_requests(manifest, listing, "orders", "returns", rows_per_task)
     assert checked.columns == ["batch", "orders_key", "returns_key", "status_code", "missing_files"]
     assert {r.batch: (r.status_code, r.missing_files) for r in checked.collect()} == EXPECTED
