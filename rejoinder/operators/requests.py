@@ -100,40 +100,36 @@ def _hot(requests: DataFrame, known: DataFrame, column: str, rows_per_task: int)
 def encode_outcome(
     outcome: DataFrame, execution_id: str = "batch", execution_at: float | None = None
 ) -> DataFrame:
-    """Add ``answer``, the JSON document ``{statusCode, body}`` whose body is JSON
-    text again. ``execution_id`` names the column that identifies a started run.
-    An ``error`` column, if there is one, turns a 200 into a 500."""
+    """Add ``message`` and ``answer``, the JSON document ``{statusCode, body}`` whose
+    body is JSON text again. ``execution_id`` names the column that identifies a
+    started run. An ``error`` column, if there is one, turns a 200 into a 500."""
     code = F.col("status_code")
     if "error" in outcome.columns:
         code = F.when((code == OK) & F.col("error").isNotNull(), ERROR).otherwise(code)
         error = F.col("error")
     else:
         error = F.lit(None).cast("string")
+    message = (
+        F.when(code == BAD_REQUEST, fixed.BAD_REQUEST_MESSAGE)
+        .when(code == NOT_FOUND, fixed.MISSING_FILE_MESSAGE)
+        .when(code == ERROR, fixed.START_ERROR_MESSAGE)
+        .otherwise(fixed.STARTED_MESSAGE)
+    )
     request = F.struct(
         F.col("orders_key").alias("orders_s3_key"), F.col("returns_key").alias("returns_s3_key")
     )
-    bad = F.to_json(
-        F.struct(F.lit(fixed.BAD_REQUEST_MESSAGE).alias("message"), request.alias("input"))
-    )
-    absent = F.to_json(F.struct(F.lit(fixed.MISSING_FILE_MESSAGE).alias("message"), "missing_files"))
-    started = F.to_json(
-        F.struct(
-            F.lit(fixed.STARTED_MESSAGE).alias("message"),
-            F.col(execution_id).alias("executionArn"),
-            F.col("orders_key").alias("orders_file"),
-            F.col("returns_key").alias("returns_file"),
-            F.lit(execution_at).cast("double").alias("execution_at"),
-        )
-    )
-    failed = F.to_json(
-        F.struct(F.lit(fixed.START_ERROR_MESSAGE).alias("message"), error.alias("error"))
+    started = F.struct(
+        "message",
+        F.col(execution_id).alias("executionArn"),
+        F.col("orders_key").alias("orders_file"),
+        F.col("returns_key").alias("returns_file"),
+        F.lit(execution_at).cast("double").alias("execution_at"),
     )
     body = (
-        F.when(code == BAD_REQUEST, bad)
-        .when(code == NOT_FOUND, absent)
-        .when(code == ERROR, failed)
-        .otherwise(started)
-    )
-    return outcome.withColumn("status_code", code).withColumn(
-        "answer", F.to_json(F.struct(code.alias("statusCode"), body.alias("body")))
+        F.when(code == BAD_REQUEST, F.to_json(F.struct("message", request.alias("input"))))
+        .when(code == NOT_FOUND, F.to_json(F.struct("message", "missing_files")))
+        .when(code == ERROR, F.to_json(F.struct("message", error.alias("error"))))
+        .otherwise(F.to_json(started))
     )
+    answer = F.to_json(F.struct(F.col("status_code").alias("statusCode"), body.alias("body")))
+    return outcome.withColumns({"status_code": code, "message": message}).withColumn("answer", answer)

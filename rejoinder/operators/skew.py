@@ -37,8 +37,8 @@ def is_broadcast(joined: DataFrame) -> bool:
     """Whether the outermost join of ``joined`` is planned as a broadcast join, as
     it is if Catalyst estimates the right side below the broadcast threshold."""
     plan = joined.sparkSession.sql("EXPLAIN SELECT * FROM {joined}", joined=joined).first()[0]
-    outermost = re.search(r"\b\w+Join\b", plan)
-    return outermost is not None and outermost.group() == "BroadcastHashJoin"
+    outermost = re.search(r"^[ :+-]*(?:\*\(\d+\) )?(\w+Join)\b", plan, re.MULTILINE)
+    return outermost is not None and outermost.group(1) == "BroadcastHashJoin"
 
 
 def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> HotKeys:

@@ -100,7 +100,11 @@ def test_broadcast_joins_are_recognised(spark, no_broadcast):
     inner = left.join(broadcast(right), "Order ID")
     assert skew.is_broadcast(inner) and not skew.is_broadcast(left)
     assert not skew.is_broadcast(inner.join(right.drop("r"), "Order ID", "left"))
-    assert skew.is_broadcast(left.join(right, "Order ID").join(broadcast(right.drop("r")), "Order ID"))
+    outer = left.join(right, "Order ID").join(broadcast(right.drop("r")), "Order ID")
+    assert skew.is_broadcast(outer.selectExpr("c as `an EquiJoin`"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    assert skew.is_broadcast(outer) and not skew.is_broadcast(left.join(right, "Order ID"))
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 def test_hot_keys(spark):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rejoinder.operators.requests import check_requests, encode_outcome
 from rejoinder.plans.requests import accepted_batches, answer_requests
 from rejoinder.sources.paths import input_path
+from rejoinder.sources.results import list_buckets
 
 MANIFEST = [
     ("m1", "o1.csv", "r1.csv"),
@@ -108,3 +109,20 @@ def test_accepted_batches(manifest, listing):
         ("m1", "s3a://orders/o1.csv", "s3a://returns/r1.csv")
     ]
     assert input_path("s3a://orders/", "o1.csv") == "s3a://orders/o1.csv"
+
+
+def test_listing_of_folders(spark, write_csv, tmp_path):
+    write_csv("a/in/o1.csv", "x")
+    write_csv("a/in/a/in/o2 [1].csv", "x")
+    write_csv("b/r1.csv", "x")
+    buckets = {"orders": str(tmp_path / "a/in"), "returns": f"file:{tmp_path}/b/"}
+    found = list_buckets(spark, buckets)
+    assert {tuple(r) for r in found.collect()} == {
+        ("orders", "o1.csv"), ("orders", "a/in/o2 [1].csv"), ("returns", "r1.csv"),
+    }
+    manifest = spark.createDataFrame(
+        [("m", "a/in/o2 [1].csv", "r1.csv"), ("n", "o2.csv", "r1.csv")],
+        "batch string, orders_key string, returns_key string",
+    )
+    answers = answer_requests(manifest, found, "orders", "returns")
+    assert {r.batch: (r.status_code, r.message[0]) for r in answers.collect()} == {"m": (200, "✅"), "n": (404, "❌")}
