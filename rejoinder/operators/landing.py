@@ -41,7 +41,8 @@ def _compare(
     # the partitioning of that aggregation.
     known = existing.select(f"`{key}`").distinct()
     plain = new.join(known, on=key, how=how)
-    hot = [] if is_broadcast(plain) else hot_keys(new, key, rows_per_task)
+    same_type = new.schema[key].dataType == known.schema[key].dataType
+    hot = hot_keys(new, key, rows_per_task) if same_type and not is_broadcast(plain) else []
     if hot:
         known = replicate(known, key, hot).drop(SALTS)
         plain = scatter(new, key, hot).join(known, on=join_keys(key, hot), how=how)

@@ -97,6 +97,7 @@ def land_files(
     read by name and replaces its own ``batch_id=`` folder below ``target``, so a
     batch that is run again leaves no copies.
     """
+
     def land(batch: DataFrame, batch_id: int) -> None:
         paths = [literal_path(row.path) for row in batch.collect()]  # at most max_files
         if not paths:

@@ -188,6 +188,13 @@ def test_landing_keys(spark, request, small, rows_per_task):
     assert Counter(r.key for r in refused.collect()) == {"a": 40}
 
 
+def test_landing_keys_of_two_types(spark, no_broadcast):
+    new = spark.createDataFrame([("1",), ("1",), ("2",)], "key string")
+    existing = spark.createDataFrame([(1,), (3,)], "key int")
+    assert rows(accepted_keys(new, existing, rows_per_task=1)) == [("2",)]
+    assert rows(refused_keys(new, existing, rows_per_task=1)) == [("1",), ("1",)]
+
+
 def test_gate_report(spark):
     left, _ = frames(spark, [("1", "a")], [("1", "b")])
     report = gate_report({"full": left, "none": left.filter("false"), "bad": left.withColumnRenamed("c", "order id").drop("Order ID")})
