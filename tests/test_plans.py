@@ -58,6 +58,7 @@ def test_salted_join_broadcasts_only_the_list(spark, plan, no_broadcast):
     assert "__salt" in text and len(re.findall(r"^\(\d+\) BroadcastExchange", text, re.M)) == 2
     assert len(re.findall(r"^\(\d+\) LocalTableScan", text, re.M)) == 2
     assert "PushedFilters: [IsNotNull(o_orderkey)]" in text
+    assert "IsNotNull(l_orderkey)]" in text
 
 
 def test_csv_filters_reach_the_scan(spark, plan, tmp_path):
