@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import time
 from datetime import date
 
 import pytest
@@ -30,6 +32,24 @@ def test_rows_land_once(spark, write_csv, tmp_path):
     assert landed.filter(f"{LANDING_KEY} rlike '^[0-9]{{8}}_[0-9]{{6}}_'").count() == 3
 
 
+@pytest.mark.parametrize("land", ["rows", "files"])
+def test_old_files_are_not_passed_over(spark, write_csv, tmp_path, land):
+    def run():
+        folders = [str(tmp_path / name) for name in ("in", "out", "cp")]
+        if land == "rows":
+            land_rows(spark, folders[0], ["Order ID", "x"], *folders[1:]).awaitTermination()
+        else:
+            land_files(spark, *folders).awaitTermination()
+        return rows(spark.read.parquet(folders[1]), "Order ID")
+
+    write_csv("in/new.csv", "Order ID,x\n1,a\n")
+    assert run() == [("1",)]
+    old = write_csv("in/old.csv", "Order ID,x\n2,b\n")
+    month_ago = time.time() - 30 * 86_400
+    os.utime(old, (month_ago, month_ago))
+    assert run() == [("1",), ("2",)]
+
+
 def test_other_header_stops_the_stream(spark, write_csv, tmp_path):
     write_csv("in/orders.csv", "When,Order ID\n1,2\n")
     query = land_rows(spark, str(tmp_path / "in"), ["Order ID", "When"], str(tmp_path / "out"), str(tmp_path / "cp"))
