@@ -45,8 +45,8 @@ def check_requests(
     bad = is_bad_request()
     files = manifest.withColumns(
         {
-            "__orders": _lookup(bad, orders_bucket, "orders_key"),
-            "__returns": _lookup(bad, returns_bucket, "returns_key"),
+            "__orders": _lookup(bad, "orders_key"),
+            "__returns": _lookup(bad, "returns_key"),
         }
     )
     arrived = {
@@ -60,13 +60,15 @@ def check_requests(
     for name, known in arrived.items():
         known = replicate(known, name, hot[name], name + SALT).drop(SALTS)
         files = files.join(known, on=join_keys(name, hot[name], name + SALT), how="left")
-    missing = F.array_compact(
-        F.array(
-            F.when(F.col("__orders_arrived").isNull(), F.col("__orders")),
-            F.when(F.col("__returns_arrived").isNull(), F.col("__returns")),
-        )
+    no_orders, no_returns = (F.col(f"{name}_arrived").isNull() for name in arrived)
+    orders_file = file_path(orders_bucket, F.col("orders_key"))
+    returns_file = file_path(returns_bucket, F.col("returns_key"))
+    missing = (
+        F.when(~bad & no_orders & no_returns, F.array(orders_file, returns_file))
+        .when(~bad & no_orders, F.array(orders_file))
+        .when(~bad & no_returns, F.array(returns_file))
+        .otherwise(F.array().cast("array<string>"))
     )
-    missing = F.when(bad, F.array().cast("array<string>")).otherwise(missing)
     return (
         files.withColumn("missing_files", missing)
         .withColumn(
@@ -77,18 +79,16 @@ def check_requests(
     )
 
 
-def _lookup(bad: Column, bucket: str, key: str) -> Column:
-    # A bad request looks nothing up. Its rows get a name no file can have, since
-    # a bucket is not empty, and one that differs from row to row: equal names,
-    # or nulls, would all be sent to one task.
-    nothing = F.concat_ws("/", F.lit(""), "batch", "orders_key", "returns_key")
-    return F.when(bad, nothing).otherwise(file_path(bucket, F.col(key)))
+def _lookup(bad: Column, key: str) -> Column:
+    # What a bad request looks up does not count. It differs from row to row, since
+    # equal names, or nulls, would all be sent to one task.
+    anything = F.concat_ws("/", "batch", "orders_key", "returns_key")
+    return F.when(bad, anything).otherwise(F.col(key))
 
 
 def _arrived(listing: DataFrame, bucket: str, column: str) -> DataFrame:
-    there = listing.filter(F.col("bucket") == bucket)
-    names = there.select(file_path(F.col("bucket"), F.col("key")).alias(column)).distinct()
-    return names.withColumn(f"{column}_arrived", F.lit(True))
+    names = listing.filter(F.col("bucket") == bucket).select(F.col("key").alias(column))
+    return names.distinct().withColumn(f"{column}_arrived", F.lit(True))
 
 
 def _hot(requests: DataFrame, known: DataFrame, column: str, rows_per_task: int) -> HotKeys:
