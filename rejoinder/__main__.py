@@ -25,11 +25,24 @@ def parse_arguments(argv: list[str] | None = None) -> argparse.Namespace:
         parser.add_argument(f"--{name}", required=True)
     parser.add_argument("--mode", choices=MODES, default="declared")
     parser.add_argument("--multi_line", action="store_true")
+    parser.add_argument("--trim_keys", action="store_true")
+    parser.add_argument("--rejects", help="folder for rows with values that do not fit")
+    for name in ("order", "return"):
+        parser.add_argument(
+            f"--{name}_type", action="append", type=_typed, default=[], metavar="COLUMN=TYPE"
+        )
     for name in ("url", "table", "user", "password", "driver"):
         parser.add_argument(f"--jdbc_{name}")
     return parser.parse_args(argv)
 
 
+def _typed(text: str) -> tuple[str, str]:
+    name, found, kind = text.rpartition("=")
+    if not found:
+        raise argparse.ArgumentTypeError(f"{text!r} is not COLUMN=TYPE")
+    return name, kind
+
+
 def main(argv: list[str] | None = None) -> int:
     logging.basicConfig(level=logging.INFO)
     given = parse_arguments(argv)
@@ -47,7 +60,11 @@ def main(argv: list[str] | None = None) -> int:
             given.output,
             jdbc=jdbc or None,
             mode=given.mode,
+            order_types=dict(given.order_type),
+            return_types=dict(given.return_type),
             multi_line=given.multi_line,
+            trim_keys=given.trim_keys,
+            rejects_path=given.rejects,
         )
     except Exception as error:
         logging.getLogger(__name__).error("%s", error)

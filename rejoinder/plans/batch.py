@@ -12,11 +12,11 @@ from datetime import datetime
 from pyspark.sql import SparkSession
 
 from rejoinder.functions.fixed import DATE_FORMAT
-from rejoinder.operators.enrich import enrich, run_time
+from rejoinder.operators.enrich import enrich, run_time, trimmed_keys
 from rejoinder.operators.gates import InputError, require_columns, require_distinct_columns, require_rows
 from rejoinder.operators.skew import ROWS_PER_TASK
 from rejoinder.sinks.tables import write_jdbc, write_parquet
-from rejoinder.sources.csv import scan_csv
+from rejoinder.sources.csv import rejected_rows, scan_csv, scan_text
 
 log = logging.getLogger(__name__)
 
@@ -48,6 +48,8 @@ def run_batch(
     return_types: Mapping[str, str] | None = None,
     date_format: str = DATE_FORMAT,
     multi_line: bool = False,
+    trim_keys: bool = False,
+    rejects_path: str | None = None,
     at: datetime | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> BatchResult:
@@ -57,10 +59,19 @@ def run_batch(
     may be left out. The table is fed from the written dataset: the join runs once
     and both sinks hold the same rows and the same time. The rows of the table are
     counted, and it is written again where they are not all there once.
+
+    Values that do not fit ``order_types`` or ``return_types`` become null in the
+    result; with ``rejects_path`` the rows concerned are also kept there as text, in
+    ``orders`` and ``returns``. ``trim_keys`` takes the blanks off keys, so that a
+    blank key is none.
     """
-    for path in (orders_path, returns_path):
-        if overlaps(output_path, path):
-            raise InputError(f"output {output_path} would overwrite input {path}")
+    outputs = [output_path] + ([rejects_path] if rejects_path else [])
+    for output in outputs:
+        for path in (orders_path, returns_path):
+            if overlaps(output, path):
+                raise InputError(f"output {output} would overwrite input {path}")
+    if rejects_path and overlaps(rejects_path, output_path):
+        raise InputError(f"rejects {rejects_path} and output {output_path} overlap")
 
     def scan(path: str, types: Mapping[str, str] | None):
         return scan_csv(spark, path, mode, types, date_format, multi_line)
@@ -69,12 +80,19 @@ def run_batch(
     require_rows(orders=orders, returns=returns)
     require_columns(orders=orders, returns=returns)
     require_distinct_columns(orders, returns)
+    if trim_keys:
+        orders, returns = trimmed_keys(orders), trimmed_keys(returns)
 
     result = BatchResult(output_path, at or run_time())
     joined = enrich(orders, returns, result.updated_on, rows_per_task)
     result.columns = joined.columns
     write_parquet(joined, output_path)
     log.info("replaced dataset %s", output_path)
+    if rejects_path:
+        given = (("orders", orders_path, order_types), ("returns", returns_path, return_types))
+        for name, path, types in given:
+            text = scan_text(spark, path, multi_line)
+            write_parquet(rejected_rows(text, types or {}, date_format), f"{rejects_path}/{name}")
 
     if jdbc:
         result.jdbc_table = str(jdbc["table"])

@@ -131,6 +131,31 @@ def test_output_over_input_stops(spark, pair, tmp_path):
             run_batch(spark, *pair, output)
 
 
+def test_rejects_are_kept(spark, pair, write_csv, tmp_path):
+    orders = write_csv("in/bad.csv", "Order ID,n,When\nA2,1,01-08-2023\nA6,x,2023-08-01\nA9,,31-02-2023\n")
+    out, rejects = str(tmp_path / "out"), str(tmp_path / "rejects")
+    types = {"n": "int", "When": "date"}
+    run_batch(spark, orders, pair[1], out, order_types=types, rejects_path=rejects)
+    assert rows(spark.read.parquet(out), "Order ID", "n") == [("A2", 1), ("A6", None), ("A9", None)]
+    kept = spark.read.parquet(rejects + "/orders")
+    assert {r["Order ID"]: (r.n, r.When, r.rejected_columns) for r in kept.collect()} == {
+        "A6": ("x", "2023-08-01", ["n", "When"]), "A9": (None, "31-02-2023", ["When"]),
+    }
+    assert spark.read.parquet(rejects + "/returns").count() == 0
+    for place in (out + "/rejects", str(tmp_path / "in")):
+        with pytest.raises(InputError, match="overlap|overwrite"):
+            run_batch(spark, orders, pair[1], out, order_types=types, rejects_path=place)
+
+
+@pytest.mark.parametrize("trim", [False, True])
+def test_blank_keys(spark, write_csv, tmp_path, trim):
+    orders = write_csv("o.csv", "Order ID,c\nA1 ,x\n   ,y\nA2,z\n")
+    returns = write_csv("r.csv", "Order ID,r\n A1,u\n  ,v\n")
+    run_batch(spark, orders, returns, str(tmp_path / "out"), trim_keys=trim)
+    expected = [("A1", "u"), ("A2", None)] if trim else [("   ", None), ("A1 ", None), ("A2", None)]
+    assert rows(spark.read.parquet(str(tmp_path / "out")), "Order ID", "r") == expected
+
+
 def test_overlaps():
     assert overlaps("s3a://b/x/", "s3a://b/x/in.csv")
     assert overlaps("s3a://b/x/out", "s3a://b/x/*")
@@ -146,7 +171,15 @@ def test_command_line(spark, pair, tmp_path):
     ]
     assert main(given) == 0
     assert read_parquet_result(spark, base + "/out").count() == 9
+    more = ["--order_type", "Order Date=date", "--return_type", "Return Date=date", "--trim_keys"]
+    more += ["--rejects", base + "/rejects", "--jdbc_url", "jdbc:derby:memory:cli;create=true"]
+    assert main(given + more + ["--jdbc_table", "results", "--jdbc_driver", DERBY["driver"]]) == 0
+    assert dict(read_parquet_result(spark, base + "/out").dtypes)["Return Date"] == "date"
+    assert read_jdbc_result(spark, "jdbc:derby:memory:cli", "results", **DERBY).count() == 9
+    assert main(given + ["--jdbc_url", "jdbc:derby:memory:none", "--jdbc_table", "t"]) == 1
     given[3] = "in/none.csv"
     assert main(given) == 1
     with pytest.raises(SystemExit):
         parse_arguments(given[:4])
+    with pytest.raises(SystemExit):
+        parse_arguments(given + ["--order_type", "date"])
