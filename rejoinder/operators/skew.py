@@ -41,6 +41,12 @@ def is_broadcast(joined: DataFrame) -> bool:
     return outermost is not None and outermost.group(1) == "BroadcastHashJoin"
 
 
+def aqe_splits(spark: SparkSession) -> bool:
+    """Whether AQE is there to split skewed partitions of a join."""
+    names = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
+    return all(spark.conf.get(name).lower() == "true" for name in names)
+
+
 def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> HotKeys:
     """The keys with more than ``rows_per_task`` rows, each with its number of salts.
 
@@ -103,6 +109,7 @@ def replicate(df: DataFrame, key: str, hot: HotKeys, salt: str = SALT) -> DataFr
 
 
 def join_keys(key: str, hot: HotKeys, salt: str = SALT) -> list[str]:
+    """The columns to join on: the salt is there only if a key is hot."""
     return [key, salt] if hot else [key]
 
 

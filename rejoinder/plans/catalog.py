@@ -100,7 +100,8 @@ def frequent_key_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = table(spark, sf_dir, "orders")
     left = source.select(F.col("o_orderpriority").alias(ORDER_KEY)).distinct()
     right = source.select(F.col("o_orderpriority").alias(ORDER_KEY), F.col("o_orderkey").alias("returned"))
-    return joins.join_spread(left, right, hot_keys(right, ORDER_KEY, rows_per_task=1_000))
+    hot = hot_keys(right, ORDER_KEY, rows_per_task=1_000)
+    return joins.join_spread(left, right, hot)
 
 
 # --- CSV in ----------------------------------------------------------------

@@ -36,6 +36,13 @@ def no_broadcast(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.fixture
+def no_aqe(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 @pytest.fixture
 def write_csv(tmp_path):
     """Write text as a file and return its path."""

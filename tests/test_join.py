@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql.functions import broadcast
+from pyspark.sql.functions import broadcast, spark_partition_id
 
 from rejoinder.operators import skew
 from rejoinder.operators.enrich import drop_null_keys, enrich, join_returns, stamp
@@ -68,11 +68,15 @@ def test_stamp_is_one_value(spark):
 SKEWED_RETURNS = [("hot", f"h{i}") for i in range(200)] + [("hot", "copy")] * 200 + [
     ("warm", f"w{i}") for i in range(60)
 ] + [(str(i), f"r{i}") for i in range(0, 300, 2)] + [(None, "n")] * 300 + [("orphan", "o")] * 100
-SKEWED_ORDERS = [("hot", "a"), ("hot", "b"), ("warm", "c"), (None, "d")] + [(str(i), f"c{i}") for i in range(300)]
+SKEWED_ORDERS = [("hot", "a"), ("hot", "b"), (None, "d")] + [("warm", f"c{i}") for i in range(30)] + [
+    ("never", f"n{i}") for i in range(120)
+] + [(str(i), f"c{i}") for i in range(300)]
 
 
+@pytest.mark.parametrize("aqe", [True, False])
 @pytest.mark.parametrize("rows_per_task", [1, 10, 50, 1_000_000])
-def test_frequent_keys_give_the_same_rows(spark, no_broadcast, rows_per_task):
+def test_frequent_keys_give_the_same_rows(spark, request, no_broadcast, aqe, rows_per_task):
+    aqe or request.getfixturevalue("no_aqe")
     left, right = frames(spark, SKEWED_ORDERS, SKEWED_RETURNS)
     joined = enrich(left.repartition(3), right.repartition(5), rows_per_task=rows_per_task)
     assert joined.columns == ["Order ID", "c", "r", "UpdatedOn"]
@@ -83,6 +87,17 @@ def test_frequent_keys_give_the_same_rows(spark, no_broadcast, rows_per_task):
 _key = st.sampled_from(["a", "b", "c", "", " ", None])
 
 
+def test_orders_are_spread_without_aqe(spark, no_broadcast, no_aqe):
+    orders = spark.range(0, 20_000, 1, 4).selectExpr(
+        "if(id % 3 = 0, 'hot', cast(id as string)) as `Order ID`", "id as c"
+    )
+    returns = spark.createDataFrame([("hot", "x"), ("hot", "y"), ("1", "z")], "`Order ID` string, r string")
+    joined = join_returns(orders, returns, rows_per_task=500)
+    assert joined.count() == 20_000 + 6_667 and joined.filter("r is not null").count() == 2 * 6_667 + 1
+    sizes = [r[0] for r in joined.groupBy(spark_partition_id()).count().select("count").collect()]
+    assert len(sizes) == 4 and max(sizes) < 2 * sum(sizes) / 4
+
+
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     orders=st.lists(st.tuples(_key, st.sampled_from("xyz")), min_size=1, max_size=12),
