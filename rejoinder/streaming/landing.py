@@ -15,7 +15,13 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from rejoinder.functions.fixed import DATE_FORMAT
 from rejoinder.functions.keys import landing_key
-from rejoinder.sources.csv import cast_columns, scan_csv_by_header
+from rejoinder.sources.csv import (
+    cast_columns,
+    is_header_mismatch,
+    present,
+    scan_csv_by_header,
+    scan_text,
+)
 from rejoinder.sources.paths import literal_path
 
 LANDING_KEY = "landing_key"
@@ -96,22 +102,29 @@ def land_files(
     types: Mapping[str, str] | None = None,
     date_format: str = DATE_FORMAT,
     pattern: str = "*.csv",
-    max_files: int = 200,
+    max_files: int = 1_000,
 ) -> StreamingQuery:
     """Like ``land_rows`` for files whose headers differ in order or columns.
 
     The stream carries only names; each micro-batch of at most ``max_files`` is
     read by name and replaces its own ``batch_id=`` folder below ``target``, so a
-    batch that is run again leaves no copies.
+    batch that is run again leaves no copies. It is read as files of one header
+    first, and only if one of them has another, header by header.
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:
         paths = [literal_path(row.path) for row in batch.collect()]  # at most max_files
         if not paths:
             return
-        rows = scan_csv_by_header(batch.sparkSession, paths, types, date_format)
-        if rows.columns:
-            rows.write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch_id={batch_id}")
+        session = batch.sparkSession
+        folder = f"{target.rstrip('/')}/batch_id={batch_id}"
+        try:
+            text = scan_text(session, paths)
+            _replace(cast_columns(text, present(types, text), date_format), folder)
+        except Exception as error:
+            if not is_header_mismatch(error):
+                raise
+            _replace(scan_csv_by_header(session, paths, types, date_format), folder)
 
     return (
         file_names(spark, arrivals, pattern, max_files)
@@ -120,3 +133,8 @@ def land_files(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def _replace(rows: DataFrame, folder: str) -> None:
+    if rows.columns:
+        rows.write.mode("overwrite").parquet(folder)

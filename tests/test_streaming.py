@@ -76,6 +76,19 @@ def test_files_land_by_name(spark, write_csv, tmp_path):
     assert rows(run()) == rows(landed) and batches >= 2
 
 
+@pytest.mark.filterwarnings("ignore:blank or doubled")
+@pytest.mark.parametrize("first", ["Order ID,x", "x,Order ID", "Order ID,x,y", "Order ID", "Order ID,x,x", ",Order ID,x"])
+def test_any_mixture_of_headers(spark, write_csv, tmp_path, first):
+    values = {"Order ID": "1", "x": "a", "y": "b", "": "0"}
+    write_csv("in/a.csv", f"{first}\n" + ",".join(values[name] for name in first.split(",")) + "\n")
+    write_csv("in/b.csv", "Order ID,x\n2,c\n3,d\n")
+    write_csv("in/c.csv", "\n\n\n\n\n\n\n\n\n\n\n\n\n\n\n\n\n\n\n\n\n\n\n\n\n\n")
+    land_files(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    landed = spark.read.parquet(str(tmp_path / "out"))
+    seen = "a" if first.split(",").count("x") == 1 else None
+    assert rows(landed, "Order ID", "x") == [("1", seen), ("2", "c"), ("3", "d")]
+
+
 def test_repeated_batch_leaves_no_copies(spark, write_csv, tmp_path):
     write_csv("in/a.csv", "Order ID,x\n1,a\n")
     for checkpoint in ("cp1", "cp2"):  # a lost checkpoint runs batch 0 again
