@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rejoinder.llm import pii, toxicity
 from rejoinder.llm.packing import pack_documents
 from rejoinder.llm.token_counts import count_tokens
 
@@ -23,12 +24,39 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_personal_data(docs, pii.train(docs))
+    kinds = F.transform("base", lambda s: F.split_part(s, F.lit(":"), F.lit(1)))
+    counts = [F.size(F.array_remove(kinds, kind)) for kind in pii.KINDS]
+    counts = [(F.size("base") - n).cast("long").alias(f"n_{kind}") for kind, n in zip(pii.KINDS, counts)]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(F.array_join("base", ",").cast("binary"), 256).alias("base_sha256"),
+        F.array_join("spans", ",").alias("spans"),
+    )
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
+    "op3_personal_data": op3_personal_data,
+    "op4_toxicity": op4_toxicity,
     "op9_packing": op9_packing,
 }
 
