@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rejoinder.llm import html_text, pii, topk, toxicity
+from rejoinder.llm.near_dedup import near_duplicates
 from rejoinder.llm.packing import pack_documents
 from rejoinder.llm.token_counts import count_tokens
 
@@ -49,6 +50,43 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
+OP5_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(words) = 0 THEN []
+    WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i : i + 4], ' ')) END) AS g
+  FROM w
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), l AS (
+  SELECT x, y FROM p JOIN n i ON i.doc_id = x JOIN n j ON j.doc_id = y WHERE 100 * c >= 75 * (i.n + j.n - c)
+), e AS (
+  SELECT x, y FROM l UNION SELECT y, x FROM l
+), r AS (
+  SELECT doc_id, doc_id AS reach FROM documents
+  UNION
+  SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.reach
+), c AS (
+  SELECT doc_id, min(reach) AS component_id FROM r GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM c LEFT JOIN n USING (doc_id)
+"""
+
+
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.search(vectors, F.col("vec_id") % 50 == 0)
@@ -84,12 +122,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_personal_data": op3_personal_data,
     "op4_toxicity": op4_toxicity,
+    "op5_near_dedup": op5_near_dedup,
     "op7_topk": op7_topk,
     "op8_html_text": op8_html_text,
     "op9_packing": op9_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_near_dedup": OP5_SQL,
     "op7_topk": OP7_SQL,
 }
 
