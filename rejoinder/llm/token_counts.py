@@ -1,11 +1,13 @@
 """Token counts of whole texts without making their ids.
 
 A text is split into pre-tokens once. Blocks of texts (about 16 MB each) are kept as
-frequency vectors over the block's own list of distinct pre-tokens. The lists of all
-blocks meet in one shuffle by pre-token, where each distinct one is tokenized once; the
-counts go back to their blocks and are multiplied with the frequencies.
+frequency vectors over the block's own list of distinct pre-tokens. The list is dealt
+into buckets by hash; a bucket's lists of all blocks meet in one task, where each distinct
+pre-token is tokenized once. The counts go back to their blocks in the order of the list
+and are multiplied with the frequencies.
 
-A frequent pre-token is shuffled once per block, not once per text, so no key is hot.
+A frequent pre-token is sent once per block, not once per text, so no key is hot. A task
+forgets what it has tokenized after a million pre-tokens, so its memory stays bounded.
 A special string inside a text is one token, as the tokenizer takes it by default; what
 lies between two of them is split on its own.
 
@@ -32,9 +34,12 @@ from rejoinder.llm.frames import saved
 
 BLOCK_BYTES = 16 << 20
 BLOCK_ROWS = 1 << 16
+LEAST_BUCKETS = 64
+KNOWN_PIECES = 1_000_000
+BETWEEN = b"\xff"  # in no UTF-8 text
 
 BLOCK_SCHEMA = (
-    "block long, pieces array<string>, ids array<long>, bytes array<long>, "
+    "block long, pieces array<binary>, ids array<long>, bytes array<long>, "
     "special array<long>, sizes array<long>, codes binary, times binary"
 )
 
@@ -55,26 +60,65 @@ class _Codes(dict):
         return code
 
 
-def _packed(values: list[int]) -> bytes:
-    return zlib.compress(np.array(values, np.uint32).tobytes(), 1)
+def _packed(values: np.ndarray) -> bytes:
+    """Unsigned numbers byte plane by byte plane, which leaves long runs of zeros."""
+    return zlib.compress(np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(data), np.uint32).astype(np.int64)
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+
+
+def _dealt(pieces: list[str], buckets: int) -> tuple[list[bytes], np.ndarray]:
+    """The pieces of each bucket, compressed, and each piece's place in the order of all buckets."""
+    coded = [p.encode() for p in pieces]
+    owner = np.fromiter((zlib.crc32(p) % buckets for p in coded), np.int64, len(pieces))
+    order = np.argsort(owner, kind="stable")
+    place = np.empty(len(pieces), np.int64)
+    place[order] = np.arange(len(pieces))
+    ends = np.cumsum(np.bincount(owner, minlength=buckets)).tolist()
+    named = [coded[i] for i in order.tolist()]
+    return [zlib.compress(BETWEEN.join(named[a:b]), 1) if b > a else b"" for a, b in zip([0, *ends], ends)], place
+
+
+class _Block:
+    """Texts of one partition, up to ``BLOCK_BYTES``, as counts of pre-tokens."""
+
+    def __init__(self, number: int):
+        self.number = number
+        self.codes, self.held = _Codes(), 0
+        self.ids, self.bytes, self.special, self.sizes, self.flat, self.times = [], [], [], [], [], []
+
+    def add(self, key: int | None, n_bytes: int, special: int, counts: Counter[str]) -> None:
+        self.flat.extend(map(self.codes.__getitem__, counts))
+        self.times.extend(counts.values())
+        self.ids.append(key)
+        self.bytes.append(n_bytes)
+        self.special.append(special)
+        self.sizes.append(len(counts))
+        self.held += n_bytes
+
+    def row(self, buckets: int) -> pa.RecordBatch:
+        pieces, place = _dealt(list(self.codes), buckets)
+        owner = np.repeat(np.arange(len(self.ids)), self.sizes)
+        keys = owner * len(place) + place[np.array(self.flat, np.int64)]
+        order = np.argsort(keys)
+        values = [
+            [self.number], [pieces], [self.ids], [self.bytes], [self.special], [self.sizes],
+            [_packed(np.diff(keys[order], prepend=0))], [_packed(np.array(self.times, np.int64)[order])],
+        ]
+        kinds = [pa.int64(), pa.list_(pa.binary()), *[pa.list_(pa.int64())] * 4, pa.binary(), pa.binary()]
+        names = [part.split()[0] for part in BLOCK_SCHEMA.split(", ")]
+        return pa.record_batch([pa.array(v, k) for v, k in zip(values, kinds)], names=names)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, special: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+def _blocks(
+    batches: Iterator[pa.RecordBatch], pattern: str, special: tuple[str, ...], buckets: int
+) -> Iterator[pa.RecordBatch]:
     find = regex.compile(pattern).findall
     breaks = regex.compile("|".join(map(regex.escape, special))) if special else None
-    block = TaskContext.get().partitionId() << 32
-    codes, ids, lengths, specials, sizes, flat, times, held = _Codes(), [], [], [], [], [], [], 0
-
-    def row() -> pa.RecordBatch:
-        values = [[block], [list(codes)], [ids], [lengths], [specials], [sizes], [_packed(flat)], [_packed(times)]]
-        kinds = [pa.int64(), pa.list_(pa.string()), *[pa.list_(pa.int64())] * 4, pa.binary(), pa.binary()]
-        names = [part.split()[0] for part in BLOCK_SCHEMA.split(", ")]
-        return pa.record_batch([pa.array(v, k) for v, k in zip(values, kinds)], names=names)
-
+    block = _Block(TaskContext.get().partitionId() << 32)
     for batch in batches:
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             text = text.as_py() or ""
@@ -82,42 +126,39 @@ def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, special: tuple[str,
             counts = Counter(find(parts[0]))
             for part in parts[1:]:
                 counts.update(find(part))
-            flat.extend(map(codes.__getitem__, counts))
-            times.extend(counts.values())
-            ids.append(key)
-            lengths.append(len(text.encode()))
-            specials.append(len(parts) - 1)
-            sizes.append(len(counts))
-            held += lengths[-1]
-            if held >= BLOCK_BYTES or len(ids) >= BLOCK_ROWS:
-                yield row()
-                block += 1
-                codes, ids, lengths, specials, sizes, flat, times, held = _Codes(), [], [], [], [], [], [], 0
-    if ids:
-        yield row()
+            block.add(key, len(text.encode()), len(parts) - 1, counts)
+            if block.held >= BLOCK_BYTES or len(block.ids) >= BLOCK_ROWS:
+                yield block.row(buckets)
+                block = _Block(block.number + 1)
+    if block.ids:
+        yield block.row(buckets)
 
 
 def _count_pieces(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by piece; a run of equal pieces is tokenized once, also across batches."""
-    last, last_size = None, 0
+    """Of each list of pieces their numbers of tokens; a piece is tokenized when first seen."""
+    known: dict[bytes, int] = {}
     for batch in batches:
-        coded = batch.column("piece").dictionary_encode()
-        pieces = coded.dictionary.to_pylist()
-        known = 1 if pieces and pieces[0] == last else 0
-        found = tokenizer(path).encode_batch_fast(pieces[known:], add_special_tokens=False)
-        sizes = np.array([last_size] * known + [len(e.ids) for e in found], np.int32)
-        if pieces:
-            last, last_size = pieces[-1], int(sizes[-1])
-        n = pa.array(sizes[coded.indices.to_numpy()], pa.int32())
-        yield pa.record_batch([batch.column("block"), batch.column("code"), n], names=["block", "code", "n"])
+        sizes = []
+        for row in batch.column("pieces"):
+            pieces = zlib.decompress(row.as_py()).split(BETWEEN)
+            if len(known) > KNOWN_PIECES:
+                known.clear()
+            new = [p for p in pieces if p not in known]
+            found = tokenizer(path).encode_batch_fast([p.decode() for p in new], add_special_tokens=False)
+            known.update(zip(new, (len(e.ids) for e in found)))
+            sizes.append(_packed(np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))))
+        yield pa.record_batch(
+            [batch.column("block"), batch.column("bucket"), pa.array(sizes, pa.binary())], names=["block", "bucket", "n"]
+        )
 
 
 def _sum_block(blocks: pa.Table, counts: pa.Table) -> pa.Table:
-    n = np.zeros(len(counts), np.int64)
-    n[counts.column("code").to_numpy()] = counts.column("n").to_numpy()
     row = blocks.slice(0, 1).to_pylist()[0]
+    dealt = sorted(zip(counts.column("bucket").to_pylist(), counts.column("n").to_pylist()))
+    n = np.concatenate([*(_unpacked(data) for _, data in dealt), np.zeros(0, np.int64)])
     ends = np.cumsum([0, *row["sizes"]])
-    total = np.concatenate([[0], np.cumsum(_unpacked(row["times"]) * n[_unpacked(row["codes"])])])
+    codes = np.cumsum(_unpacked(row["codes"])) % max(1, len(n))
+    total = np.concatenate([[0], np.cumsum(_unpacked(row["times"]) * n[codes])])
     tokens = total[ends[1:]] - total[ends[:-1]] + np.array(row["special"], np.int64)
     return pa.table(
         {"doc_id": pa.array(row["ids"], pa.int64()), "n_bytes": pa.array(row["bytes"], pa.int64()), "n_tokens": tokens}
@@ -135,13 +176,10 @@ def count_tokens(docs: DataFrame, path: str, id_column: str = "doc_id", text_col
     special = tuple(t.content for t in tokenizer(path).get_added_tokens_decoder().values())
     pattern = public_tokenizers.PATTERN
     texts = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].alias("text"))
-    blocks = saved(texts.mapInArrow(lambda it: _blocks(it, pattern, special), BLOCK_SCHEMA), "token-blocks")
-    pieces = blocks.select("block", F.posexplode("pieces").alias("code", "piece"))
-    counts = (
-        pieces.repartition("piece")
-        .sortWithinPartitions("piece")
-        .mapInArrow(lambda it: _count_pieces(it, path), "block long, code int, n int")
-    )
+    buckets = max(LEAST_BUCKETS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    blocks = saved(texts.mapInArrow(lambda it: _blocks(it, pattern, special, buckets), BLOCK_SCHEMA), "token-blocks")
+    pieces = blocks.select("block", F.posexplode("pieces").alias("bucket", "pieces")).filter(F.length("pieces") > 0)
+    counts = pieces.repartition("bucket").mapInArrow(lambda it: _count_pieces(it, path), "block long, bucket int, n binary")
     return (
         blocks.drop("pieces")
         .groupBy("block")
