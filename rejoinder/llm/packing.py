@@ -100,6 +100,12 @@ class Words:
         return b"".join(found), sizes[[i for i, w in enumerate(words) if w[-1] in SENTENCE_ENDS]]
 
 
+@lru_cache(maxsize=1)
+def _words(path: str) -> Words:
+    """One per Python worker, so that what one task has looked up serves the next."""
+    return Words(path)
+
+
 @lru_cache(maxsize=2)
 def _letters_only(path: str):
     """The same merges for one pre-token of lower-case letters."""
@@ -207,7 +213,7 @@ class _Stream:
 
 
 def _pack(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: int) -> Iterator[pa.RecordBatch]:
-    words = Words(path)
+    words = _words(path)
     tail = np.array([end_id], "<u4").tobytes()
     stream = _Stream(capacity, TaskContext.get().partitionId() << 40)
     names = [part.split()[0] for part in PIECES.split(", ")]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from rejoinder.llm import html_text, pii, topk, toxicity
 from rejoinder.llm.near_dedup import near_duplicates
 from rejoinder.llm.packing import pack_documents
+from rejoinder.llm.suffix_dedup import remove_repeats
 from rejoinder.llm.token_counts import count_tokens
 
 TOKEN_LIMIT = 1024
@@ -20,6 +21,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -119,6 +132,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_token_counts": op2_token_counts,
     "op3_personal_data": op3_personal_data,
     "op4_toxicity": op4_toxicity,
