@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rejoinder.llm import html_text, pii, topk, toxicity
+from rejoinder.llm.line_dedup import line_report, repeated_lines
 from rejoinder.llm.near_dedup import near_duplicates
 from rejoinder.llm.packing import pack_documents
 from rejoinder.llm.suffix_dedup import remove_repeats
@@ -100,6 +101,12 @@ FROM c LEFT JOIN n USING (doc_id)
 """
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    report = line_report(docs, repeated_lines(docs))
+    return report.select("doc_id", "n_lines", F.size("removed").alias("n_removed"), F.array_join("removed", ",").alias("removed"))
+
+
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.search(vectors, F.col("vec_id") % 50 == 0)
@@ -137,6 +144,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_personal_data": op3_personal_data,
     "op4_toxicity": op4_toxicity,
     "op5_near_dedup": op5_near_dedup,
+    "op6_line_dedup": op6_line_dedup,
     "op7_topk": op7_topk,
     "op8_html_text": op8_html_text,
     "op9_packing": op9_packing,
