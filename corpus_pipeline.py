@@ -5,26 +5,59 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from rejoinder.llm import toxicity
+from rejoinder.llm.decontamination import drop_contaminated
 from rejoinder.llm.frames import saved
+from rejoinder.llm.line_dedup import drop_lines, repeated_lines
+from rejoinder.llm.near_dedup import drop_near_duplicates
 from rejoinder.llm.packing import pack_documents
 
 
-def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Stage 5: pieces of the remaining documents and the sequences they lie in."""
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score 0.5 or more go."""
+    model = toxicity.train(docs.select("doc_id", "text"), _table(spark, sf_dir, "labels"))
+    return toxicity.drop_toxic(docs, model)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines similar to an earlier line go, and documents that nothing is left of."""
+    return drop_lines(docs, repeated_lines(docs))
+
+
+def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the least id stays."""
+    return drop_near_duplicates(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return drop_contaminated(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the remaining documents and the sequences they lie in."""
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES = [
-    ("packing", packing),
+    ("toxicity", drop_toxic),
+    ("line_dedup", dedup_lines),
+    ("near_dedup", dedup_documents),
+    ("decontamination", decontaminate),
+    ("packing", pack),
 ]
 
-#: Learned models and hashed signatures have no counterpart in SQL.
+#: Learned models and vocabularies have no counterpart in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written as Parquet and read again by the next."""
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = _table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = saved(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -190,9 +190,20 @@ def line_report(docs: DataFrame, removed: DataFrame) -> DataFrame:
 
 
 def drop_lines(docs: DataFrame, removed: DataFrame) -> DataFrame:
-    """The rows with all their columns, their ``text`` without the removed lines."""
+    """The rows with all their columns, their ``text`` without the removed lines.
+
+    A column ``n_chars``, if there is one, follows the text. A document all of whose words
+    stood in removed lines is left out.
+    """
     lists = removed.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_list("line_no").alias("__removed"))
     joined = docs.join(lists, docs["doc_id"] == F.col("__id"), "left")
-    kept = F.expr("array_join(filter(split(text, '\\n', -1), (line, i) -> NOT array_contains(__removed, i)), '\\n')")
-    text = F.when(F.col("__removed").isNull(), docs["text"]).otherwise(kept)
-    return joined.select(*(text.alias("text") if c == "text" else docs[c] for c in docs.columns))
+    kept = F.expr(
+        "transform(array(split(text, '\n', -1)), lines -> array_join(transform("
+        "array_except(sequence(0, size(lines) - 1), __removed), i -> lines[i]), '\n'))[0]"
+    )
+    changed = F.col("__removed").isNotNull()
+    new = {"text": F.when(changed, kept).otherwise(docs["text"])}
+    joined = joined.withColumns(new).filter(~changed | F.col("text").rlike(r"\S"))
+    if "n_chars" in docs.columns:
+        joined = joined.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return joined.select(docs.columns)

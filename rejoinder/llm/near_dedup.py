@@ -246,3 +246,16 @@ def near_duplicates(
     named = named.join(least, "component").select("node", "component_id")
     joined = signed.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node")).join(named, "node", "left")
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def drop_near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
+    """The rows with all their columns whose id is the least of their component, and rows without an id.
+
+    Of rows that repeat an id and its text one stays.
+    """
+    found = near_duplicates(docs, percent, size)
+    kept = found.filter("doc_id = component_id").select("doc_id").distinct()
+    firsts = docs.join(kept, "doc_id", "left_semi")
+    if not docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        firsts = firsts.dropDuplicates(["doc_id", "text"])
+    return firsts.select(docs.columns).union(docs.filter("doc_id IS NULL"))

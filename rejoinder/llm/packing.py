@@ -23,15 +23,18 @@ null ids come first. A text longer than a sequence is cut into several pieces.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from rejoinder.llm.frames import chunks
 from rejoinder.llm.token_counts import tokenizer
 
 SENTENCE_PENALTY = 4
@@ -39,7 +42,8 @@ HARD_PENALTY = 64
 HARD_STEP = 256
 STRETCH = 1 << 20
 LEAST_POWER = 256
-CACHE_WORDS = 800_000
+CACHE_WORDS = 400_000
+LEARN_BYTES = 1 << 20
 MARKS = ".,!?;:"
 SENTENCE_ENDS = frozenset(b".!?")
 LATIN_END = "\u0130"  # below it every letter is in composed form and has a plain lower case
@@ -62,16 +66,16 @@ class Words:
         self.parts: dict[str, bytes] = {}
 
     def _encoded(self, texts: list[str], by) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in by.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in by.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, words: list[bytes]) -> None:
-        new = set(words).difference(self.ids)
-        if len(self.ids) + len(new) > CACHE_WORDS:
+        """Makes ``ids`` know the words; forgets the others once they are many."""
+        if len(self.ids) > CACHE_WORDS:
             self.ids.clear()
-            new = set(words)
-        if len(self.parts) > CACHE_WORDS // 2:
+        new = set(words).difference(self.ids)
+        if len(self.parts) > CACHE_WORDS:
             self.parts.clear()
-        plain, other = [], []
+        parts, plain, other = self.parts, [], []
         for word in new:
             text = word.decode()
             body = text.rstrip(MARKS)
@@ -79,22 +83,19 @@ class Words:
                 plain.append((word, body.lower(), text[len(body) :]))
             else:
                 other.append(text)
-        parts = self.parts
         bodies = list({body for _, body, _ in plain}.difference(parts))
-        parts.update(zip(bodies, self._encoded(bodies, self.letters)))
+        spelt = [b if b.isascii() else b.encode().decode("latin-1").translate(_SPELT) for b in bodies]
+        parts.update(zip(bodies, self._encoded(spelt, self.letters)))
         marks = list({marks for _, _, marks in plain if marks}.difference(parts))
         parts.update(zip(marks, self._encoded(marks, self.whole)))
-        parts[""] = b""
         for word, body, marks in plain:
-            self.ids[word] = parts[body] + parts[marks]
+            self.ids[word] = parts[body] + parts[marks] if marks else parts[body]
         self.ids.update(zip(map(str.encode, other), self._encoded(other, self.whole)))
 
-    def encode(self, text: str | None) -> tuple[bytes, np.ndarray]:
-        """The ids as bytes, and the number of ids up to the end of each sentence."""
-        words = (text or "").encode().split()
+    def encode(self, words: list[bytes]) -> tuple[bytes, np.ndarray]:
+        """The ids of known words as bytes, and the number of ids up to the end of each sentence."""
         if not words:
             return b"", np.zeros(0, np.int64)
-        self.learn(words)
         found = list(map(self.ids.__getitem__, words))
         sizes = np.cumsum(np.fromiter(map(len, found), np.int64, len(found))) // 4
         return b"".join(found), sizes[[i for i, w in enumerate(words) if w[-1] in SENTENCE_ENDS]]
@@ -106,14 +107,17 @@ def _words(path: str) -> Words:
     return Words(path)
 
 
+# How byte-level vocabularies write the bytes that are no visible sign: the next free character.
+_HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
+_SPELT = {b: chr(256 + i) for i, b in enumerate(_HIDDEN)}
+
+
 @lru_cache(maxsize=2)
 def _letters_only(path: str):
-    """The same merges for one pre-token of lower-case letters."""
-    from tokenizers import Tokenizer, pre_tokenizers
+    """The merges alone, for one pre-token in the vocabulary's spelling."""
+    from tokenizers import Tokenizer
 
-    plain = Tokenizer(tokenizer(path).model)
-    plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-    return plain
+    return Tokenizer(tokenizer(path).model)
 
 
 def candidate_cuts(ends: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -212,7 +216,7 @@ class _Stream:
         return pieces
 
 
-def _pack(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: int) -> Iterator[pa.RecordBatch]:
+def _pack(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: int, stretch: int) -> Iterator[pa.RecordBatch]:
     words = _words(path)
     tail = np.array([end_id], "<u4").tobytes()
     stream = _Stream(capacity, TaskContext.get().partitionId() << 40)
@@ -222,18 +226,27 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: i
         return pa.record_batch([pa.array(c, pa.int64()) for c in zip(*pieces)], names=names)
 
     for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            ids, ends = words.encode(text.as_py())
-            stream.add(doc_id, ids + tail, ends)
-            if stream.end - stream.begin >= STRETCH:
-                if pieces := stream.pack(last=False):
-                    yield rows(pieces)
+        for part in chunks(batch, "text", LEARN_BYTES):
+            texts = [(t or "").encode().split() for t in part.column("text").to_pylist()]
+            words.learn(list(chain.from_iterable(texts)))
+            for doc_id, text in zip(part.column("doc_id").to_pylist(), texts):
+                ids, ends = words.encode(text)
+                stream.add(doc_id, ids + tail, ends)
+                if stream.end - stream.begin >= stretch:
+                    if pieces := stream.pack(last=False):
+                        yield rows(pieces)
     if stream.end > stream.begin:
         yield rows(stream.pack(last=True))
 
 
 def pack_documents(
-    docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 2, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    path: str,
+    capacity: int = 4096,
+    end_id: int = 2,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    stretch: int = STRETCH,
 ) -> DataFrame:
     """One row per piece: where it lies in its document and in which sequence.
 
@@ -242,4 +255,4 @@ def pack_documents(
     """
     texts = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].alias("text"))
     ordered = texts.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    return ordered.mapInArrow(lambda it: _pack(it, path, capacity, end_id), PIECES)
+    return ordered.mapInArrow(lambda it: _pack(it, path, capacity, end_id, stretch), PIECES)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rejoinder.llm import html_text, pii, topk, toxicity
+from rejoinder.llm.decontamination import find_items
 from rejoinder.llm.line_dedup import line_report, repeated_lines
 from rejoinder.llm.near_dedup import near_duplicates
 from rejoinder.llm.packing import pack_documents
@@ -138,6 +139,13 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    items = F.sort_array(F.array_distinct(F.flatten(F.collect_list("matches.item"))))
+    held = found.groupBy("doc_id").agg(items.alias("items"))
+    return held.select("doc_id", F.size("items").alias("n_items"), F.array_join(F.col("items").cast("array<string>"), ",").alias("items"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_token_counts": op2_token_counts,
@@ -148,6 +156,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_topk": op7_topk,
     "op8_html_text": op8_html_text,
     "op9_packing": op9_packing,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {

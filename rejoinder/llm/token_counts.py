@@ -114,7 +114,7 @@ class _Block:
 
 
 def _blocks(
-    batches: Iterator[pa.RecordBatch], pattern: str, special: tuple[str, ...], buckets: int
+    batches: Iterator[pa.RecordBatch], pattern: str, special: tuple[str, ...], buckets: int, block_bytes: int
 ) -> Iterator[pa.RecordBatch]:
     find = regex.compile(pattern).findall
     breaks = regex.compile("|".join(map(regex.escape, special))) if special else None
@@ -127,7 +127,7 @@ def _blocks(
             for part in parts[1:]:
                 counts.update(find(part))
             block.add(key, len(text.encode()), len(parts) - 1, counts)
-            if block.held >= BLOCK_BYTES or len(block.ids) >= BLOCK_ROWS:
+            if block.held >= block_bytes or len(block.ids) >= BLOCK_ROWS:
                 yield block.row(buckets)
                 block = _Block(block.number + 1)
     if block.ids:
@@ -165,7 +165,9 @@ def _sum_block(blocks: pa.Table, counts: pa.Table) -> pa.Table:
     )
 
 
-def count_tokens(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def count_tokens(
+    docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text", block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """``doc_id, n_bytes, n_tokens`` for each row.
 
     ``path`` names a byte-level BPE file of the tokenizers library whose pre-tokenizer
@@ -177,7 +179,8 @@ def count_tokens(docs: DataFrame, path: str, id_column: str = "doc_id", text_col
     pattern = public_tokenizers.PATTERN
     texts = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].alias("text"))
     buckets = max(LEAST_BUCKETS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    blocks = saved(texts.mapInArrow(lambda it: _blocks(it, pattern, special, buckets), BLOCK_SCHEMA), "token-blocks")
+    made = texts.mapInArrow(lambda it: _blocks(it, pattern, special, buckets, block_bytes), BLOCK_SCHEMA)
+    blocks = saved(made, "token-blocks")
     pieces = blocks.select("block", F.posexplode("pieces").alias("bucket", "pieces")).filter(F.length("pieces") > 0)
     counts = pieces.repartition("bucket").mapInArrow(lambda it: _count_pieces(it, path), "block long, bucket int, n binary")
     return (

@@ -1,0 +1,98 @@
+import random
+import re
+
+import pytest
+
+from rejoinder.llm import pii
+from tests.llm.conftest import TEXTS
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+CARD = "4539578763621486"
+
+
+def plain(text):
+    """The patterns as given, without the care for long runs."""
+    return [(k, m.start(), m.end()) for k, p in PATTERNS.items() for m in re.finditer(p, text) if pii.passes(k, m[0])]
+
+
+def test_base_spans_are_those_of_the_patterns():
+    rng = random.Random(5)
+    parts = ["a", "@", ".", "b.c", "_", "%", "1", "22.", "255", "256", "+1", " (", ") ", "-", " ", CARD, "12345678", "\n", "é", "@x.y", "0"]
+    for _ in range(3000):
+        text = "".join(rng.choices(parts, k=rng.randint(0, 14)))
+        assert pii.base_spans(text) == plain(text), text
+
+
+def test_long_runs_take_linear_time():
+    for text in ("1" * 200_000, "a" * 200_000 + "@", "1." * 100_000, "+" * 100_000, "a@" * 50_000, "+1" + " " * 200_000):
+        pii.base_spans(text)
+
+
+def test_tests_of_the_kinds():
+    assert pii.passes("ip", "1.2.3.255") and not pii.passes("ip", "1.2.3.256") and pii.passes("ip", "000001.2.3.4")
+    assert pii.passes("card", CARD) and not pii.passes("card", CARD[:-1] + "0") and not pii.passes("card", CARD[:15])
+    assert pii.passes("phone", "+1 (234) 567-8901") and not pii.passes("phone", "+1 23")
+
+
+@pytest.fixture(scope="module")
+def tagger(spark):
+    return pii.train(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+
+
+def test_model_parts_numbers_side_by_side(tagger):
+    text = f"and then of the +1 (578) 555-6437 {CARD} ndthat or {CARD} {CARD} er thing"
+    assert pii.base_spans(text) == []
+    extra = pii.model_spans([text], tagger)[0]
+    spans = [(k, text[a:b]) for k, a, b in pii.all_spans(text, [], extra)]
+    assert spans == [("card", CARD)] * 3 + [("phone", "+1 (578) 555-6437")]
+
+
+def test_windows_do_not_cut_spans(tagger):
+    for shift in range(0, 70, 7):
+        text = "a" * shift + " " + "word " * 20 + f"+1 (578) 555-6437 {CARD} tail" + " word" * 30
+        found = {(k, text[a:b]) for k, a, b in pii.all_spans(text, [], pii.model_spans([text], tagger)[0])}
+        assert found == {("card", CARD), ("phone", "+1 (578) 555-6437")}, shift
+
+
+def test_rows(spark, odd_docs, tagger):
+    rows = pii.find_personal_data(odd_docs, tagger).collect()
+    assert len(rows) == len(TEXTS) and all(set(r.base) <= set(r.spans) for r in rows)
+
+
+def test_nothing_to_learn_from(spark, no_docs, odd_docs):
+    assert pii.train(no_docs) is None
+    assert pii.find_personal_data(no_docs, None).collect() == []
+    assert len(pii.find_personal_data(odd_docs, None).collect()) == len(TEXTS)
+
+
+def test_gradients():
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    model = pii.Tagger.fresh(rng)
+    model.p = {k: v.astype(np.float64) for k, v in model.p.items()}
+    x, y = rng.integers(0, pii.CLASSES, (2, 6)), rng.integers(0, pii.TAGS, (2, 6))
+
+    def loss():
+        e, t = model.scores(x).transpose(1, 0, 2), model.p["t"]
+        alpha = e[0]
+        for s in range(1, 6):
+            alpha = e[s] + pii._log_sum(alpha[:, :, None] + t, 1)
+        path = sum(e[s, np.arange(2), y[:, s]] for s in range(6)) + sum(t[y[:, s], y[:, s + 1]] for s in range(5))
+        return float((pii._log_sum(alpha, 1) - path).mean())
+
+    grads = model.step(x, y)
+    for name, value in model.p.items():
+        at = np.unravel_index(np.abs(grads[name]).argmax(), value.shape)
+        kept = value[at]
+        value[at] = kept + 1e-2
+        up = loss()
+        value[at] = kept - 1e-2
+        slope = (up - loss()) / 2e-2
+        value[at] = kept
+        assert abs(slope - grads[name][at]) < 0.02 * max(0.1, abs(slope)), name
