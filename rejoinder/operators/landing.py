@@ -9,8 +9,8 @@ from rejoinder.operators.skew import (
     ROWS_PER_TASK,
     SALTS,
     hot_keys,
-    is_broadcast,
     join_keys,
+    may_be_skewed,
     replicate,
     scatter,
 )
@@ -40,10 +40,7 @@ def _compare(
     # Copies of an existing key collapse before the shuffle, and the join reuses
     # the partitioning of that aggregation.
     known = existing.select(f"`{key}`").distinct()
-    plain = new.join(known, on=key, how=how)
-    same_type = new.schema[key].dataType == known.schema[key].dataType
-    hot = hot_keys(new, key, rows_per_task) if same_type and not is_broadcast(plain) else []
-    if hot:
-        known = replicate(known, key, hot).drop(SALTS)
-        plain = scatter(new, key, hot).join(known, on=join_keys(key, hot), how=how)
-    return plain.select(*[F.col(f"`{name}`") for name in new.columns])
+    hot = hot_keys(new, key, rows_per_task) if may_be_skewed(new) else None
+    known = replicate(known, key, hot).drop(SALTS)
+    found = scatter(new, key, hot).join(known, on=join_keys(key, hot), how=how)
+    return found.select(*[F.col(f"`{name}`") for name in new.columns])

@@ -14,10 +14,9 @@ from rejoinder.operators.skew import (
     ROWS_PER_TASK,
     SALT,
     SALTS,
-    HotKeys,
     hot_keys,
-    is_broadcast,
     join_keys,
+    may_be_skewed,
     replicate,
     scatter,
 )
@@ -54,7 +53,8 @@ def check_requests(
         "__returns": _arrived(listing, returns_bucket, "__returns"),
     }
     # Both salts are set before the first join shuffles the rows.
-    hot = {name: _hot(files, known, name, rows_per_task) for name, known in arrived.items()}
+    large = may_be_skewed(manifest)
+    hot = {name: hot_keys(files, name, rows_per_task) if large else None for name in arrived}
     for name in arrived:
         files = scatter(files, name, hot[name], name + SALT)
     for name, known in arrived.items():
@@ -91,12 +91,6 @@ def _arrived(listing: DataFrame, bucket: str, column: str) -> DataFrame:
     return names.distinct().withColumn(f"{column}_arrived", F.lit(True))
 
 
-def _hot(requests: DataFrame, known: DataFrame, column: str, rows_per_task: int) -> HotKeys:
-    if is_broadcast(requests.join(known, on=column, how="left")):
-        return []
-    return hot_keys(requests, column, rows_per_task)
-
-
 def encode_outcome(
     outcome: DataFrame, execution_id: str = "batch", execution_at: float | None = None
 ) -> DataFrame:
@@ -116,20 +110,20 @@ def encode_outcome(
         .otherwise(fixed.STARTED_MESSAGE)
     )
     request = F.struct(
-        F.col("orders_key").alias("orders_s3_key"), F.col("returns_key").alias("returns_s3_key")
+        F.col("orders_key").alias(fixed.REQUEST_ORDERS), F.col("returns_key").alias(fixed.REQUEST_RETURNS)
     )
     started = F.struct(
         "message",
-        F.col(execution_id).alias("executionArn"),
-        F.col("orders_key").alias("orders_file"),
-        F.col("returns_key").alias("returns_file"),
-        F.lit(execution_at).cast("double").alias("execution_at"),
+        F.col(execution_id).alias(fixed.ANSWER_EXECUTION),
+        F.col("orders_key").alias(fixed.ANSWER_ORDERS),
+        F.col("returns_key").alias(fixed.ANSWER_RETURNS),
+        F.lit(execution_at).cast("double").alias(fixed.ANSWER_TIME),
     )
     body = (
-        F.when(code == BAD_REQUEST, F.to_json(F.struct("message", request.alias("input"))))
-        .when(code == NOT_FOUND, F.to_json(F.struct("message", "missing_files")))
+        F.when(code == BAD_REQUEST, F.to_json(F.struct("message", request.alias(fixed.ANSWER_INPUT))))
+        .when(code == NOT_FOUND, F.to_json(F.struct("message", F.col("missing_files").alias(fixed.ANSWER_MISSING))))
         .when(code == ERROR, F.to_json(F.struct("message", error.alias("error"))))
         .otherwise(F.to_json(started))
     )
-    answer = F.to_json(F.struct(F.col("status_code").alias("statusCode"), body.alias("body")))
+    answer = F.to_json(F.struct(F.col("status_code").alias(fixed.ANSWER_CODE), body.alias(fixed.ANSWER_BODY)))
     return outcome.withColumns({"status_code": code, "message": message}).withColumn("answer", answer)

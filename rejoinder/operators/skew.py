@@ -1,44 +1,43 @@
 """Spreading the rows of very frequent keys over many tasks.
 
-Nothing has to be spread where Catalyst broadcasts the right side. Else AQE splits
-a skewed left side of a left, semi or anti join at run time, but never the right
-side of a left join, and nothing behind an aggregation. For those, the frequent
-keys are found first: ``scatter`` then sends each row of such a key to one of
-several salts, ``replicate`` copies the rows of the other side to all of them, and
-the join takes the salt as a second key.
+AQE splits a skewed left side of a left, semi or anti join at run time, but never the
+right side of a left join, and nothing behind an aggregation. For those, the frequent
+keys are counted first: ``scatter`` then sends each row of such a key to one of several
+salts, ``replicate`` copies the rows of the other side to all of them, and the join takes
+the salt as a second key.
 """
 
 from __future__ import annotations
 
-import re
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from rejoinder.session import scratch_dir
 
 SALT = "__salt"
 SALTS = "__salts"
 
 ROWS_PER_TASK = 250_000
-MAX_HOT_KEYS = 1_000
-SALTS_PER_PARTITION = 4
-_TRACKED_KEYS = 10_000
-_MERGE_GROUPS = 256
+LISTED = 1_000_000
 
-# Key types that reach the driver and come back unchanged; text does as bytes. A key
-# of another type, such as a float, is not looked for.
-_EXACT = (T.StringType, T.IntegralType, T.DateType, T.DecimalType)
+_SKEWED = "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"
+_BROADCAST = "spark.sql.autoBroadcastJoinThreshold"
 
-HotKeys = list[tuple[object, int]]
 
+def may_be_skewed(df: DataFrame) -> bool:
+    """Whether ``df`` is estimated larger than one partition that AQE would call skewed.
+
+    Below that, all rows on one key would still be no skewed partition; and what is small
+    enough to be broadcast is not shuffled at all.
+    """
+    spark = df.sparkSession
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return estimate > max(_bytes(spark, _SKEWED), _bytes(spark, _BROADCAST))
 
-def is_broadcast(joined: DataFrame) -> bool:
-    """Whether the outermost join of ``joined`` is planned as a broadcast join, as
-    it is if Catalyst estimates the right side below the broadcast threshold."""
-    plan = joined.sparkSession.sql("EXPLAIN SELECT * FROM {joined}", joined=joined).first()[0]
-    outermost = re.search(r"^[ :+-]*(?:\*\(\d+\) )?(\w+Join)\b", plan, re.MULTILINE)
-    return outermost is not None and outermost.group(1) == "BroadcastHashJoin"
+
+def _bytes(spark: SparkSession, name: str) -> int:
+    given = spark.conf.get(name)
+    return -1 if given.startswith("-") else spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(given)
 
 
 def aqe_splits(spark: SparkSession) -> bool:
@@ -47,81 +46,60 @@ def aqe_splits(spark: SparkSession) -> bool:
     return all(spark.conf.get(name).lower() == "true" for name in names)
 
 
-def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> HotKeys:
-    """The keys with more than ``rows_per_task`` rows, each with its number of salts.
-
-    One pass over the key column: every task keeps a frequent-items sketch of fixed
-    size, so no keys are shuffled; the sketches are merged in two steps. A sketch
-    finds every key above a few ten-thousandths of all rows, and at most
-    ``MAX_HOT_KEYS`` come back to the driver. The list only steers where rows go:
-    a key it misses is joined like any other.
+def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame | None:
+    """The keys with more than ``rows_per_task`` rows, as a table ``key, __salts``, or none.
 
-    More salts than a few per shuffle partition would spread no better, so there
-    their number ends.
+    Every key is counted, with partial counts before the shuffle, and keys are compared
+    as the join compares them, so all types are covered. The list is written, since it
+    is used on both sides. Its size has a proven bound: where more than ``LISTED`` keys are
+    frequent, only those above a ``LISTED``-th of all their rows need salts to keep tasks
+    even, and there are fewer than ``LISTED`` of these.
     """
-    kind = df.schema[key].dataType
-    if not isinstance(kind, _EXACT):
-        return []
-    keys = df.select(F.col(f"`{key}`").alias("k")).filter(F.col("k").isNotNull())
-    most = SALTS_PER_PARTITION * _shuffle_partitions(df.sparkSession)
-    salts = F.least(F.ceil(F.col("count") / rows_per_task), F.lit(most))
-    found = (
-        keys.groupBy(F.expr(f"pmod(spark_partition_id(), {_MERGE_GROUPS})"))
-        .agg(F.expr(f"approx_top_k_accumulate(k, {_TRACKED_KEYS})").alias("sketch"))
-        .groupBy(F.lit("all"))
-        .agg(F.expr(f"approx_top_k_combine(sketch, {_TRACKED_KEYS})").alias("sketch"))
-        .select(F.expr(f"inline(approx_top_k_estimate(sketch, {MAX_HOT_KEYS}))"))
-        .filter(F.col("count") > rows_per_task)
-        .select(F.col("item").cast(_carrier(kind)).alias("item"), salts.cast("int").alias("salts"))
-    )
-    return [(row.item, row.salts) for row in found.collect()]
-
-
-def _carrier(kind: T.DataType) -> T.DataType:
-    return T.BinaryType() if isinstance(kind, T.StringType) else kind
-
-
-def _shuffle_partitions(spark: SparkSession) -> int:
-    usual = spark.conf.get("spark.sql.shuffle.partitions")
-    return int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", usual))
-
-
-def scatter(df: DataFrame, key: str, hot: HotKeys, salt: str = SALT) -> DataFrame:
+    keys = df.select(F.col(f"`{key}`").alias(key)).filter(F.col(f"`{key}`").isNotNull())
+    counts = keys.groupBy(f"`{key}`").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > rows_per_task)
+    path = scratch_dir(df.sparkSession, "hot-keys")
+    counts.write.parquet(path)
+    counts = df.sparkSession.read.schema(counts.schema).parquet(path)
+    known = counts.agg(F.count(F.lit(1)).alias("keys"), F.sum("rows").alias("rows")).first()
+    if not known["keys"]:
+        return None
+    least = max(rows_per_task, known["rows"] // LISTED)
+    salts = F.ceil(F.col("rows") / least).cast("int").alias(SALTS)
+    return counts.filter(F.col("rows") > least if least > rows_per_task else F.lit(True)).select(f"`{key}`", salts)
+
+
+def scatter(df: DataFrame, key: str, hot: DataFrame | None, salt: str = SALT) -> DataFrame:
     """Add ``salt``: rows of a hot key go round its salts, all others get 0.
 
     The salt follows the position of a row in its partition, so exact copies are
     spread too. Use it on what comes from a scan, before any shuffle: a task that
     is run again over the same files then repeats it.
     """
-    if not hot:
+    if hot is None:
         return df
     position = F.pmod(F.monotonically_increasing_id(), F.col(SALTS)).cast("int")
     return _with_salts(df, key, hot).withColumn(salt, position).drop(SALTS)
 
 
-def replicate(df: DataFrame, key: str, hot: HotKeys, salt: str = SALT) -> DataFrame:
+def replicate(df: DataFrame, key: str, hot: DataFrame | None, salt: str = SALT) -> DataFrame:
     """Add ``__salts`` and ``salt``: rows of a hot key once per salt, all others
     once with salt 0."""
-    if not hot:
+    if hot is None:
         return df
     every = F.explode(F.sequence(F.lit(0), F.col(SALTS) - 1))
     return _with_salts(df, key, hot).withColumn(salt, every)
 
 
-def join_keys(key: str, hot: HotKeys, salt: str = SALT) -> list[str]:
+def join_keys(key: str, hot: DataFrame | None, salt: str = SALT) -> list[str]:
     """The columns to join on: the salt is there only if a key is hot."""
-    return [key, salt] if hot else [key]
+    return [key] if hot is None else [key, salt]
 
 
-def _with_salts(df: DataFrame, key: str, hot: HotKeys) -> DataFrame:
-    # At most MAX_HOT_KEYS rows, so the broadcast cannot grow with the data.
-    values, numbers = zip(*hot)
-    known = df.sparkSession.createDataFrame(
-        pa.table({key: list(values), "__found": pa.array(numbers, pa.int32())})
-    )
-    salts = F.broadcast(known.withColumn(key, F.col(f"`{key}`").cast(df.schema[key].dataType)))
+def _with_salts(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    # Fewer than LISTED rows, see hot_keys, so the broadcast cannot grow with the data.
+    own = F.broadcast(hot.select(F.col(f"`{hot.columns[0]}`").alias("__hot"), F.col(SALTS).alias("__found")))
     return (
-        df.join(salts, key, "left")
+        df.join(own, F.col(f"`{key}`") == F.col("__hot"), "left")
         .withColumn(SALTS, F.coalesce("__found", F.lit(1)))
-        .drop("__found")
+        .drop("__found", "__hot")
     )

@@ -31,9 +31,12 @@ def spark():
 @pytest.fixture
 def no_broadcast(spark):
     """Plan as if every table were large; only what is marked is broadcast."""
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")
+    for name, value in zip(names, ("-1", "0")):
+        spark.conf.set(name, value)
     yield
-    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for name in names:
+        spark.conf.unset(name)
 
 
 @pytest.fixture

@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql.functions import broadcast, spark_partition_id
+from pyspark.sql.functions import spark_partition_id
 
 from rejoinder.operators import skew
 from rejoinder.operators.enrich import drop_null_keys, enrich, join_returns, stamp
@@ -110,26 +110,38 @@ def test_any_input_joins_as_by_hand(spark, no_broadcast, orders, returns, rows_p
     assert Counter(map(tuple, joined.collect())) == Counter(brute_force(orders, returns))
 
 
-def test_broadcast_joins_are_recognised(spark, no_broadcast):
-    left, right = frames(spark, [("1", "a")], [("1", "b")])
-    inner = left.join(broadcast(right), "Order ID")
-    assert skew.is_broadcast(inner) and not skew.is_broadcast(left)
-    assert not skew.is_broadcast(inner.join(right.drop("r"), "Order ID", "left"))
-    outer = left.join(right, "Order ID").join(broadcast(right.drop("r")), "Order ID")
-    assert skew.is_broadcast(outer.selectExpr("c as `an EquiJoin`"))
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    assert skew.is_broadcast(outer) and not skew.is_broadcast(left.join(right, "Order ID"))
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
+def listed(df, key, rows_per_task):
+    hot = skew.hot_keys(df, key, rows_per_task)
+    return {} if hot is None else dict(map(tuple, hot.collect()))
+
+
+def test_small_sides_are_not_searched(spark, no_broadcast):
+    _, right = frames(spark, [("1", "a")], [("1", "b")])
+    assert skew.may_be_skewed(right)
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1MB")
+    assert not skew.may_be_skewed(spark.range(1_000)) and skew.may_be_skewed(spark.range(1_000_000))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1GB")
+    assert not skew.may_be_skewed(spark.range(1_000_000))
 
 
 def test_hot_keys(spark):
     _, right = frames(spark, [("1", "a")], SKEWED_RETURNS)
-    found = dict(skew.hot_keys(right.repartition(6), "Order ID", 50))
-    assert found == {b"hot": 8, b"warm": 2, b"orphan": 2}
-    assert skew.hot_keys(right, "Order ID", 1_000_000) == []
-    assert skew.hot_keys(right.filter("false"), "Order ID", 0) == []
-    # four salts per shuffle partition are the most
-    assert dict(skew.hot_keys(right, "Order ID", 1))[b"hot"] == 16
+    assert listed(right.repartition(6), "Order ID", 50) == {"hot": 8, "warm": 2, "orphan": 2}
+    assert listed(right, "Order ID", 1_000_000) == {} == listed(right.filter("false"), "Order ID", 0)
+    assert listed(right, "Order ID", 1)["hot"] == 400
+
+
+def test_the_list_has_no_cap_and_any_resolution(spark):
+    many = spark.range(3_000 * 8).selectExpr("cast(id % 3000 as string) as k")
+    assert len(listed(many, "k", 5)) == 3_000
+    rare = spark.range(600_000).selectExpr("if(id < 600, id % 20, id) as k")  # 20 keys of 30 rows each
+    assert listed(rare, "k", 15) == {k: 2 for k in range(20)}
+
+
+def test_longer_lists_keep_the_most_frequent(spark, monkeypatch):
+    monkeypatch.setattr(skew, "LISTED", 4)
+    rows = spark.range(1_000).selectExpr("if(id < 600, 0, id % 40) as k")
+    assert listed(rows, "k", 5) == {0: 3}  # above a fourth of the rows of all frequent keys
 
 
 KEYS = {
@@ -148,10 +160,19 @@ KEYS = {
 def test_keys_of_any_type(spark, no_broadcast, kind):
     right = spark.range(200).selectExpr(f"{KEYS[kind]} as `Order ID`", "id as r")
     left = right.select("Order ID").distinct()
-    looked_for = kind not in ("double", "timestamp")
-    assert len(skew.hot_keys(right, "Order ID", 20)) == (2 if looked_for else 0)
+    assert len(listed(right, "Order ID", 20)) == (1 if kind == "double" else 2)  # 0.0 equals -0.0
+    joined = join_returns(left, right, rows_per_task=20)
+    assert "__salt" in joined._jdf.queryExecution().toString()
+    assert joined.filter("r is not null").select("r").distinct().count() == 200
+    assert joined.count() == left.join(right, "Order ID", "left").count()
+
+
+def test_keys_of_two_types_are_spread(spark, no_broadcast):
+    left = spark.range(3).selectExpr("cast(id as int) as `Order ID`")
+    right = spark.range(200).selectExpr("id % 2 as `Order ID`", "id as r")
     joined = join_returns(left, right, rows_per_task=20)
-    assert joined.filter("r is not null").select("r").distinct().count() == joined.count() == 200
+    assert "__salt" in joined._jdf.queryExecution().toString()
+    assert joined.count() == 201 and joined.filter("r is null").select("Order ID").collect() == [(2,)]
 
 
 def test_copies_are_spread(spark):
