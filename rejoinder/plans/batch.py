@@ -17,6 +17,7 @@ from rejoinder.operators.gates import InputError, require_columns, require_disti
 from rejoinder.operators.skew import ROWS_PER_TASK
 from rejoinder.sinks.tables import write_jdbc, write_parquet
 from rejoinder.sources.csv import rejected_rows, scan_csv, scan_text
+from rejoinder.sources.paths import holds_files_of
 
 log = logging.getLogger(__name__)
 
@@ -68,7 +69,7 @@ def run_batch(
     outputs = [output_path] + ([rejects_path] if rejects_path else [])
     for output in outputs:
         for path in (orders_path, returns_path):
-            if overlaps(output, path):
+            if overlaps(output, path) or holds_files_of(spark, output, path):
                 raise InputError(f"output {output} would overwrite input {path}")
     if rejects_path and overlaps(rejects_path, output_path):
         raise InputError(f"rejects {rejects_path} and output {output_path} overlap")
@@ -106,7 +107,7 @@ def run_batch(
 
 
 def overlaps(output: str, given: str) -> bool:
-    """Whether one path is, contains or matches the other."""
+    """Whether one path is, contains or matches the other, as far as their names tell."""
     out, source = _plain(output), _plain(given)
     return (
         out == source

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rejoinder.functions.keys import file_path
@@ -27,3 +28,22 @@ def with_input_paths(manifest: DataFrame, base_orders: str, base_returns: str) -
             "returns_path": file_path(base_returns, F.col("returns_key")),
         }
     )
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as its file system names it: with scheme, without dots and doubled slashes."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop).toString()
+
+
+def holds_files_of(spark: SparkSession, output: str, given: str) -> bool:
+    """Whether any file that ``given`` (a file, folder or pattern) stands for lies at or below ``output``."""
+    below = qualified(spark, output).rstrip("/")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    try:
+        found = files.load(given).select("path")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return not found.filter((F.col("path") == below) | F.col("path").startswith(below + "/")).isEmpty()

@@ -131,6 +131,16 @@ def test_output_over_input_stops(spark, pair, tmp_path):
             run_batch(spark, *pair, output)
 
 
+@pytest.mark.parametrize("pattern", ["*/x.csv", "{a,b}/x.csv", "c/../a/x.csv", "?/*.csv", "."])
+def test_output_over_resolved_input_stops(spark, pair, write_csv, tmp_path, pattern):
+    file = write_csv("ov/a/x.csv", "Order ID,c\n1,a\n")
+    write_csv("ov/c/y.csv", "Order ID,c\n2,b\n")
+    for out in ("ov/a", "ov/./a", "ov//c/../a"):
+        with pytest.raises(InputError, match="overwrite"):
+            run_batch(spark, f"{tmp_path}/ov/{pattern}", pair[1], f"{tmp_path}/{out}")
+    assert open(file).read().startswith("Order ID")
+
+
 def test_rejects_are_kept(spark, pair, write_csv, tmp_path):
     orders = write_csv("in/bad.csv", "Order ID,n,When\nA2,1,01-08-2023\nA6,x,2023-08-01\nA9,,31-02-2023\n")
     out, rejects = str(tmp_path / "out"), str(tmp_path / "rejects")
