@@ -125,3 +125,15 @@ def test_record_type(spark):
         [(200, '[{"a": {"b": [1, 2]}, "OBJECT": "x"}]')], "statusCode int, body string"
     )
     assert decode_records(nested).selectExpr("a.b[1]", "OBJECT").first()[:] == (2, "x")
+
+
+def test_odd_answers_cost_only_themselves(spark):
+    bodies = ['[{"a": 1}]', "[1]", '[null, 5, {"a": 2, "b": "x"}, "{}", [{"a": 9}]]', '{"a": 3}', "[{", None, "[]", '[{"a": "t"}]']
+    answers = spark.createDataFrame([(200, b) for b in bodies] + [(500, '[{"a": 7}]')], "statusCode int, body string")
+    assert rows(decode_records(answers), "a", "b") == [("1", None), ("2", "x"), ("t", None)]
+    assert rows(decode_records(answers, "struct<a: int>"), "a") == [(None,), (1,), (2,)]
+
+
+def test_names_like_types(spark):
+    answers = spark.createDataFrame([(200, '[{"VOID": 1, "OBJECT<x": {"VARIANT": null}}]')], "statusCode int, body string")
+    assert decode_records(answers).first().asDict(True) == {"VOID": 1, "OBJECT<x": {"VARIANT": None}}
