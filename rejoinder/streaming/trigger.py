@@ -10,24 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from rejoinder.operators.gates import InputError
-from rejoinder.operators.shape import latest_key
 from rejoinder.plans.batch import run_batch
 from rejoinder.sources.paths import literal_path
-from rejoinder.sources.results import list_files
 from rejoinder.streaming.landing import file_names
 
 log = logging.getLogger(__name__)
 
-
-def newest_file(spark: SparkSession, folder: str, pattern: str = "*.csv") -> str | None:
-    """The path of the last landing key by name; ``None`` if nothing has landed."""
-    try:
-        newest = latest_key(list_files(spark, folder, pattern), "path").first()[0]
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        newest = None
-    return newest and literal_path(newest)
+_WAITING = "kind string, path string"
+_RUNS = "pair string, orders string, returns string, error string"
 
 
 def run_on_arrival(
@@ -39,33 +29,65 @@ def run_on_arrival(
     pattern: str = "*.csv",
     **batch,
 ) -> StreamingQuery:
-    """Run a batch on the newest orders and the newest returns file whenever either
-    folder has new files. Files lie there under their landing keys.
+    """Run a batch on every pair of an orders and a returns file that arrive.
 
-    Nothing runs while one folder is empty. An input that fails its checks is
-    logged, and the next arrival tries again; other failures stop the query, and
-    starting it again repeats the batch. ``batch`` goes to ``run_batch``.
+    Files lie there under their landing keys. In the order of their names the first
+    orders file belongs to the first returns file, and so on; a file without a partner waits
+    for the next arrival. Each pair has a result of its own, ``pair=<orders file>`` below
+    ``output_path``, so the results can be read as one dataset. A pair whose input fails its
+    checks leaves none; ``runs`` lists every pair with its error, if any. Other failures stop
+    the query, and starting it again repeats its last pairs, whose results are replaced.
+    ``batch`` goes to ``run_batch``.
     """
+    state = checkpoint.rstrip("/")
 
     def run(new_files: DataFrame, batch_id: int) -> None:
-        if new_files.isEmpty():
-            return
         session = new_files.sparkSession
-        orders, returns = (newest_file(session, f, pattern) for f in (orders_folder, returns_folder))
-        if not orders or not returns:
-            log.info("batch %s waits for the other file", batch_id)
-            return
-        try:
-            run_batch(session, orders, returns, output_path, **batch)
-        except InputError as error:
-            log.error("batch %s: %s", batch_id, error)
+        new = [(row.kind, row.path) for row in new_files.select("kind", "path").collect()]  # one micro-batch
+        files = sorted([*new, *_waiting(session, state, batch_id - 1)], key=lambda f: _name(f[1]))
+        orders, returns = ([path for kind, path in files if kind == wanted] for wanted in ("orders", "returns"))
+        runs = []
+        for left, right in zip(orders, returns):
+            pair, error = _name(left), None
+            try:
+                result = f"{output_path.rstrip('/')}/pair={pair}"
+                run_batch(session, literal_path(left), literal_path(right), result, **batch)
+            except InputError as refused:
+                error = str(refused)
+                log.error("pair %s: %s", pair, error)
+            runs.append((pair, left, right, error))
+        paired = min(len(orders), len(returns))
+        rest = [("orders", path) for path in orders[paired:]] + [("returns", path) for path in returns[paired:]]
+        for name, rows, schema in (("runs", runs, _RUNS), ("waiting", rest, _WAITING)):
+            table = session.createDataFrame(rows, schema).coalesce(1)
+            table.write.mode("overwrite").parquet(f"{state}/{name}/batch={batch_id}")
 
     arrivals = file_names(spark, orders_folder, pattern).withColumn("kind", F.lit("orders")).unionAll(
         file_names(spark, returns_folder, pattern).withColumn("kind", F.lit("returns"))
     )
     return (
         arrivals.writeStream.foreachBatch(run)
-        .option("checkpointLocation", checkpoint)
+        .option("checkpointLocation", f"{state}/stream")
         .trigger(availableNow=True)
         .start()
     )
+
+
+def runs(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """``pair, orders, returns, error, batch`` of every pair that was run or refused."""
+    return spark.read.schema(f"{_RUNS}, batch long").parquet(f"{checkpoint.rstrip('/')}/runs")
+
+
+def _waiting(spark: SparkSession, state: str, batch_id: int) -> list[tuple[str, str]]:
+    """The files that had no partner after a batch."""
+    try:
+        found = spark.read.schema(_WAITING).parquet(f"{state}/waiting/batch={batch_id}").collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return [(row.kind, row.path) for row in found]
+
+
+def _name(path: str) -> str:
+    return path.rsplit("/", 1)[-1]

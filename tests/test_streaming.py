@@ -9,7 +9,8 @@ from datetime import date
 import pytest
 
 from rejoinder.streaming.landing import LANDING_KEY, land_files, land_rows
-from rejoinder.streaming.trigger import newest_file, run_on_arrival
+from rejoinder.sources.results import read_result
+from rejoinder.streaming.trigger import run_on_arrival, runs
 from tests.conftest import rows
 
 
@@ -89,36 +90,69 @@ def test_any_mixture_of_headers(spark, write_csv, tmp_path, first):
     assert rows(landed, "Order ID", "x") == [("1", seen), ("2", "c"), ("3", "d")]
 
 
-def test_repeated_batch_leaves_no_copies(spark, write_csv, tmp_path):
+@pytest.mark.parametrize("land", ["rows", "files"])
+def test_lost_checkpoint_neither_skips_nor_doubles(spark, write_csv, tmp_path, land):
+    def run(checkpoint):
+        folders = [str(tmp_path / name) for name in ("in", "out", checkpoint)]
+        if land == "rows":
+            query = land_rows(spark, folders[0], ["Order ID", "x"], *folders[1:], max_files=1)
+        else:
+            query = land_files(spark, *folders, max_files=1)
+        query.awaitTermination()
+        return rows(read_result(spark, "parquet", path=folders[1]), "Order ID", "x")
+
+    for i in range(3):
+        write_csv(f"in/{i}.csv", f"Order ID,x\n{i},a\n")
+    wanted = [(str(i), "a") for i in range(3)]
+    assert run("cp1") == wanted
+    write_csv("in/3.csv", "Order ID,x\n3,a\n")
+    wanted.append(("3", "a"))
+    assert run("cp2") == wanted and run("cp2") == wanted
+    write_csv("in/4.csv", "Order ID,x\n4,a\n")
+    wanted.append(("4", "a"))
+    assert run("cp1") == wanted == run("cp3")
+    landed = read_result(spark, "parquet", path=str(tmp_path / "out"))
+    assert sorted(r[0][16:] for r in landed.select(LANDING_KEY).collect()) == [f"{i}.csv" for i in range(5)]
+
+
+def test_columns_of_all_batches_come_back(spark, write_csv, tmp_path):
+    folders = [str(tmp_path / name) for name in ("in", "out", "cp")]
     write_csv("in/a.csv", "Order ID,x\n1,a\n")
-    for checkpoint in ("cp1", "cp2"):  # a lost checkpoint runs batch 0 again
-        land_files(
-            spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / checkpoint)
-        ).awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+    land_files(spark, *folders).awaitTermination()
+    write_csv("in/b.csv", "Order ID,Coupon\n2,c\n")
+    land_files(spark, *folders).awaitTermination()
+    landed = read_result(spark, "parquet", path=folders[1])
+    assert rows(landed, "Order ID", "x", "Coupon") == [("1", "a", None), ("2", None, "c")]
 
 
-def test_arrivals_start_a_batch(spark, write_csv, tmp_path):
-    folders = [str(tmp_path / "orders"), str(tmp_path / "returns")]
+def test_every_pair_runs(spark, write_csv, tmp_path):
+    out, state = str(tmp_path / "out"), str(tmp_path / "cp")
     for folder in ("orders", "returns"):
         (tmp_path / folder).mkdir()
-    out = tmp_path / "out"
 
     def run():
-        run_on_arrival(spark, *folders, str(out), str(tmp_path / "cp")).awaitTermination()
-        return rows(spark.read.parquet(str(out)), "Order ID", "r") if out.exists() else None
-
-    assert newest_file(spark, folders[0]) is None and newest_file(spark, str(tmp_path / "no")) is None
-    write_csv("orders/20240101_000000_o.csv", "Order ID,c\n1,a\n")
-    assert run() is None  # no returns yet
-    write_csv("returns/20240101_000001_r.csv", "Order ID,r\n1,x\n")
-    assert run() == [("1", "x")]
-    written = sorted(p.name for p in out.glob("part-*"))
-    run()  # nothing new, nothing written
-    assert sorted(p.name for p in out.glob("part-*")) == written
-    write_csv("orders/20240102_000000_o.csv", "Order ID,c\n1,a\n2,b\n")
-    assert run() == [("1", "x"), ("2", None)]
-    write_csv("returns/20240103_000000_r.csv", "order id,r\n2,y\n")
-    assert run() == [("1", "x"), ("2", None)]  # refused, the old result stays
-    write_csv("returns/20240104_000000_r [2].csv", "Order ID,r\n2,z\n")
-    assert run() == [("1", None), ("2", "z")]
+        run_on_arrival(spark, str(tmp_path / "orders"), str(tmp_path / "returns"), out, state).awaitTermination()
+        if not (tmp_path / "out").exists():
+            return None
+        return sorted(map(tuple, spark.read.parquet(out).selectExpr("left(pair, 8)", "`Order ID`", "r").collect()), key=str)
+
+    def arrive(day, kind, text):
+        write_csv(f"{kind}/2024010{day}_000000_{kind}.csv", text)
+
+    arrive(1, "orders", "Order ID,c\n1,a\n")
+    assert run() is None  # waits for its returns
+    arrive(1, "returns", "Order ID,r\n1,x\n")
+    first = [("20240101", "1", "x")]
+    assert run() == first == run()
+    for day in (2, 3, 4):
+        arrive(day, "orders", f"Order ID,c\n{day},a\n")
+        arrive(day, "returns", f"{'order id' if day == 3 else 'Order ID'},r\n{day},y\n")
+    found = first + [("20240102", "2", "y"), ("20240104", "4", "y")]
+    assert run() == found == run()
+    listed = {r.pair[:8]: r.error for r in runs(spark, state).collect()}
+    assert listed.keys() == {"20240101", "20240102", "20240103", "20240104"}
+    assert [day for day, error in listed.items() if error] == ["20240103"]
+    arrive(5, "returns", "Order ID,r\n5,z\n")
+    arrive(5, "orders", "Order ID,c\n5,a\n")
+    arrive(6, "orders", "Order ID,c\n6,a\n")
+    assert run() == found + [("20240105", "5", "z")]
