@@ -13,15 +13,20 @@ import argparse
 import logging
 import sys
 
+from rejoinder.functions.fixed import DATE_FORMAT, JOB_ARGUMENTS
 from rejoinder.plans.batch import run_batch
 from rejoinder.session import build_session
 from rejoinder.sources.csv import MODES
 from rejoinder.sources.paths import input_path
 
 
+JDBC_TEXTS = ("url", "table", "user", "password", "driver")
+JDBC_NUMBERS = ("num_partitions", "batch_size")
+
+
 def parse_arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="rejoinder")
-    for name in ("JOB_NAME", "orders_s3_key", "returns_s3_key", "base_orders", "base_returns", "output"):
+    for name in (*JOB_ARGUMENTS, "base_orders", "base_returns", "output"):
         parser.add_argument(f"--{name}", required=True)
     parser.add_argument("--mode", choices=MODES, default="declared")
     parser.add_argument("--multi_line", action="store_true")
@@ -31,8 +36,11 @@ def parse_arguments(argv: list[str] | None = None) -> argparse.Namespace:
         parser.add_argument(
             f"--{name}_type", action="append", type=_typed, default=[], metavar="COLUMN=TYPE"
         )
-    for name in ("url", "table", "user", "password", "driver"):
+    parser.add_argument("--date_format", default=DATE_FORMAT)
+    for name in JDBC_TEXTS:
         parser.add_argument(f"--jdbc_{name}")
+    for name in JDBC_NUMBERS:
+        parser.add_argument(f"--jdbc_{name}", type=int)
     return parser.parse_args(argv)
 
 
@@ -48,7 +56,7 @@ def main(argv: list[str] | None = None) -> int:
     given = parse_arguments(argv)
     jdbc = {
         name: getattr(given, f"jdbc_{name}")
-        for name in ("url", "table", "user", "password", "driver")
+        for name in (*JDBC_TEXTS, *JDBC_NUMBERS)
         if getattr(given, f"jdbc_{name}")
     }
     spark = build_session(given.JOB_NAME)
@@ -62,6 +70,7 @@ def main(argv: list[str] | None = None) -> int:
             mode=given.mode,
             order_types=dict(given.order_type),
             return_types=dict(given.return_type),
+            date_format=given.date_format,
             multi_line=given.multi_line,
             trim_keys=given.trim_keys,
             rejects_path=given.rejects,

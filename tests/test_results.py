@@ -18,7 +18,13 @@ def test_all_parts_are_read(spark, tmp_path):
     tables.write_parquet(spark.range(0, 1000, 1, 5), path)
     assert list_files(spark, path, "*.parquet").count() == 5
     assert read_parquet_result(spark, path).count() == 1000
-    assert read_parquet_result(spark, path, last_part_only=True).count() == 200
+
+
+def test_parts_with_other_columns(spark, tmp_path):
+    spark.range(2).write.parquet(str(tmp_path / "r/batch_id=a-0"))
+    spark.range(3).selectExpr("id", "'x' as Coupon").write.parquet(str(tmp_path / "r/batch_id=a-1"))
+    back = read_result(spark, "parquet", path=str(tmp_path / "r"))
+    assert sorted(back.columns) == ["Coupon", "id"] and back.count() == 5 and back.filter("Coupon = 'x'").count() == 3
 
 
 def test_partitioned_result(spark, tmp_path):
@@ -41,6 +47,25 @@ def test_no_result_warns(spark, tmp_path):
         read_result(spark, "paper")
 
 
+def test_no_table_warns(spark):
+    with pytest.warns(UserWarning, match="No data found"):
+        assert read_result(spark, "jdbc", url=URL, table="never_written", **DRIVER) is None
+    with pytest.raises(Exception):
+        read_result(spark, "jdbc", url="jdbc:derby:memory:nowhere", table="t", **DRIVER)
+
+
+def test_bounds_are_looked_up(spark):
+    tables.write_jdbc(spark.range(10, 110).selectExpr("id as `Order ID`"), URL, "bounded", **DRIVER)
+    back = read_jdbc_result(spark, URL, "bounded", partition_column="Order ID", num_partitions=4, **DRIVER)
+    assert back.rdd.getNumPartitions() == 4 and back.count() == 100
+
+
+def test_count_passes_connection_options(spark, monkeypatch):
+    tables.write_jdbc(spark.range(3), URL, "counted", **DRIVER)
+    given = {"truncate": "true", "numPartitions": "2", "queryTimeout": "10", **DRIVER}
+    assert tables.count_table(spark, URL, "counted", **given) == 3
+
+
 def test_table_is_replaced_with_the_new_schema(spark):
     df = spark.range(50).selectExpr("id as `Order ID`", "cast(id as string) as v")
     tables.write_jdbc(df, URL, "replaced", num_partitions=2, **DRIVER)
@@ -92,3 +117,15 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_dir(Remote, "x")
+
+
+def test_scratch_is_forgotten(spark):
+    from rejoinder import session
+
+    path = session.scratch_dir(spark, "x")
+    spark.range(3).write.parquet(path)
+    kept, session._made[:] = session._made[:], [path]
+    session.forget_scratch(spark)
+    session._made[:] = [p for p in kept if p != path]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
