@@ -33,3 +33,23 @@ BAD_REQUEST_MESSAGE = "❌ Missing orders_s3_key or returns_s3_key in input."
 MISSING_FILE_MESSAGE = "❌ One or both input files are missing in S3."
 STARTED_MESSAGE = "✅ Step Function triggered successfully"
 START_ERROR_MESSAGE = "❌ Error triggering Step Function"
+
+# Arguments of the job.
+JOB_ARGUMENTS = ("JOB_NAME", "orders_s3_key", "returns_s3_key")
+
+# Columns with the details of run events.
+ENTERED_DETAILS = "stateEnteredEventDetails"
+EXITED_DETAILS = "stateExitedEventDetails"
+FAILED_DETAILS = "executionFailedEventDetails"
+
+# Fields of the answers to a batch request.
+ANSWER_CODE = "statusCode"
+ANSWER_BODY = "body"
+ANSWER_INPUT = "input"
+ANSWER_MISSING = "missing_files"
+ANSWER_EXECUTION = "executionArn"
+ANSWER_ORDERS = "orders_file"
+ANSWER_RETURNS = "returns_file"
+ANSWER_TIME = "execution_at"
+REQUEST_ORDERS = "orders_s3_key"
+REQUEST_RETURNS = "returns_s3_key"

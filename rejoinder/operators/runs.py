@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 
 from rejoinder.functions import fixed, status
 
-ENTERED = "stateEnteredEventDetails"
-EXITED = "stateExitedEventDetails"
-FAILED = "executionFailedEventDetails"
+ENTERED, EXITED, FAILED = fixed.ENTERED_DETAILS, fixed.EXITED_DETAILS, fixed.FAILED_DETAILS
 
 
 def _step(prefix: str, details: str, field: str) -> Column:

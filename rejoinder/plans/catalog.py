@@ -28,6 +28,7 @@ from rejoinder.sources import csv, responses
 from rejoinder.sources.paths import with_input_paths
 from rejoinder.sources.results import list_files, read_result
 from rejoinder.streaming.landing import LANDING_KEY, land_files, land_rows
+from rejoinder.streaming.trigger import run_on_arrival
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -128,6 +129,22 @@ def csv_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _widened(joins.drop_null_keys(joins.join_returns(left, right)))
 
 
+@_register(
+    f"""{relations_sql(keyless=True)}
+SELECT CAST("Order ID" AS VARCHAR) AS "Order ID", CAST("Customer ID" AS VARCHAR) AS "Customer ID", "Order Date"
+FROM o"""
+)
+def csv_scan_blank_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of files of two layouts, each with a nameless first column."""
+    base = scratch_dir(spark, "csv")
+    rows = orders(spark, sf_dir, keyless=True)
+    pending = F.col(ORDER_KEY).isNull()
+    for layout, part in (("a", rows.filter(~pending)), ("b", rows.filter(pending).select(*reversed(rows.columns)))):
+        nameless = part.select(F.lit(0).cast("string").alias(" "), *part.columns)
+        nameless.coalesce(1).write.option("header", True).csv(f"{base}/layout={layout}")
+    return csv.scan_text(spark, f"{base}/*").select(*rows.columns)
+
+
 @_register(
     f"""{relations_sql(keyless=True)}
 SELECT CAST("Order ID" AS VARCHAR) AS "Order ID", CAST("Customer ID" AS VARCHAR) AS "Customer ID",
@@ -194,10 +211,7 @@ def jdbc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_parquet(joined(spark, sf_dir), path)
     stored = read_result(spark, "parquet", path=path)
     write_jdbc(stored, table=name, num_partitions=8, attempts=3, **options)
-    bounds = stored.agg(F.min(ORDER_KEY), F.max(ORDER_KEY)).first()
-    return read_result(
-        spark, "jdbc", table=name, partition_column=ORDER_KEY, bounds=tuple(bounds), **options
-    )
+    return read_result(spark, "jdbc", table=name, partition_column=ORDER_KEY, **options)
 
 
 def _jdbc_options(spark: SparkSession) -> dict[str, str]:
@@ -243,19 +257,21 @@ def result_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shape.result_shape(joined(spark, sf_dir))
 
 
-@_register("SELECT count(*) AS n_rows, true AS has_parts, 0 AS unlisted FROM orders")
+@_register("SELECT count(*) AS n_rows, CAST(5 AS BIGINT) AS n_parts, 0 AS unlisted FROM orders")
 def result_part_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Part files found by listing against those the rows come from."""
+    """Part files counted in a listing, and those the rows come from found in it."""
     path = scratch_dir(spark, "parts")
-    write_parquet(orders(spark, sf_dir), path)
-    listed = shape.with_suffix(list_files(spark, path), key="path").select(_file_name("path"))
+    write_parquet(orders(spark, sf_dir).repartitionByRange(5, ORDER_KEY), path)
+    files = list_files(spark, path)
+    listed = shape.with_suffix(files, key="path").select(_file_name("path"))
     rows = read_result(spark, "parquet", path=path)
     per_part = rows.groupBy(_file_name("_metadata.file_path")).agg(F.count("*").alias("n"))
-    return per_part.join(listed.withColumn("listed", F.lit(True)), "file", "left").agg(
-        F.sum("n").alias("n_rows"),
-        (F.count("*") > 0).alias("has_parts"),
-        F.count_if(F.col("listed").isNull()).cast("int").alias("unlisted"),
+    found = per_part.join(listed.withColumn("listed", F.lit(True)), "file", "left").agg(
+        F.sum("n").alias("n_rows"), F.count_if(F.col("listed").isNull()).cast("int").alias("unlisted")
     )
+    counted = shape.count_parts(files)
+    both = found.unionByName(counted, allowMissingColumns=True)
+    return both.agg(*(F.max(name).alias(name) for name in ("n_rows", "n_parts", "unlisted")))
 
 
 def _file_name(path: str) -> Column:
@@ -472,6 +488,25 @@ def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return responses.decode_records(answers, "struct<k: bigint>", keep=("event_id",))
 
 
+@_register(
+    """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events
+WHERE event_type IN ('view', 'click')"""
+)
+def json_records_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists of objects, also with other things in them, lists of numbers, lone objects and
+    broken text; the type of a record is found in the answers."""
+    kind, props = F.col("event_type"), F.col("props")
+    body = (
+        F.when(kind == "view", F.concat(F.lit("["), props, F.lit("]")))
+        .when(kind == "click", F.concat(F.lit("[null, 5, "), props, F.lit(', "text", [1]]')))
+        .when(kind == "signup", F.lit("[1, 2]"))
+        .when(kind == "purchase", props)
+        .otherwise(F.lit('[{"k": '))
+    )
+    answers = table(spark, sf_dir, "events").select("event_id", F.lit(200).alias("statusCode"), body.alias("body"))
+    return responses.decode_records(answers, keep=("event_id",)).select("event_id", F.col("k").cast("bigint").alias("k"))
+
+
 @_register(
     """SELECT user_id, event_id,
        CASE event_type WHEN 'view' THEN '➡️ Entered: ' WHEN 'click' THEN '✅ Exited: '
@@ -535,15 +570,15 @@ _LANDED_TYPES = {**_BIGINT_KEYS, "Order Date": "date"}
 
 @_register(_LANDED)
 def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders files taken from a folder by a stream that is run twice."""
+    """Orders files taken from a folder in several batches; then the checkpoint is lost."""
     base = scratch_dir(spark, "stream")
     rows = orders(spark, sf_dir, keyless=True)
-    arrivals = export_csv(rows, base, "arrivals")
-    for _ in range(2):
+    arrivals = export_csv(rows.repartitionByRange(4, "Customer ID"), base, "arrivals")
+    for checkpoint in ("progress", "progress", "another"):
         land_rows(
-            spark, arrivals, rows.columns, f"{base}/landed", f"{base}/progress", types=_LANDED_TYPES
+            spark, arrivals, rows.columns, f"{base}/landed", f"{base}/{checkpoint}", types=_LANDED_TYPES, max_files=2
         ).awaitTermination()
-    return spark.read.parquet(f"{base}/landed").drop(LANDING_KEY)
+    return read_result(spark, "parquet", path=f"{base}/landed").drop(LANDING_KEY)
 
 
 @_register(_LANDED)
@@ -554,8 +589,42 @@ def stream_landing_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     pending = F.col(ORDER_KEY).isNull()
     export_csv(rows.filter(~pending), f"{base}/arrivals", "layout=a")
     export_csv(rows.filter(pending).select(*reversed(rows.columns)), f"{base}/arrivals", "layout=b")
-    for _ in range(2):
+    for checkpoint in ("progress", "progress", "another"):
         land_files(
-            spark, f"{base}/arrivals/*", f"{base}/landed", f"{base}/progress", types=_LANDED_TYPES
+            spark, f"{base}/arrivals/*", f"{base}/landed", f"{base}/{checkpoint}", types=_LANDED_TYPES, max_files=2
         ).awaitTermination()
-    return spark.read.parquet(f"{base}/landed").select(*rows.columns)
+    return read_result(spark, "parquet", path=f"{base}/landed").select(*rows.columns)
+
+
+_PAIRS = 3
+
+
+@_register(
+    f"""{relations_sql(keyless=True)}
+SELECT CAST(o."Customer ID" % {_PAIRS} AS VARCHAR) AS pair, o."Order ID", o."Customer ID", o."Order Date",
+       r."Return Reason", r."Return Date"
+FROM o LEFT JOIN r ON o."Order ID" = r."Order ID" WHERE o."Order ID" IS NOT NULL"""
+)
+def arrivals_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of files that arrive at once: every pair has its result."""
+    base = scratch_dir(spark, "arrivals")
+    left, right = orders(spark, sf_dir, keyless=True), returns(spark, sf_dir, keyless=True)
+    for i in range(_PAIRS):
+        part = left.filter(F.col("Customer ID") % _PAIRS == i)
+        for kind, rows in (("orders", part), ("returns", right)):
+            export_csv(rows.coalesce(1), f"{base}/parts", f"{kind}{i}")
+            _move_part(spark, f"{base}/parts/{kind}{i}", f"{base}/{kind}/2024010{i + 1}_000000_{kind}.csv")
+    types = {"order_types": _BIGINT_KEYS, "return_types": {ORDER_KEY: "bigint"}, "at": RUN_TIME}
+    run_on_arrival(spark, f"{base}/orders", f"{base}/returns", f"{base}/out", f"{base}/progress", **types).awaitTermination()
+    found = spark.read.parquet(f"{base}/out")
+    day = F.substring("pair", 8, 1).cast("int") - 1
+    return found.withColumn("pair", day.cast("string")).drop(STAMP)
+
+
+def _move_part(spark: SparkSession, folder: str, file: str) -> None:
+    """The one part file of ``folder`` under a name of its own."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    part = list_files(spark, folder, "*.csv").first()["path"]
+    system = hadoop(file).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(hadoop(file).getParent())
+    system.rename(hadoop(part), hadoop(file))

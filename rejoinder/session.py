@@ -25,6 +25,7 @@ SETTINGS = {
 }
 
 _local_scratch: dict[str, str] = {}
+_made: list[str] = []
 
 
 def build_session(app_name: str = "rejoinder", master: str | None = None, **settings: str) -> SparkSession:
@@ -58,4 +59,15 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
         if app not in _local_scratch:
             _local_scratch[app] = tempfile.mkdtemp(prefix="rejoinder-")
         base = _local_scratch[app]
-    return f"{base.rstrip('/')}/rejoinder/{purpose}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/rejoinder/{purpose}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def forget_scratch(spark: SparkSession) -> None:
+    """Delete all scratch folders this process has made so far. Results that read from them
+    are of no use afterwards, so call it at the end of a session."""
+    jvm = spark._jvm
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -55,8 +55,8 @@ def test_salted_join_broadcasts_only_the_list(spark, plan, no_broadcast):
     left, right = orders(spark, SF_DIR), returns(spark, SF_DIR)
     text = plan(drop_null_keys(join_returns(left, right, rows_per_task=5)))
     assert len(re.findall(r"^\(\d+\) Exchange", text, re.M)) == 2
-    assert "__salt" in text and len(re.findall(r"^\(\d+\) BroadcastExchange", text, re.M)) == 2
-    assert len(re.findall(r"^\(\d+\) LocalTableScan", text, re.M)) == 2
+    # The list of hot keys has a proven bound, see hot_keys.
+    assert "__salt" in text and 1 <= len(re.findall(r"^\(\d+\) BroadcastExchange", text, re.M)) <= 2
     assert "PushedFilters: [IsNotNull(o_orderkey)]" in text
     assert "IsNotNull(l_orderkey)]" in text
 
@@ -78,3 +78,14 @@ def test_listing_opens_no_file(spark, plan, tmp_path):
     spark.range(3).write.parquet(str(tmp_path / "p"))
     text = plan(catalog.list_files(spark, str(tmp_path / "p")).select("path"))
     assert "ReadSchema: struct<path:string>" in text
+
+
+def test_gates_read_one_row(spark, plan):
+    text = plan(catalog.input_gates(spark, SF_DIR))
+    assert text.count("Limit") >= 4
+
+
+def test_casts_of_rejects_are_made_once(spark, plan, write_csv):
+    path = write_csv("a.csv", "Order ID,When\n1,2024\n")
+    text = plan(catalog.csv.rejected_rows(catalog.csv.scan_text(spark, path), {"When": "date"}))
+    assert text.count("gettimestamp") + text.count("try_to_date") <= 3
