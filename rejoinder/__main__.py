@@ -15,7 +15,7 @@ import sys
 
 from rejoinder.functions.fixed import DATE_FORMAT, JOB_ARGUMENTS
 from rejoinder.plans.batch import run_batch
-from rejoinder.session import build_session
+from rejoinder.session import build_session, forget_scratch
 from rejoinder.sources.csv import MODES
 from rejoinder.sources.paths import input_path
 
@@ -78,6 +78,8 @@ def main(argv: list[str] | None = None) -> int:
     except Exception as error:
         logging.getLogger(__name__).error("%s", error)
         return 1
+    finally:
+        forget_scratch(spark)
     return 0 if result.succeeded else 1
 
 

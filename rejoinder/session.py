@@ -64,10 +64,19 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return path
 
 
-def forget_scratch(spark: SparkSession) -> None:
-    """Delete all scratch folders this process has made so far. Results that read from them
-    are of no use afterwards, so call it at the end of a session."""
-    jvm = spark._jvm
-    while _made:
-        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def scratch_made() -> list[str]:
+    """The scratch folders of this process that are still there, oldest first."""
+    return list(_made)
+
+
+def forget_scratch(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Delete scratch folders, all that this process has made unless ``paths`` are given.
+
+    Results that read from them are of no use afterwards, so without ``paths`` call it at
+    the end of a session.
+    """
+    for path in scratch_made() if paths is None else paths:
+        if path in _made:
+            _made.remove(path)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

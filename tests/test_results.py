@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 
+from rejoinder import session
 from rejoinder.session import scratch_dir
 from rejoinder.sinks import tables
 from rejoinder.sources.results import list_files, read_jdbc_result, read_parquet_result, read_result
@@ -120,12 +121,11 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
 
 
 def test_scratch_is_forgotten(spark):
-    from rejoinder import session
-
-    path = session.scratch_dir(spark, "x")
-    spark.range(3).write.parquet(path)
-    kept, session._made[:] = session._made[:], [path]
-    session.forget_scratch(spark)
-    session._made[:] = [p for p in kept if p != path]
+    kept, gone = session.scratch_dir(spark, "x"), session.scratch_dir(spark, "y")
+    for path in (kept, gone):
+        spark.range(3).write.parquet(path)
+    session.forget_scratch(spark, [gone])
+    assert kept in session.scratch_made() and gone not in session.scratch_made()
+    assert spark.read.parquet(kept).count() == 3
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        spark.read.parquet(path)
+        spark.read.parquet(gone)
