@@ -39,6 +39,7 @@ VOTER_STEMS = 120
 MODEL_STEMS = 4000
 LEAST_EVIDENCE = 12.0  # twice the log likelihood ratio of a stem
 LEAST_CORRELATION = 0.1
+REPEATS = 0.8  # correlation above which two voters are taken for one
 PREFIXES = (4, 5, 6, 7)
 
 #: Common insults, by list; fixed values.
@@ -136,8 +137,9 @@ def label_model(votes: np.ndarray, weights: np.ndarray, prior: float, rounds: in
     ``weights`` are row weights. For each voter and class the rates of its three votes
     are estimated, and from the residuals of both classes how voters correlate; a voter's
     say is divided by the sum of its absolute correlations above ``LEAST_CORRELATION``.
-    The first half of the rounds takes voters as independent: until the classes are told
-    apart, all that separates them would pass for correlation.
+    Until the classes are told apart, all that separates them would pass for correlation, so
+    the first half of the rounds only shares out the say of voters that nearly repeat
+    each other.
     """
     rows, voters = votes.shape
     shown = np.stack([votes == v for v in (1, -1, 0)], axis=2).astype(np.float64)
@@ -146,7 +148,9 @@ def label_model(votes: np.ndarray, weights: np.ndarray, prior: float, rounds: in
     for y, lean in ((1, (3.0, 1 / 3, 1.0)), (0, (1 / 3, 3.0, 1.0))):
         start = overall * np.array(lean)
         rates[y] = start / start.sum(axis=1, keepdims=True)
-    say = np.ones(voters)
+    centred = (votes - np.average(votes, axis=0, weights=weights)) * np.sqrt(weights)[:, None]
+    size = np.maximum(np.sqrt((centred * centred).sum(axis=0)), 1e-9)
+    say = 1 / np.maximum((np.abs(centred.T @ centred / np.outer(size, size)) > REPEATS).sum(axis=1), 1)
     posterior = np.full(rows, prior)
     for turn in range(rounds):
         odds = math.log(prior / (1 - prior)) + np.einsum("rvk,vk->r", shown, say[:, None] * np.log(rates[1] / rates[0]))

@@ -69,7 +69,7 @@ def test_given_tables(spark):
 def test_odd_rows(spark, odd_docs, no_docs):
     benchmark = spark.createDataFrame(
         [(1, "one two three four five six seven eight nine ten"), (2, None), (3, ""), (4, "too short"), (None, "a b c d e f g h i")],
-        "item_id long, text string, words string",
+        "item_id long, text string",
     )
     found = find_items(odd_docs, benchmark).collect()
     assert len(found) == len(TEXTS) and {r.doc_id for r in found if r.matches} == {1, 2}
