@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rejoinder.llm.frames import saved
+from rejoinder.llm.frames import discard, saved
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -26,7 +26,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         # Every link now runs from the larger node to a smaller one.
         small = large.groupBy("a").agg(F.min("b").alias("m"))
         moved = large.join(small, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
-        edges = saved(moved.unionByName(small.select("a", F.col("m").alias("b"))).distinct(), "small-star")
+        old, edges = edges, saved(moved.unionByName(small.select("a", F.col("m").alias("b"))).distinct(), "small-star")
+        discard(old, large)
         now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
         if now == before:
             break

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from rejoinder.session import scratch_dir
+from rejoinder.session import forget_scratch, scratch_dir
 
 
 def saved(df: DataFrame, purpose: str) -> DataFrame:
@@ -20,7 +20,15 @@ def saved(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = scratch_dir(df.sparkSession, purpose)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes written tables that nothing will read any more."""
+    for table in tables:
+        forget_scratch(table.sparkSession, [table.scratch_path])
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
