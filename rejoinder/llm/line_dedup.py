@@ -17,10 +17,10 @@ that line stays or not.
    others. The join tests length, position of the shared token, and a 64-bit picture of
    both token sets, of which bits that one side lacks each stand for a missing token.
 4. Pairs that pass are verified on the words themselves, read again from the texts. A
-   fixed table of bits tells which documents are needed, so the others are not shuffled.
+   fixed table of bits tells which lines are needed, so the others are not shuffled.
 
 The bounds on similarity are exact; hashes of tokens are only used to find candidates,
-apart from the 128-bit hash that names equal token sets.
+and, 56 bits of each, in the 128-bit name of a token set.
 
 Null and empty texts have no lines to remove. Rows without an id stay as they are. Lines
 at the same place of repeated rows are not earlier than each other: both are judged
@@ -29,11 +29,12 @@ alike. Columns other than id and text pass through ``drop_lines`` untouched.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from rejoinder.llm.frames import saved
+from rejoinder.llm.frames import discard, saved
 
 PERCENT = 90
 LEAST_TOKENS = 5
@@ -42,58 +43,62 @@ BITS = 1 << 23
 LEADER_ROWS = 64
 
 
-def _constant(spark: SparkSession, name: str, values: list[int]) -> DataFrame:
-    """One row with a fixed-size array, to be broadcast."""
-    schema = T.StructType([T.StructField("one", T.IntegerType()), T.StructField(name, T.ArrayType(T.LongType(), False))])
-    return F.broadcast(spark.createDataFrame([(1, values)], schema))
+def _spaced(line: str) -> str:
+    return f"lower(if(instr({line}, '\\t') > 0 or instr({line}, '\\r') > 0, translate({line}, '\\t\\r', '  '), {line}))"
 
 
 def _words(line: str) -> Column:
-    spaced = f"if(instr({line}, '\\t') > 0 or instr({line}, '\\r') > 0, translate({line}, '\\t\\r', '  '), {line})"
-    return F.expr(f"array_remove(array_distinct(split(lower({spaced}), ' ')), '')")
+    return F.expr(f"array_remove(array_distinct(split({_spaced(line)}, ' ')), '')")
 
 
 def _lines(docs: DataFrame) -> DataFrame:
     return docs.filter("doc_id IS NOT NULL").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
 
 
-def _hashed(docs: DataFrame) -> DataFrame:
-    """Lines with enough tokens: 64-bit hashes of the tokens, how many, and the 128-bit name of the set."""
-    lines = _lines(docs).filter(F.length("line") >= 2 * LEAST_TOKENS - 1)
-    tokens = lines.select("doc_id", "line_no", F.sort_array(F.transform(_words("line"), lambda w: F.xxhash64(w))).alias("h"))
-    return tokens.filter(F.size("h") >= LEAST_TOKENS).withColumns(
-        {"n": F.size("h"), "h1": F.xxhash64("h"), "h2": F.xxhash64(F.lit(1), "h")}
-    )
-
-
-def _rarity(docs: DataFrame) -> DataFrame:
+def _rarity(docs: DataFrame) -> str:
+    """For each counter a level up to 127 that rises with the logarithm of its count."""
     words = _lines(docs).select(F.explode(F.split(F.lower("line"), " ")).alias("word"))
     counts = words.groupBy((F.xxhash64("word").bitwiseAND(COUNTERS - 1)).alias("b")).count().collect()
     table = [0] * COUNTERS
     for row in counts:  # one row per counter, at most COUNTERS
-        table[row["b"]] = row["count"]
-    return _constant(docs.sparkSession, "counts", table)
+        table[row["b"]] = min(127, int(3 * math.log2(row["count"])))
+    return ",".join(map(str, table))
+
+
+def _ranked(docs: DataFrame, percent: int) -> DataFrame:
+    """Lines with the name of their token set, its size, prefix of rarest tokens and picture."""
+    levels = F.split(F.lit(_rarity(docs)), ",").cast("array<int>")  # folded to one constant
+    none = F.lit(-1).cast("long")
 
+    def rank(word: Column) -> Column:
+        # Rarest first: the level above 56 bits of the hash; nothing for no word.
+        x = F.xxhash64(word)
+        level = F.element_at(levels, x.bitwiseAND(COUNTERS - 1).cast("int") + 1).cast("long")
+        return F.when(word == "", none).otherwise(F.shiftleft(level, 56).bitwiseOR(F.shiftrightunsigned(x, 8)))
 
-def _classes(docs: DataFrame, percent: int) -> DataFrame:
-    """One row per token set: its first line, size, prefix of rarest tokens and picture."""
-    ranked = _hashed(docs).withColumn("one", F.lit(1)).join(_rarity(docs), "one")
-    # Rarest first; the low bits of the hash tell tokens apart.
-    order = f"(x -> shiftleft(least(element_at(counts, cast(x & {COUNTERS - 1} as int) + 1), 2147483647L), 32) | (x & 4294967295L))"
-    prefix = f"slice(sort_array(transform(h, {order})), 1, n - ({percent} * n + 99) div 100 + 1)"
+    lines = _lines(docs).filter(F.length("line") >= 2 * LEAST_TOKENS - 1)
+    words = F.split(F.expr(_spaced("line")), " ")
+    tokens = lines.select("doc_id", "line_no", F.array_remove(F.sort_array(F.array_distinct(F.transform(words, rank))), -1).alias("h"))
+    prefix = F.slice("h", 1, F.expr(f"cast(size(h) - ({percent} * size(h) + 99) div 100 + 1 as int)"))
     picture = "aggregate(h, 0L, (a, x) -> a | shiftleft(1L, cast(shiftright(x, 40) & 63 as int)))"
-    rows = ranked.select(
-        "h1", "h2", F.struct("doc_id", "line_no").alias("at"), "n",
-        F.expr(f"transform({prefix}, x -> cast(x & 4294967295L as long))").alias("prefix"), F.expr(picture).alias("picture"),
+    return tokens.filter(F.size("h") >= LEAST_TOKENS).select(
+        F.xxhash64("h").alias("h1"), F.xxhash64(F.lit(1), "h").alias("h2"), "doc_id", "line_no",
+        F.size("h").alias("n"), prefix.alias("prefix"), F.expr(picture).alias("picture"),
     )
+
+
+def _classes(ranked: DataFrame) -> DataFrame:
+    """One row per token set, with the place of its first line and a number of its own."""
+    rows = ranked.withColumn("at", F.struct("doc_id", "line_no"))
     found = rows.groupBy("h1", "h2").agg(F.min("at").alias("at"), *(F.first(c).alias(c) for c in ("n", "prefix", "picture")))
-    return found.select("h1", "h2", "at.doc_id", "at.line_no", "n", "prefix", "picture")
+    columns = ("h1", "h2", "at.doc_id", "at.line_no", "n", "prefix", "picture")
+    return found.select(*columns, F.monotonically_increasing_id().alias("c"))
 
 
 def _prefix_rows(classes: DataFrame, side: str, shorter: str | None = None) -> DataFrame:
-    rows = classes.select("doc_id", "line_no", "n", "picture", F.posexplode("prefix").alias("i", "token"))
+    rows = classes.select("c", "n", "picture", F.posexplode("prefix").alias("i", "token"))
     rows = rows.filter(shorter) if shorter else rows
-    return rows.select("token", *(F.col(c).alias(side + c) for c in ("doc_id", "line_no", "n", "picture", "i")))
+    return rows.select("token", *(F.col(c).alias(side + c) for c in ("c", "n", "picture", "i")))
 
 
 def _shorter_prefix(percent: int, side: str = "") -> str:
@@ -113,50 +118,53 @@ def _possible(percent: int) -> str:
     )
 
 
-_EARLIER = "(xdoc_id < ydoc_id OR (xdoc_id = ydoc_id AND xline_no < yline_no))"
-_PAIR = ["xdoc_id", "xline_no", "ydoc_id", "yline_no"]
+def _placed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The places of pairs of classes ``xc, yc`` of which ``x`` is the earlier."""
+    for s in "xy":
+        own = classes.select(F.col("c").alias(s + "c"), F.col("doc_id").alias(s + "doc_id"), F.col("line_no").alias(s + "line_no"))
+        pairs = pairs.join(own, s + "c")
+    return pairs.filter("xdoc_id < ydoc_id OR (xdoc_id = ydoc_id AND xline_no < yline_no)").drop("xc", "yc")
 
 
 def _with_leaders(classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a line ``y`` and the leader ``x`` of a frequent prefix token."""
+    """Pairs of a line and the leader of a frequent prefix token, as classes ``xc, yc``."""
     rows = _prefix_rows(classes, "y", _shorter_prefix(percent))
-    leaders = rows.groupBy("token").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.min("ydoc_id").alias("xdoc_id"),
-        *(F.min_by(f"y{c}", "ydoc_id").alias(f"x{c}") for c in ("line_no", "n", "picture")),
-    )
-    leaders = saved(leaders.filter(F.col("rows") > LEADER_ROWS).drop("rows"), "line-leaders")
-    return rows.join(leaders, "token").filter(f"{_EARLIER} AND {_possible(percent)}").select(*_PAIR).distinct()
+    counts = rows.groupBy("token").agg(F.count(F.lit(1)).alias("rows"), F.min("yc").alias("xc"))
+    leaders = counts.filter(F.col("rows") > LEADER_ROWS).select("token", "xc")
+    own = classes.select(F.col("c").alias("xc"), F.col("n").alias("xn"), F.col("picture").alias("xpicture"))
+    leaders = saved(leaders.join(own, "xc"), "line-leaders")
+    near = rows.join(leaders, "token").filter(f"xc <> yc AND {_possible(percent)}").select("xc", "yc").distinct()
+    return near.union(near.select("yc", "xc"))  # the leader may be the later
 
 
 def _with_all(classes: DataFrame, open_classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of an open line ``y`` and any earlier line ``x``."""
+    """Pairs of any line and an open line, as classes ``xc, yc``."""
     total = 100 + percent
     roles = (
         f"((xn <= yn AND {_shorter_prefix(percent, 'x')}) OR (xn >= yn AND {_shorter_prefix(percent, 'y')}))"
-        f" AND {total} * (1 + least(xn - xi, yn - yi) - 1) >= {percent} * (xn + yn)"
+        f" AND {total} * least(xn - xi, yn - yi) >= {percent} * (xn + yn)"
     )
     pairs = _prefix_rows(open_classes, "y").join(_prefix_rows(classes, "x"), "token")
-    return pairs.filter(f"{_EARLIER} AND {_possible(percent)} AND {roles}").select(*_PAIR).distinct()
+    return pairs.filter(f"xc <> yc AND {_possible(percent)} AND {roles}").select("xc", "yc").distinct()
+
 
+def _needed_lines(docs: DataFrame, needed: DataFrame) -> DataFrame:
+    """The lines that may be among the needed, by a table of ``BITS`` bits over their places.
 
-def _holding(docs: DataFrame, needed: DataFrame) -> DataFrame:
-    """The documents whose id may be among the needed, by a fixed table of bits."""
-    place = F.xxhash64("doc_id").bitwiseAND(BITS - 1)
-    words = needed.select("doc_id").distinct().select(place.alias("p"))
-    words = words.groupBy(F.expr("cast(p div 64 as int)").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(p & 63 as int)))").alias("m"))
-    table = [0] * (BITS // 64)
-    for row in words.collect():  # one row per word, at most BITS / 64
-        table[row["w"]] = row["m"]
-    marked = docs.withColumns({"one": F.lit(1), "p": place}).join(_constant(docs.sparkSession, "bits", table), "one")
-    return marked.filter("getbit(element_at(bits, cast(p div 64 as int) + 1), cast(p & 63 as int)) = 1").select(docs.columns)
+    The table has at most ``BITS`` / 64 rows, so its broadcast is bounded.
+    """
+    place = F.xxhash64("doc_id", "line_no").bitwiseAND(BITS - 1)
+    word, bit = F.expr("cast(p div 64 as int)").alias("w"), F.expr("cast(p & 63 as int)").alias("bit")
+    marked = needed.select(place.alias("p")).select(word, bit).groupBy("w").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("m"))
+    lines = _lines(docs).withColumn("p", place).select("*", word, bit)
+    return lines.join(F.broadcast(marked), "w").filter("getbit(m, bit) = 1").select("doc_id", "line_no", "line")
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The lines ``doc_id, line_no`` among ``y`` whose words are similar to those of their ``x``."""
     ends = [pairs.select(F.col(f"{s}doc_id").alias("doc_id"), F.col(f"{s}line_no").alias("line_no")) for s in "xy"]
     needed = saved(ends[0].union(ends[1]).distinct(), "lines-needed")
-    lines = _lines(_holding(docs, needed)).join(needed, ["doc_id", "line_no"])
+    lines = _needed_lines(docs, needed).join(needed.hint("merge"), ["doc_id", "line_no"])
     lines = lines.dropDuplicates(["doc_id", "line_no"]).select("doc_id", "line_no", _words("line").alias("words"))
     lines = saved(lines, "line-words")
     x, y = (lines.select(*(F.col(c).alias(s + c) for c in lines.columns)) for s in "xy")
@@ -169,14 +177,19 @@ def _verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
 def repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc_id, line_no`` (from 0) of the lines to remove, from ``doc_id, text``."""
     texts = docs.select("doc_id", "text")
-    classes = saved(_classes(texts, percent), "line-classes")
+    ranked = saved(_ranked(texts, percent), "lines")
+    classes = saved(_classes(ranked), "line-classes")
     place = ["doc_id", "line_no"]
-    first = saved(_verified(texts, saved(_with_leaders(classes, percent), "leader-pairs"), percent), "lines-settled")
+    pairs = saved(_placed(_with_leaders(classes, percent), classes), "leader-pairs")
+    first = saved(_verified(texts, pairs, percent), "lines-settled")
+    discard(pairs)
     still = classes.join(first, place, "left_anti")
-    second = saved(_verified(texts, saved(_with_all(classes, still, percent), "line-pairs"), percent), "lines-similar")
+    pairs = saved(_placed(_with_all(classes, still, percent), classes), "line-pairs")
+    second = saved(_verified(texts, pairs, percent), "lines-similar")
+    discard(pairs)
     similar = first.unionByName(second).withColumn("similar", F.lit(True))
     judged = classes.join(similar, place, "left").select("h1", "h2", *(F.col(c).alias("first_" + c) for c in place), "similar")
-    lines = _hashed(texts).select("h1", "h2", *place).join(judged, ["h1", "h2"])
+    lines = ranked.select("h1", "h2", *place).join(judged, ["h1", "h2"])
     later = "doc_id > first_doc_id OR (doc_id = first_doc_id AND line_no > first_line_no) OR similar"
     return lines.filter(later).select(*place).distinct()
 
