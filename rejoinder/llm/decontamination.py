@@ -125,8 +125,15 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _SUMS = "shard int, z binary, counts binary, passages long"
 
 
-def latent_space(texts: DataFrame) -> np.ndarray | None:
-    """The matrix (at most ``RANK`` by ``TERMS``) that takes term counts to scaled latent coordinates."""
+@dataclass
+class Space:
+    """What takes term counts to scaled latent coordinates (at most ``RANK`` by ``TERMS``), and the terms' weights."""
+
+    matrix: np.ndarray
+    weights: np.ndarray
+
+
+def latent_space(texts: DataFrame) -> Space | None:
     sums = texts.select("text").mapInArrow(_sketch, _SUMS).repartition("shard").mapInArrow(_added, _SUMS).collect()
     if not sums:
         return None
@@ -146,7 +153,7 @@ def latent_space(texts: DataFrame) -> np.ndarray | None:
     root = (z * weights).T @ (vectors[:, kept] / np.sqrt(values[kept]))
     basis, singular, _ = np.linalg.svd(root, full_matrices=False)
     good = singular > singular[0] * 1e-6
-    return ((basis[:, good] / singular[good]) * weights[:, None]).T.astype(np.float32)
+    return Space(((basis[:, good] / singular[good]) * weights[:, None]).T.astype(np.float32), weights.astype(np.float32))
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -169,13 +176,12 @@ class Items:
     owner: np.ndarray  # item of each window
 
     @classmethod
-    def of(cls, rows: list, space: np.ndarray) -> Items | None:
+    def of(cls, rows: list, space: Space) -> Items | None:
         texts = pa.array([r[1] for r in rows], pa.large_string())
         with np.errstate(over="ignore"):
             passages = Passages.of(*text_bytes(texts))
-        weight = np.append(np.sqrt((space * space).sum(axis=0)), 0.0)
         ids, words, windows, owner = [], [], [], []
-        coordinates = _projected(passages.terms, space)
+        coordinates = _projected(passages.terms, space.matrix)
         for i, row in enumerate(rows):
             own = passages.words[passages.before[i] : passages.before[i + 1]]
             if len(own) < LEAST_WORDS:
@@ -195,7 +201,7 @@ class Items:
         for i, place in enumerate(places):
             holds[i, place] = True
             distinct = np.unique(place)
-            rare = weight[(vocabulary[distinct] >> _U(44)).astype(np.int64) & (TERMS - 1)]
+            rare = space.weights[(vocabulary[distinct] >> _U(44)).astype(np.int64) & (TERMS - 1)]
             answers.append(distinct[np.argsort(-rare, kind="stable")[: max(3, len(distinct) // 6)]])
         word = np.concatenate(answers)
         item = np.repeat(np.arange(len(ids)), [len(a) for a in answers])
@@ -227,9 +233,9 @@ def common_subsequence(item: np.ndarray, near: list[int]) -> int:
     return len(item) - row.bit_count()
 
 
-def _matches(passages: Passages, items: Items, space: np.ndarray, cosine: float, covered: float) -> dict[tuple[int, int], tuple[int, float]]:
+def _matches(passages: Passages, items: Items, space: Space, cosine: float, covered: float) -> dict[tuple[int, int], tuple[int, float]]:
     """For each pair of text and item that passes: common words in order, and the cosine."""
-    coordinates = _projected(passages.terms, space)
+    coordinates = _projected(passages.terms, space.matrix)
     joined = coordinates.copy()
     together = passages.text[1:] == passages.text[:-1]
     joined[:, :-1][:, together] += coordinates[:, 1:][:, together]
@@ -276,7 +282,7 @@ def _matches(passages: Passages, items: Items, space: np.ndarray, cosine: float,
 _FOUND = "doc_id long, matches array<struct<item: long, words: int, cosine: double>>"
 
 
-def _held(batches: Iterator[pa.RecordBatch], blocks: list[Items], space: np.ndarray, cosine: float, covered: float):
+def _held(batches: Iterator[pa.RecordBatch], blocks: list[Items], space: Space, cosine: float, covered: float):
     """Runs of rows, each with the matches of its rows."""
     for part, data, offsets in texts_in_chunks(batches, "text"):
         passages = Passages.of(data, offsets)
@@ -299,7 +305,7 @@ def _clean(batches: Iterator[pa.RecordBatch], *how) -> Iterator[pa.RecordBatch]:
         yield part.filter(pa.array([not r for r in rows], pa.bool_()))
 
 
-def _slices(texts: DataFrame, benchmark: DataFrame) -> tuple[np.ndarray | None, Iterator[list[Items]]]:
+def _slices(texts: DataFrame, benchmark: DataFrame) -> tuple[Space | None, Iterator[list[Items]]]:
     """The latent space of texts and items, and the items in slices of bounded size."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("length(text) > 0")
     space = latent_space(texts.select("text").unionByName(items.select("text")))
