@@ -78,7 +78,9 @@ def _ranked(docs: DataFrame, percent: int) -> DataFrame:
 
     lines = _lines(docs).filter(F.length("line") >= 2 * LEAST_TOKENS - 1)
     words = F.split(F.expr(_spaced("line")), " ")
-    tokens = lines.select("doc_id", "line_no", F.array_remove(F.sort_array(F.array_distinct(F.transform(words, rank))), -1).alias("h"))
+    hashes = F.array_remove(F.sort_array(F.array_distinct(F.transform(words, rank))), -1)
+    # Exploding a list of one keeps the filter below from hashing every line a second time.
+    tokens = lines.select("doc_id", "line_no", F.explode(F.array(hashes)).alias("h"))
     prefix = F.slice("h", 1, F.expr(f"cast(size(h) - ({percent} * size(h) + 99) div 100 + 1 as int)"))
     picture = "aggregate(h, 0L, (a, x) -> a | shiftleft(1L, cast(shiftright(x, 40) & 63 as int)))"
     return tokens.filter(F.size("h") >= LEAST_TOKENS).select(
@@ -88,17 +90,16 @@ def _ranked(docs: DataFrame, percent: int) -> DataFrame:
 
 
 def _classes(ranked: DataFrame) -> DataFrame:
-    """One row per token set, with the place of its first line and a number of its own."""
+    """One row per token set, with the place of its first line."""
     rows = ranked.withColumn("at", F.struct("doc_id", "line_no"))
     found = rows.groupBy("h1", "h2").agg(F.min("at").alias("at"), *(F.first(c).alias(c) for c in ("n", "prefix", "picture")))
-    columns = ("h1", "h2", "at.doc_id", "at.line_no", "n", "prefix", "picture")
-    return found.select(*columns, F.monotonically_increasing_id().alias("c"))
+    return found.select("h1", "h2", "at.doc_id", "at.line_no", "n", "prefix", "picture")
 
 
 def _prefix_rows(classes: DataFrame, side: str, shorter: str | None = None) -> DataFrame:
-    rows = classes.select("c", "n", "picture", F.posexplode("prefix").alias("i", "token"))
+    rows = classes.select("doc_id", "line_no", "n", "picture", F.posexplode("prefix").alias("i", "token"))
     rows = rows.filter(shorter) if shorter else rows
-    return rows.select("token", *(F.col(c).alias(side + c) for c in ("c", "n", "picture", "i")))
+    return rows.select("token", *(F.col(c).alias(side + c) for c in ("doc_id", "line_no", "n", "picture", "i")))
 
 
 def _shorter_prefix(percent: int, side: str = "") -> str:
@@ -118,34 +119,30 @@ def _possible(percent: int) -> str:
     )
 
 
-def _placed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The places of pairs of classes ``xc, yc`` of which ``x`` is the earlier."""
-    for s in "xy":
-        own = classes.select(F.col("c").alias(s + "c"), F.col("doc_id").alias(s + "doc_id"), F.col("line_no").alias(s + "line_no"))
-        pairs = pairs.join(own, s + "c")
-    return pairs.filter("xdoc_id < ydoc_id OR (xdoc_id = ydoc_id AND xline_no < yline_no)").drop("xc", "yc")
+_EARLIER = "(xdoc_id < ydoc_id OR (xdoc_id = ydoc_id AND xline_no < yline_no))"
+_PAIR = ["xdoc_id", "xline_no", "ydoc_id", "yline_no"]
 
 
 def _with_leaders(classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a line and the leader of a frequent prefix token, as classes ``xc, yc``."""
+    """Pairs of a line ``y`` and the leader ``x`` of a frequent prefix token: its first line."""
     rows = _prefix_rows(classes, "y", _shorter_prefix(percent))
-    counts = rows.groupBy("token").agg(F.count(F.lit(1)).alias("rows"), F.min("yc").alias("xc"))
-    leaders = counts.filter(F.col("rows") > LEADER_ROWS).select("token", "xc")
-    own = classes.select(F.col("c").alias("xc"), F.col("n").alias("xn"), F.col("picture").alias("xpicture"))
-    leaders = saved(leaders.join(own, "xc"), "line-leaders")
-    near = rows.join(leaders, "token").filter(f"xc <> yc AND {_possible(percent)}").select("xc", "yc").distinct()
-    return near.union(near.select("yc", "xc"))  # the leader may be the later
+    counts = rows.groupBy("token").agg(F.count(F.lit(1)).alias("rows"), F.min("ydoc_id").alias("xdoc_id"))
+    frequent = saved(counts.filter(F.col("rows") > LEADER_ROWS).drop("rows"), "frequent-tokens")
+    own = rows.join(frequent, "token").filter("ydoc_id = xdoc_id")
+    first = own.groupBy("token", "xdoc_id").agg(F.min(F.struct("yline_no", "yn", "ypicture")).alias("m"))
+    leaders = saved(first.select("token", "xdoc_id", *(F.col(f"m.y{c}").alias(f"x{c}") for c in ("line_no", "n", "picture"))), "line-leaders")
+    return rows.join(leaders, "token").filter(f"{_EARLIER} AND {_possible(percent)}").select(*_PAIR).distinct()
 
 
 def _with_all(classes: DataFrame, open_classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of any line and an open line, as classes ``xc, yc``."""
+    """Pairs of an open line ``y`` and any earlier line ``x``."""
     total = 100 + percent
     roles = (
         f"((xn <= yn AND {_shorter_prefix(percent, 'x')}) OR (xn >= yn AND {_shorter_prefix(percent, 'y')}))"
         f" AND {total} * least(xn - xi, yn - yi) >= {percent} * (xn + yn)"
     )
     pairs = _prefix_rows(open_classes, "y").join(_prefix_rows(classes, "x"), "token")
-    return pairs.filter(f"xc <> yc AND {_possible(percent)} AND {roles}").select("xc", "yc").distinct()
+    return pairs.filter(f"{_EARLIER} AND {_possible(percent)} AND {roles}").select(*_PAIR).distinct()
 
 
 def _needed_lines(docs: DataFrame, needed: DataFrame) -> DataFrame:
@@ -180,11 +177,11 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     ranked = saved(_ranked(texts, percent), "lines")
     classes = saved(_classes(ranked), "line-classes")
     place = ["doc_id", "line_no"]
-    pairs = saved(_placed(_with_leaders(classes, percent), classes), "leader-pairs")
+    pairs = saved(_with_leaders(classes, percent), "leader-pairs")
     first = saved(_verified(texts, pairs, percent), "lines-settled")
     discard(pairs)
     still = classes.join(first, place, "left_anti")
-    pairs = saved(_placed(_with_all(classes, still, percent), classes), "line-pairs")
+    pairs = saved(_with_all(classes, still, percent), "line-pairs")
     second = saved(_verified(texts, pairs, percent), "lines-similar")
     discard(pairs)
     similar = first.unionByName(second).withColumn("similar", F.lit(True))
