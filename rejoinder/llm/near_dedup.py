@@ -8,11 +8,11 @@
    ``WIDTH`` next neighbours that share at least ``DEPTH`` values. Sparse regions are
    thereby compared whole at a low depth; in dense regions the neighbours agree in more.
 3. Classes in regions with more members than neighbours take part in a second, larger
-   forest with deeper prefixes, in which only neighbours of other components are paired:
-   what is already connected needs no further link, so a group of thousands of near
-   copies costs a few pairs per member and not all pairs.
-4. Pairs are thinned by the signatures (far below what a link's could be) and confirmed
-   on the full sets. Components come from the confirmed links alone.
+   forest with deeper prefixes, in which each is paired with those of its next ``REACH``
+   neighbours in other components whose signatures are most alike: what is already connected needs no further link, so a group of
+   thousands of near copies costs a few pairs per member and not all pairs.
+4. Pairs are thinned by the signatures and confirmed on the full sets. Components come
+   from the confirmed links alone.
 
 With a similarity of 0.75 two classes miss each other in all trees of a sparse region
 with probability (1 - 0.75**2)**16, 2 in a million, in the second forest
@@ -33,17 +33,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rejoinder.llm.components import connected_components
-from rejoinder.llm.frames import saved
+from rejoinder.llm.frames import discard, saved
 from rejoinder.llm.hashing import mix, shingle_sets, texts_in_chunks
 
 SHINGLE = 5
 PERCENT = 75
 VALUES = 128
 TREES, DEPTH = 16, 2
-MORE_TREES, MORE_DEPTH = 48, 3
+MORE_TREES, MORE_DEPTH, MORE_WIDTH = 48, 3, 2
 KEY_VALUES = 6
 WIDTH = 4
 REACH = 32
+#: Equal values of two signatures, of 128. A link's are 96 on average with a deviation of 4.9;
+#: fewer than this come once in half a million links of the least similarity.
+ALIKE = 74
 SEED = 11
 
 _U = np.uint64
@@ -90,49 +93,63 @@ def _plant(batches: Iterator[pa.RecordBatch], first: int, trees: int) -> Iterato
             keys[:, 0] = t
             keys[:, 1:] = signed[:, _CHOSEN[t]].reshape(len(batch), -1)
             yield pa.record_batch(
-                [pa.array([k.tobytes() for k in keys], pa.binary()), batch.column("node"), batch.column("component")],
-                names=["key", "node", "component"],
+                [pa.array([k.tobytes() for k in keys], pa.binary()), *(batch.column(c) for c in _PLANTED[1:])], names=_PLANTED
             )
 
 
-_PAIR_SCHEMA = "a binary, b binary, key binary, component binary, dense boolean"
+_PLANTED = ["key", "node", "component", "sketch"]
+_PAIR_SCHEMA = "a binary, b binary, key binary, component binary, sketch binary, dense boolean"
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch], depth: int, edges: bool) -> Iterator[pa.RecordBatch]:
+def _neighbours(batches: Iterator[pa.RecordBatch], depth: int, edges: bool, width: int = WIDTH) -> Iterator[pa.RecordBatch]:
     """Pairs of neighbours in sorted order, members of dense regions, and the rows at both ends.
 
-    The ends (``a`` with its ``key``) are compared with those of the next range later.
+    Where rows carry sketches, the ``width`` most alike of the next ``REACH`` are taken, else
+    the next ``width``. The ends (``a`` with its ``key``) are compared with those of the
+    next range later.
     """
     names = [p.split()[0] for p in _PAIR_SCHEMA.split(", ")]
-    kinds = [pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.bool_()]
-    held: list[tuple[bytes, bytes, bytes]] = []
-    head: list[tuple[bytes, bytes, bytes]] = []
+    kinds = [*[pa.binary()] * 5, pa.bool_()]
+    held: list[tuple] = []
+    head: list[tuple] = []
     same_bytes = 1 + 4 * depth
 
-    def rows_of(rows: list[tuple[bytes, bytes, bytes]], settled: int) -> list[tuple]:
+    def rows_of(rows: list[tuple], settled: int) -> list[tuple]:
         """What the first ``settled`` rows find among those behind them."""
         if settled <= 0:
             return []
         prefix = np.frombuffer(b"".join(r[0][:same_bytes] for r in rows), np.uint8).reshape(len(rows), same_bytes)
         codes = np.unique(np.array([r[2] for r in rows], "S16"), return_inverse=True)[1]
+        sketches = None
+        if rows[0][3] is not None:
+            sketches = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(len(rows), VALUES)
         found = []
         taken = np.zeros(len(rows), np.int64)
+        alike = np.zeros((REACH, len(rows)), np.int16)  # equal values of the sketches, by step
         for step in range(1, min(REACH, len(rows) - 1) + 1):
             same = (prefix[step:] == prefix[:-step]).all(axis=1)
             if not same.any():
                 break
-            if step == WIDTH + 1:
-                found.extend((rows[i][1], None, None, None, True) for i in np.flatnonzero(same).tolist() if i < settled)
-            take = same & (codes[step:] != codes[:-step]) & (taken[:-step] < WIDTH)
-            for i in np.flatnonzero(take).tolist():
+            if step == width + 1:
+                found.extend((rows[i][1], *[None] * 4, True) for i in np.flatnonzero(same).tolist() if i < settled)
+            other = same & (codes[step:] != codes[:-step])
+            if sketches is None:
+                alike[step - 1, :-step] = np.where(other & (taken[:-step] < width), VALUES, 0)
+                taken[:-step] += other
+            else:
+                at = np.flatnonzero(other)
+                alike[step - 1, at] = (sketches[at] == sketches[at + step]).sum(axis=1)
+        best = np.argsort(-alike, axis=0, kind="stable")[:width]
+        for step in best:
+            near = np.flatnonzero(np.take_along_axis(alike, step[None], axis=0)[0] >= ALIKE)
+            for i, j in zip(near.tolist(), (near + step[near] + 1).tolist()):
                 if i < settled:
-                    a, b = rows[i][1], rows[i + step][1]
-                    found.append((min(a, b), max(a, b), None, None, None))
-            taken[:-step] += take
+                    a, b = rows[i][1], rows[j][1]
+                    found.append((min(a, b), max(a, b), *[None] * 4))
         return found
 
     for batch in batches:
-        new = list(zip(*(batch.column(c).to_pylist() for c in ("key", "node", "component"))))
+        new = list(zip(*(batch.column(c).to_pylist() for c in _PLANTED)))
         if len(head) < REACH:
             head.extend(new[: REACH - len(head)])
         held.extend(new)
@@ -142,33 +159,35 @@ def _neighbours(batches: Iterator[pa.RecordBatch], depth: int, edges: bool) -> I
         yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*found), kinds)] if found else [pa.array([], k) for k in kinds], names=names)
     found = rows_of(held, len(held))
     if edges:
-        found += [(node, None, key, component, None) for key, node, component in {*head, *held[-REACH:]}]
+        found += [(node, None, key, component, sketch, None) for key, node, component, sketch in {*head, *held[-REACH:]}]
     if found:
         yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*found), kinds)], names=names)
 
 
-def _candidates(classes: DataFrame, first: int, trees: int, depth: int, purpose: str) -> tuple[DataFrame, DataFrame]:
-    """Pairs of classes ``a, b`` and the members ``node`` of dense regions."""
-    planted = classes.select("node", "signature", "component").mapInArrow(
-        lambda it: _plant(it, first, trees), "key binary, node binary, component binary"
+def _candidates(
+    classes: DataFrame, first: int, trees: int, depth: int, width: int, purpose: str
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Pairs of classes ``a, b``, the members ``node`` of dense regions, and the table both come from."""
+    planted = classes.select("node", "signature", "component", "sketch").mapInArrow(
+        lambda it: _plant(it, first, trees), "key binary, node binary, component binary, sketch binary"
     )
     ordered = planted.repartitionByRange("key", "node").sortWithinPartitions("key", "node")
-    found = saved(ordered.mapInArrow(lambda it: _neighbours(it, depth, True), _PAIR_SCHEMA), purpose)
+    found = saved(ordered.mapInArrow(lambda it: _neighbours(it, depth, True, width), _PAIR_SCHEMA), purpose)
     # At most 2 * REACH rows per range, whatever the number of classes.
-    ends = found.filter("key IS NOT NULL").select("key", F.col("a").alias("node"), "component")
-    across = ends.coalesce(1).sortWithinPartitions("key", "node").mapInArrow(lambda it: _neighbours(it, depth, False), _PAIR_SCHEMA)
+    ends = found.filter("key IS NOT NULL").select("key", F.col("a").alias("node"), "component", "sketch")
+    across = ends.coalesce(1).sortWithinPartitions("key", "node").mapInArrow(lambda it: _neighbours(it, depth, False, width), _PAIR_SCHEMA)
     both = found.unionByName(across)
     dense = found.filter("dense").select(F.col("a").alias("node")).distinct()
-    return both.filter("b IS NOT NULL").select("a", "b").distinct(), dense
+    return both.filter("b IS NOT NULL").select("a", "b").distinct(), dense, found
 
 
 def _thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose signatures agree in half of the values; a link's agree in three quarters."""
+    """Pairs whose sketches agree in ``ALIKE`` places."""
     for batch in batches:
         if not len(batch):
             continue
         x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(len(batch), VALUES) for c in ("xs", "ys"))
-        near = (x == y).sum(axis=1) >= VALUES // 2
+        near = (x == y).sum(axis=1) >= ALIKE
         yield pa.record_batch([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(near))
 
 
@@ -227,23 +246,30 @@ def near_duplicates(
     classes = saved(
         firsts.mapInArrow(_low_bytes, "node binary, first long, n long, signature binary, sketch binary"), "classes"
     )
-    pairs, dense = _candidates(classes.withColumn("component", F.col("node")), 0, TREES, DEPTH, "forest")
+    alone = classes.withColumns({"component": F.col("node"), "sketch": F.lit(None).cast("binary")})
+    pairs, dense, forest = _candidates(alone, 0, TREES, DEPTH, WIDTH, "forest")
     near = saved(_thinned(pairs, classes, percent), "near-pairs")
+    dense = saved(dense, "dense")
+    discard(forest)
     needed = near.select(F.col("a").alias("node")).union(near.select("b")).union(dense).distinct()
     wanted = classes.join(needed, "node").select(F.col("first").alias("doc_id"), F.col("node").alias("own_node"))
     own = texts.join(wanted, "doc_id", "left_semi").select("text")
     sets = saved(own.mapInArrow(lambda it: _sets(it, size), "node binary, own binary").dropDuplicates(["node"]), "sets")
     links = saved(_confirmed(near, sets, percent), "near-links")
     components = saved(connected_components(links), "components")
+    discard(near, links)
     crowded = classes.join(dense, "node").join(components, "node", "left")
     crowded = crowded.withColumn("component", F.coalesce("component", "node"))
-    more, _ = _candidates(crowded, TREES, MORE_TREES, MORE_DEPTH, "second-forest")
-    more = _confirmed(_thinned(more, classes, percent), sets, percent)
+    more, _, forest = _candidates(crowded, TREES, MORE_TREES, MORE_DEPTH, MORE_WIDTH, "second-forest")
+    more = saved(_confirmed(more, sets, percent), "more-links")  # alike already
+    discard(forest, sets, dense)
     tree = components.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    components = connected_components(more.unionByName(tree))
+    components = saved(connected_components(more.unionByName(tree)), "all-components")
+    discard(more)
     named = classes.select("node", "first").join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = named.join(least, "component").select("node", "component_id")
+    named = saved(named.join(least, "component").select("node", "component_id"), "named")
+    discard(classes, components)
     joined = signed.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node")).join(named, "node", "left")
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
