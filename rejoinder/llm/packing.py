@@ -27,10 +27,10 @@ from array import array
 from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -42,17 +42,24 @@ HARD_PENALTY = 64
 HARD_STEP = 256
 STRETCH = 1 << 20
 LEAST_POWER = 256
-CACHE_WORDS = 400_000
-LEARN_BYTES = 1 << 20
+CACHE_WORDS = 600_000
+LEARN_BYTES = 4 << 20
 MARKS = ".,!?;:"
-SENTENCE_ENDS = frozenset(b".!?")
-LATIN_END = "\u0130"  # below it every letter is in composed form and has a plain lower case
+SENTENCE_ENDS = (".", "!", "?")
+# Letters in composed form with a lower case of one letter.
+LATIN = r"^[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}]+$"
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+def gathered(source: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Stretches of ``source`` one behind the other."""
+    before = np.cumsum(sizes) - sizes
+    return source[np.arange(int(sizes.sum())) + np.repeat(starts - before, sizes)]
+
+
 class Words:
-    """Ids of the words of a text; what was tokenized once is looked up until a cache is full.
+    """Ids of the words of texts; what was tokenized once is looked up until a cache is full.
 
     Words are parted at ASCII white space, which the tokenizer drops and never joins
     across. A word of Latin letters with marks behind it is two pre-tokens, so the letters
@@ -61,44 +68,71 @@ class Words:
 
     def __init__(self, path: str):
         self.whole = tokenizer(path)
-        self.letters = _letters_only(path)
-        self.ids: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def _encoded(self, texts: list[str], by) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in by.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def learn(self, words: list[bytes]) -> None:
-        """Makes ``ids`` know the words; forgets the others once they are many."""
-        if len(self.ids) > CACHE_WORDS:
-            self.ids.clear()
-        new = set(words).difference(self.ids)
-        if len(self.parts) > CACHE_WORDS:
-            self.parts.clear()
-        parts, plain, other = self.parts, [], []
-        for word in new:
-            text = word.decode()
-            body = text.rstrip(MARKS)
-            if body.isalpha() and (body.isascii() or max(body) < LATIN_END):
-                plain.append((word, body.lower(), text[len(body) :]))
-            else:
-                other.append(text)
-        bodies = list({body for _, body, _ in plain}.difference(parts))
-        spelt = [b if b.isascii() else b.encode().decode("latin-1").translate(_SPELT) for b in bodies]
-        parts.update(zip(bodies, self._encoded(spelt, self.letters)))
-        marks = list({marks for _, _, marks in plain if marks}.difference(parts))
-        parts.update(zip(marks, self._encoded(marks, self.whole)))
-        for word, body, marks in plain:
-            self.ids[word] = parts[body] + parts[marks] if marks else parts[body]
-        self.ids.update(zip(map(str.encode, other), self._encoded(other, self.whole)))
-
-    def encode(self, words: list[bytes]) -> tuple[bytes, np.ndarray]:
-        """The ids of known words as bytes, and the number of ids up to the end of each sentence."""
-        if not words:
-            return b"", np.zeros(0, np.int64)
-        found = list(map(self.ids.__getitem__, words))
-        sizes = np.cumsum(np.fromiter(map(len, found), np.int64, len(found))) // 4
-        return b"".join(found), sizes[[i for i, w in enumerate(words) if w[-1] in SENTENCE_ENDS]]
+        self.letters, self.last = _letters_only(path)
+        self.known: dict[str, bytes] = {}
+
+    def _each(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _spelt(self, bodies: list[str]) -> list[bytes]:
+        """All bodies in one call; a word's last id tells where it ends."""
+        if not bodies:
+            return []
+        ids = np.array(self.letters.encode_batch_fast([" ".join(bodies)], add_special_tokens=False)[0].ids, "<u4")
+        ends = (4 * np.flatnonzero(self.last[ids]) + 4).tolist()
+        if len(ends) != len(bodies):
+            return self._each(bodies)
+        data = ids.tobytes()
+        return [data[x:y] for x, y in zip([0, *ends], ends)]
+
+    def _looked_up(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct parts of words one behind the other, where each begins, and how many it has."""
+        known = self.known
+        if len(known) > CACHE_WORDS:
+            known.clear()
+        new = pa.array([p for p in parts if p not in known], pa.string())
+        latin = pc.match_substring_regex(new, LATIN)
+        for chosen, encode in ((latin, self._spelt), (pc.invert(latin), self._each)):
+            texts = pc.filter(new, chosen).to_pylist()
+            known.update(zip(texts, encode(texts)))
+        found = list(map(known.__getitem__, parts))
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        return np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes, sizes
+
+    def _distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words one behind the other, and how many each has."""
+        trimmed = pc.utf8_rtrim(words, characters=MARKS)
+        latin = pc.match_substring_regex(trimmed, LATIN)
+        bodies = pc.if_else(latin, pc.utf8_lower(trimmed), words).dictionary_encode()
+        marked = pc.subtract(pc.binary_length(words), pc.binary_length(trimmed)).to_numpy() * latin.to_numpy(zero_copy_only=False)
+        texts = pc.filter(words, pa.array(marked > 0)).to_pylist()
+        marks = np.full(len(words), "", object)
+        marks[marked > 0] = [t[-n:] for t, n in zip(texts, marked[marked > 0].tolist())]
+        tails = pa.array(marks, pa.string()).dictionary_encode()
+        ids, starts, sizes = self._looked_up(bodies.dictionary.to_pylist())
+        more, more_starts, more_sizes = self._looked_up(tails.dictionary.to_pylist())
+        body, tail = bodies.indices.to_numpy(), tails.indices.to_numpy()
+        both = np.stack([sizes[body], more_sizes[tail]], axis=1)
+        begin = np.stack([starts[body], len(ids) + more_starts[tail]], axis=1)
+        return gathered(np.concatenate([ids, more]), begin.ravel(), both.ravel()), both.sum(axis=1)
+
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all texts, each with ``end_id`` behind it, where each text ends, and
+        where sentences end within."""
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        coded = lists.flatten().dictionary_encode()
+        which = coded.indices.to_numpy()
+        source, sizes = self._distinct(coded.dictionary)
+        ended = [pc.ends_with(coded.dictionary, pattern=p).to_numpy(zero_copy_only=False) for p in SENTENCE_ENDS]
+        sentence = np.logical_or.reduce(ended)
+        own = sizes[which]
+        after = np.cumsum(own)  # ids up to the end of each word
+        before = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        upto = np.concatenate([[0], after])[before]  # ids before each text
+        number = np.repeat(np.arange(len(texts)), np.diff(before))
+        ends = upto[1:] + np.arange(1, len(texts) + 1)
+        ids = np.insert(gathered(source, (np.cumsum(sizes) - sizes)[which], own), upto[1:], end_id).astype("<u4")
+        return ids, ends, (after + number)[sentence[which]]
 
 
 @lru_cache(maxsize=1)
@@ -107,28 +141,29 @@ def _words(path: str) -> Words:
     return Words(path)
 
 
-# How byte-level vocabularies write the bytes that are no visible sign: the next free character.
-_HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
-_SPELT = {b: chr(256 + i) for i, b in enumerate(_HIDDEN)}
-
-
 @lru_cache(maxsize=2)
 def _letters_only(path: str):
-    """The merges alone, for one pre-token in the vocabulary's spelling."""
-    from tokenizers import Tokenizer
-
-    return Tokenizer(tokenizer(path).model)
-
-
-def candidate_cuts(ends: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Where a document of ``n`` tokens may be cut, and the penalty of each place."""
-    inner = ends[(ends > 0) & (ends < n)]
-    places = np.unique(np.append(inner, n))
+    """The same merges for words of letters between blanks, and which ids end a word."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    plain = Tokenizer(tokenizer(path).model)
+    plain.pre_tokenizer = pre_tokenizers.Sequence(
+        [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+    )
+    suffix = plain.model.end_of_word_suffix or "\0"
+    last = np.zeros(max(plain.get_vocab().values()) + 1, bool)
+    last[[i for token, i in plain.get_vocab().items() if token.endswith(suffix)]] = True
+    return plain, last
+
+
+def candidate_cuts(sentences: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where a run of documents that end at ``ends`` may be cut, and the penalty of each place."""
+    places = np.union1d(sentences[(sentences > 0) & (sentences < (ends[-1] if len(ends) else 0))], ends)
     gaps = np.diff(places, prepend=0)
     hard = [np.arange(b - g + HARD_STEP, b, HARD_STEP) for b, g in zip(places[gaps > HARD_STEP], gaps[gaps > HARD_STEP])]
     cuts = np.concatenate([places, *hard])
     cost = np.concatenate([np.full(len(places), SENTENCE_PENALTY), np.full(len(cuts) - len(places), HARD_PENALTY)])
-    cost[len(places) - 1] = 0
+    cost[np.searchsorted(places, ends)] = 0
     order = np.argsort(cuts, kind="stable")
     return cuts[order], cost[order]
 
@@ -185,13 +220,15 @@ class _Stream:
         self.cuts: list[np.ndarray] = []
         self.costs: list[np.ndarray] = []
 
-    def add(self, doc_id: int | None, ids: bytes, ends: np.ndarray) -> None:
-        n = len(ids) // 4
-        cuts, costs = candidate_cuts(ends, n)
-        self.docs.append((doc_id, self.end, n, ids))
+    def add(self, doc_ids: list[int | None], ids: np.ndarray, ends: np.ndarray, sentences: np.ndarray) -> None:
+        cuts, costs = candidate_cuts(sentences, ends)
+        data, first = ids.tobytes(), 0
+        for doc_id, last in zip(doc_ids, ends.tolist()):
+            self.docs.append((doc_id, self.end + first, last - first, data[4 * first : 4 * last]))
+            first = last
         self.cuts.append(cuts + self.end)
         self.costs.append(costs)
-        self.end += n
+        self.end += first
 
     def pack(self, last: bool) -> list[tuple]:
         """Pieces of the windows that are settled; unless ``last``, the last few stay open."""
@@ -218,7 +255,6 @@ class _Stream:
 
 def _pack(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: int, stretch: int) -> Iterator[pa.RecordBatch]:
     words = _words(path)
-    tail = np.array([end_id], "<u4").tobytes()
     stream = _Stream(capacity, TaskContext.get().partitionId() << 40)
     names = [part.split()[0] for part in PIECES.split(", ")]
 
@@ -226,15 +262,11 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: i
         return pa.record_batch([pa.array(c, pa.int64()) for c in zip(*pieces)], names=names)
 
     for batch in batches:
-        for part in chunks(batch, "text", LEARN_BYTES):
-            texts = [(t or "").encode().split() for t in part.column("text").to_pylist()]
-            words.learn(list(chain.from_iterable(texts)))
-            for doc_id, text in zip(part.column("doc_id").to_pylist(), texts):
-                ids, ends = words.encode(text)
-                stream.add(doc_id, ids + tail, ends)
-                if stream.end - stream.begin >= stretch:
-                    if pieces := stream.pack(last=False):
-                        yield rows(pieces)
+        for part in chunks(batch, "text", min(LEARN_BYTES, 4 * stretch)):
+            stream.add(part.column("doc_id").to_pylist(), *words.encode(part.column("text"), end_id))
+            if stream.end - stream.begin >= stretch:
+                if pieces := stream.pack(last=False):
+                    yield rows(pieces)
     if stream.end > stream.begin:
         yield rows(stream.pack(last=True))
 

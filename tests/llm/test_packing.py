@@ -89,7 +89,7 @@ def test_power_of_two_needs_no_padding():
 
 
 def test_long_stretches_get_cuts():
-    cuts, costs = candidate_cuts(np.zeros(0, np.int64), 1000)
+    cuts, costs = candidate_cuts(np.zeros(0, np.int64), np.array([1000]))
     assert cuts.tolist() == [256, 512, 768, 1000] and costs[-1] == 0 and np.diff(cuts, prepend=0).max() <= 256
 
 
