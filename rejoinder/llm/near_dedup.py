@@ -11,12 +11,17 @@
    forest with deeper prefixes, in which each is paired with those of its next ``REACH``
    neighbours in other components whose signatures are most alike: what is already connected needs no further link, so a group of
    thousands of near copies costs a few pairs per member and not all pairs.
-4. Pairs are thinned by the signatures and confirmed on the full sets. Components come
+4. Neither forest looks beyond a fixed number of neighbours, so classes in crowded regions
+   (many texts around one template) are then joined exactly: two similar sets share one of
+   the rarest shingles of each (prefix filter), at a position that leaves enough behind it
+   (position filter). Pairs within a component need no link and are left out. First each
+   class meets its next partner per shingle, then all that still are in other components.
+5. Pairs are thinned by the signatures and confirmed on the full sets. Components come
    from the confirmed links alone.
 
-With a similarity of 0.75 two classes miss each other in all trees of a sparse region
-with probability (1 - 0.75**2)**16, 2 in a million, in the second forest
-(1 - 0.75**3)**48, below 1 in 10**11.
+With a similarity of 0.75 two classes share a region in no tree of the first forest with
+probability (1 - 0.75**2)**16, 2 in a million. Regions of up to ``WIDTH`` + 1 classes are
+compared whole; every member of a larger one goes through the exact join.
 
 A document without words has no shingles and no links. Rows without an id take no part in
 links and stay alone. Rows that share an id but not their text are separate members; equal
@@ -33,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rejoinder.llm.components import connected_components
-from rejoinder.llm.frames import discard, saved
+from rejoinder.llm.frames import chunks, discard, saved
 from rejoinder.llm.hashing import mix, shingle_sets, texts_in_chunks
 
 SHINGLE = 5
@@ -47,6 +52,10 @@ REACH = 32
 #: Equal values of two signatures, of 128. A link's are 96 on average with a deviation of 4.9;
 #: fewer than this come once in half a million links of the least similarity.
 ALIKE = 74
+#: Counters of shingles for the exact join, and how many rows of one shingle meet in one task.
+COUNTERS = 1 << 21
+CELL_ROWS = 4096
+RUN_HASHES = 1 << 21
 SEED = 11
 
 _U = np.uint64
@@ -131,7 +140,9 @@ def _neighbours(batches: Iterator[pa.RecordBatch], depth: int, edges: bool, widt
             if not same.any():
                 break
             if step == width + 1:
-                found.extend((rows[i][1], *[None] * 4, True) for i in np.flatnonzero(same).tolist() if i < settled)
+                begins = np.flatnonzero(same[:settled])
+                members = np.unique(begins[:, None] + np.arange(width + 2))
+                found.extend((rows[i][1], *[None] * 4, True) for i in members.tolist())
             other = same & (codes[step:] != codes[:-step])
             if sketches is None:
                 alike[step - 1, :-step] = np.where(other & (taken[:-step] < width), VALUES, 0)
@@ -223,6 +234,146 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
             yield pa.record_batch([pa.array(c, pa.binary()) for c in zip(*rows)], names=["node", "own"])
 
 
+def _in_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Runs of rows with all hashes of their sets ``own`` and the row of each."""
+    for batch in batches:
+        for part in chunks(batch, "own", 8 * RUN_HASHES):
+            own = part.column("own").to_pylist()
+            sizes = np.array([len(s) // 8 for s in own])
+            yield part, np.frombuffer(b"".join(own), np.uint64), np.repeat(np.arange(len(own)), sizes)
+
+
+def _counter(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> _U(40)).astype(np.int64) & (COUNTERS - 1)
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For the counters of shingles: how many sets, and the least and largest component among them."""
+    for part, hashes, row in _in_runs(batches):
+        counter, group = _counter(hashes), part.column("part").to_numpy()[row]
+        order = np.argsort(counter, kind="stable")
+        counter, group = counter[order], group[order]
+        starts = np.flatnonzero(np.concatenate([[True], counter[1:] != counter[:-1]]))
+        counts = np.diff(np.append(starts, len(counter)))
+        columns = [counter[starts].astype(np.int32), counts, np.minimum.reduceat(group, starts), np.maximum.reduceat(group, starts)]
+        yield pa.record_batch([pa.array(c) for c in columns], names=["counter", "rows", "low", "high"])
+
+
+def _shingle_counts(crowded: DataFrame) -> np.ndarray:
+    """Sets per counter; 0 where all are in one component. ``COUNTERS`` numbers, whatever the data."""
+    found = crowded.select("part", "own").mapInArrow(_count, "counter int, rows long, low long, high long")
+    found = found.groupBy("counter").agg(F.sum("rows").alias("rows"), F.min("low").alias("low"), F.max("high").alias("high"))
+    mixed = found.select("counter", F.when(F.col("low") < F.col("high"), F.col("rows")).otherwise(-F.col("rows")).alias("rows"))
+    table = mixed.toArrow()
+    counts = np.zeros(COUNTERS, np.int64)
+    counts[table.column("counter").to_numpy()] = table.column("rows").to_numpy()
+    return counts
+
+
+_PREFIX = ["token", "cell", "n", "rest", "part", "block", "node"]
+_PREFIX_SCHEMA = "token long, cell long, n int, rest int, part long, block int, node binary"
+
+
+def _prefixes(batches: Iterator[pa.RecordBatch], counts: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
+    """The rarest shingles of each set, as many as a similar set shares one of, if other components have them.
+
+    ``rest`` counts the set's shingles from there on. The sets of a frequent shingle are dealt
+    to blocks, and every two blocks meet in a cell.
+    """
+    blocks_of = -(-np.abs(counts) // CELL_ROWS)
+    for part, hashes, row in _in_runs(batches):
+        counter = _counter(hashes)
+        order = np.lexsort((hashes, np.abs(counts[counter]), row))
+        hashes, counter = hashes[order], counter[order]
+        sizes = np.bincount(row, minlength=len(part))
+        begins = np.cumsum(sizes) - sizes
+        rest = sizes[row] - (np.arange(len(row)) - begins[row])
+        kept = np.flatnonzero((100 * rest >= percent * sizes[row]) & (counts[counter] > 0))
+        own = np.array([int.from_bytes(n[:4], "little") for n in part.column("node").to_pylist()], np.int64)
+        blocks = blocks_of[counter[kept]]
+        block = own[row[kept]] % blocks
+        copy = np.repeat(np.arange(len(kept)), blocks)
+        other = np.arange(len(copy)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+        cell = np.minimum(block[copy], other) * blocks[copy] + np.maximum(block[copy], other)
+        for begin in range(0, len(copy), 1 << 16):
+            c = copy[begin : begin + (1 << 16)]
+            at = row[kept[c]]
+            columns = [
+                hashes[kept[c]].view(np.int64), cell[begin : begin + (1 << 16)], sizes[at].astype(np.int32), rest[kept[c]].astype(np.int32),
+                part.column("part").to_numpy()[at], block[c].astype(np.int32),
+            ]
+            yield pa.record_batch([*(pa.array(x) for x in columns), part.column("node").take(pa.array(at))], names=_PREFIX)
+
+
+def _met(rows: pa.Table, percent: int, one: bool) -> pa.RecordBatch:
+    """Pairs of different components in the same cell that can be similar by sizes and positions.
+
+    Rows are sorted by token, cell and size, so a pair's bounds only tighten with the steps
+    between them. With ``one`` each row takes its first partner only.
+    """
+    token, cell, n, rest, part, block = (rows.column(c).to_numpy() for c in _PREFIX[:-1])
+    n, rest = n.astype(np.int64), rest.astype(np.int64)
+    crossing = np.zeros(len(rows), bool)  # cells of two blocks; each block has one of its own
+    same = (token[1:] == token[:-1]) & (cell[1:] == cell[:-1])
+    starts = np.flatnonzero(np.concatenate([[True], ~same]))
+    sizes = np.diff(np.append(starts, len(rows)))
+    crossing[:] = np.repeat(np.minimum.reduceat(block, starts) != np.maximum.reduceat(block, starts), sizes)
+    active, step, firsts, seconds = np.arange(len(rows)), 1, [], []
+    while True:
+        active = active[active + step < len(rows)]
+        after = active + step
+        total = percent * (n[active] + n[after])
+        open_ = (token[active] == token[after]) & (cell[active] == cell[after]) & (percent * n[after] <= 100 * n[active])
+        open_ &= (100 + percent) * rest[active] >= total
+        active, after, total = active[open_], after[open_], total[open_]
+        if not len(active):
+            break
+        good = ((100 + percent) * rest[after] >= total) & (part[active] != part[after]) & (~crossing[active] | (block[active] != block[after]))
+        firsts.append(active[good])
+        seconds.append(after[good])
+        if one:
+            active = active[~good]
+        step += 1
+    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (firsts, seconds))
+    nodes = rows.column("node").to_pylist()
+    pairs = list({(min(nodes[i], nodes[j]), max(nodes[i], nodes[j])) for i, j in zip(a.tolist(), b.tolist())})
+    return pa.record_batch([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], names=["a", "b"])
+
+
+def _meet(batches: Iterator[pa.RecordBatch], percent: int, one: bool) -> Iterator[pa.RecordBatch]:
+    """The pairs of all cells; whole cells are held at a time."""
+    held: list[pa.RecordBatch] = []
+    count = 0
+    for batch in batches:
+        held.append(batch)
+        count += len(batch)
+        if count < 1 << 17:
+            continue
+        rows = pa.Table.from_batches(held)
+        token, cell = rows.column("token").to_numpy(), rows.column("cell").to_numpy()
+        begins = np.flatnonzero((token[1:] != token[:-1]) | (cell[1:] != cell[:-1]))
+        if len(begins):
+            whole = int(begins[-1]) + 1
+            yield _met(rows.slice(0, whole), percent, one)
+            held = rows.slice(whole).to_batches()
+            count -= whole
+    if count:
+        yield _met(pa.Table.from_batches(held), percent, one)
+
+
+def _crowded_pairs(classes: DataFrame, sets: DataFrame, components: DataFrame, percent: int, one: bool) -> DataFrame:
+    """Pairs of classes ``a, b`` in different components that an exact prefix join leaves."""
+    named = classes.select("node").join(components, "node", "left")
+    named = named.select("node", F.xxhash64(F.coalesce("component", "node")).alias("part"))
+    crowded = saved(sets.join(named, "node"), "crowded")
+    counts = _shingle_counts(crowded)
+    rows = crowded.select("node", "part", "own").mapInArrow(lambda it: _prefixes(it, counts, percent), _PREFIX_SCHEMA)
+    rows = rows.repartition("token", "cell").sortWithinPartitions("token", "cell", "n")
+    pairs = saved(rows.mapInArrow(lambda it: _meet(it, percent, one), "a binary, b binary").distinct(), "crowded-pairs")
+    discard(crowded)
+    return pairs
+
+
 def _low_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         signed = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint8).reshape(len(batch), VALUES, 4)
@@ -230,6 +381,12 @@ def _low_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([*batch.columns, sketch], names=[*batch.schema.names, "sketch"])
 
 
+def _joined(components: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after further links."""
+    tree = components.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return saved(connected_components(links.unionByName(tree)), "all-components")
+
+
 def near_duplicates(
     docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
@@ -262,10 +419,17 @@ def near_duplicates(
     crowded = crowded.withColumn("component", F.coalesce("component", "node"))
     more, _, forest = _candidates(crowded, TREES, MORE_TREES, MORE_DEPTH, MORE_WIDTH, "second-forest")
     more = saved(_confirmed(more, sets, percent), "more-links")  # alike already
-    discard(forest, sets, dense)
-    tree = components.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    components = saved(connected_components(more.unionByName(tree)), "all-components")
+    discard(forest)
+    components = _joined(components, more)
     discard(more)
+    for one in (True, False):
+        pairs = _crowded_pairs(classes.join(dense, "node"), sets, components, percent, one)
+        near = saved(_thinned(pairs, classes, percent), "crowded-near")
+        more = saved(_confirmed(near, sets, percent), "crowded-links")
+        if not more.isEmpty():
+            components = _joined(components, more)
+        discard(pairs, near, more)
+    discard(sets, dense)
     named = classes.select("node", "first").join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
     named = saved(named.join(least, "component").select("node", "component_id"), "named")

@@ -67,6 +67,16 @@ def test_chains(spark):
     check(spark, [(50 - i, " ".join(words[i * 4 : i * 4 + 60])) for i in range(30)])
 
 
+def test_links_in_a_crowded_region(spark):
+    """3,000 texts around one template, similar to each other by 0.74, and 40 links of 0.77 among them."""
+    template = [f"t{i}" for i in range(89)]
+    rows = [(i, " ".join(template + [f"o{i}x{k}" for k in range(15)])) for i in range(3000)]
+    for i in range(40):
+        rows.append((5000 + i, " ".join(template + [f"o{70 * i}x{k}" for k in range(2)] + [f"p{i}x{k}" for k in range(13)])))
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).filter("doc_id <> component_id").collect()
+    assert sorted((r.doc_id, r.component_id) for r in found) == [(5000 + i, 70 * i) for i in range(40)]
+
+
 def test_odd_rows(spark, odd_docs):
     found = near_duplicates(odd_docs).collect()
     assert len(found) == len(TEXTS)
