@@ -13,16 +13,21 @@
 4. Pairs above ``COSINE`` are checked on their words: enough of the item's words must be
    near, their longest common subsequence must cover ``COVERED`` of the item in order, and
    ``ANSWERS`` of its rarest words (its answer words) must be there.
+5. Whatever the cosine, the places of an item's pivots (so many of its answer words that a
+   match must hold one) are checked alike, in a window of little more than the item's length.
+   A copy word for word is thereby always found.
 
 Items are read in slices of at most ``ITEM_BYTES``, one second pass per slice, so what a
-task holds of them is bounded. Items with fewer than ``LEAST_WORDS`` words are too short to
-be told from chance and are not searched; null and empty ones neither. A null or empty text
-matches nothing. Rows stay as they are, repeated or not, null ids included; other columns
+task holds of them is bounded. Items with fewer than ``LEAST_WORDS`` words are held by a text
+that has all their words in a run, and only then. Items in scripts without blanks are also
+searched as a run of characters, ASCII letters in any case. Null and blank items are not
+searched. A null or empty text matches nothing. Rows stay as they are, repeated or not, null ids included; other columns
 are left out. Repeated items count once per row of the benchmark.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -33,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rejoinder.llm.frames import text_bytes
-from rejoinder.llm.hashing import texts_in_chunks, word_hashes
+from rejoinder.llm.hashing import LOWER, texts_in_chunks, word_hashes
 
 SEGMENT = 16
 TERMS = 1 << 15
@@ -45,6 +50,8 @@ LEAST_WORDS = 8
 ITEM_BYTES = 8 << 20
 SHARDS = 32
 SEED = 5
+#: Thai, Lao, Burmese, Khmer, kana and Han: scripts that do not part words by blanks.
+UNPARTED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 _U = np.uint64
 
 
@@ -174,22 +181,27 @@ class Items:
     ends: np.ndarray  # of each word's items there
     windows: np.ndarray  # by coordinate and window
     owner: np.ndarray  # item of each window
+    pivots: np.ndarray  # item and offset in it of each pivot, word after word of the vocabulary
+    pivot_ends: np.ndarray  # of each word's pivots there
+    runs: list[tuple[int, bytes]]  # items in scripts without blanks, in lower case
 
     @classmethod
     def of(cls, rows: list, space: Space) -> Items | None:
         texts = pa.array([r[1] for r in rows], pa.large_string())
         with np.errstate(over="ignore"):
             passages = Passages.of(*text_bytes(texts))
-        ids, words, windows, owner = [], [], [], []
+        ids, words, windows, owner, runs = [], [], [], [], []
         coordinates = _projected(passages.terms, space.matrix)
         for i, row in enumerate(rows):
             own = passages.words[passages.before[i] : passages.before[i + 1]]
-            if len(own) < LEAST_WORDS:
+            if not len(own):
                 continue
             a, b = passages.first[i], passages.first[i + 1]
             for k in range(a, max(a + 1, b - 1)):
                 windows.append(coordinates[:, k : min(k + 2, b)].sum(axis=1))
                 owner.append(len(ids))
+            if UNPARTED.search(row[1]):
+                runs.append((len(ids), LOWER[np.frombuffer(row[1].strip().encode("utf-8", "replace"), np.uint8)].tobytes()))
             ids.append(row[0])
             words.append(own)
         if not ids:
@@ -208,15 +220,37 @@ class Items:
         ends = np.cumsum(np.bincount(word, minlength=len(vocabulary) + 1))
         asked = np.array([len(a) for a in answers])
         by_word = item[np.argsort(word, kind="stable")]
-        return cls(ids, places, vocabulary, holds, answers, asked, by_word, ends, _unit(np.array(windows).T), np.array(owner))
+        pivots = []
+        for i, (place, rarest) in enumerate(zip(places, answers)):
+            spare = len(rarest) - int(np.ceil(ANSWERS * len(rarest))) if len(place) >= LEAST_WORDS else 0
+            at = np.flatnonzero(np.isin(place, rarest[: spare + 1]))
+            pivots.append(np.stack([place[at], np.full(len(at), i), at], axis=1))
+        pivots = np.concatenate(pivots)
+        pivots = pivots[np.argsort(pivots[:, 0], kind="stable")]
+        pivot_ends = np.cumsum(np.bincount(pivots[:, 0], minlength=len(vocabulary) + 1))
+        return cls(
+            ids, places, vocabulary, holds, answers, asked, by_word, ends, _unit(np.array(windows).T), np.array(owner),
+            pivots[:, 1:], pivot_ends, runs,
+        )
 
     def asking(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Item and position of every answer word in a run of words."""
-        begins = self.ends - np.diff(self.ends, prepend=0)
-        counts = (self.ends - begins)[place]
-        where = np.repeat(np.arange(len(place)), counts)
-        step = np.arange(len(where)) - np.repeat(np.cumsum(counts) - counts, counts)
-        return self.by_word[begins[place][where] + step], where
+        which, where = _entries(place, self.ends)
+        return self.by_word[which], where
+
+    def begins(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Item, position, and where the item would begin, of every pivot in a run of words."""
+        which, where = _entries(place, self.pivot_ends)
+        return self.pivots[which, 0], where, where - self.pivots[which, 1]
+
+
+def _entries(place: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All entries of the words of a run, and the position of each."""
+    begins = ends - np.diff(ends, prepend=0)
+    counts = (ends - begins)[place]
+    where = np.repeat(np.arange(len(place)), counts)
+    step = np.arange(len(where)) - np.repeat(np.cumsum(counts) - counts, counts)
+    return begins[place][where] + step, where
 
 
 def common_subsequence(item: np.ndarray, near: list[int]) -> int:
@@ -249,16 +283,9 @@ def _matches(passages: Passages, items: Items, space: Space, cosine: float, cove
     which, where = items.asking(place)
     asked = np.sort(which * stretch + where)
     found: dict[tuple[int, int], tuple[int, float]] = {}
-    for begin in range(0, len(joined), 4096):
-        scores = joined[begin : begin + 4096] @ items.windows
-        at, window = np.nonzero(scores >= cosine)
-        value = scores[at, window]
-        item, passage = items.owner[window], at + begin
-        text = passages.text[passage]
-        # Words of the text from one item's length before the window to one behind it.
-        middle = passages.before[text] + (passage - passages.first[text]) * SEGMENT
-        low = np.maximum(passages.before[text], middle - sizes[item])
-        high = np.minimum(passages.before[text + 1], middle + 2 * SEGMENT + sizes[item])
+
+    def check(item: np.ndarray, text: np.ndarray, value: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
+        """Adds the pairs whose words from ``low`` to ``high`` hold enough of the item."""
         answered = np.searchsorted(asked, item * stretch + high) - np.searchsorted(asked, item * stretch + low)
         likely = np.flatnonzero(answered >= ANSWERS * items.asked[item])
         item, text, value, low, high = item[likely], text[likely], value[likely], low[likely], high[likely]
@@ -276,6 +303,47 @@ def _matches(passages: Passages, items: Items, space: Space, cosine: float, cove
                 answers = items.answers[pair[1]]
                 if length >= covered * len(own) and np.isin(answers, near).sum() >= ANSWERS * len(answers):
                     found[pair] = max(found.get(pair, (0, 0.0)), (length, float(value[k])))
+
+    for begin in range(0, len(joined), 4096):
+        scores = joined[begin : begin + 4096] @ items.windows
+        at, window = np.nonzero(scores >= cosine)
+        long = sizes[items.owner[window]] >= LEAST_WORDS
+        at, window = at[long], window[long]
+        value = scores[at, window]
+        item, passage = items.owner[window], at + begin
+        text = passages.text[passage]
+        # Words of the text from one item's length before the window to one behind it.
+        middle = passages.before[text] + (passage - passages.first[text]) * SEGMENT
+        low = np.maximum(passages.before[text], middle - sizes[item])
+        high = np.minimum(passages.before[text + 1], middle + 2 * SEGMENT + sizes[item])
+        check(item, text, value, low, high)
+
+    def likeness(text: int, item: int, position: int) -> float:
+        passage = int(passages.first[text]) + (position - int(passages.before[text])) // SEGMENT
+        return float((joined[passage] @ items.windows[:, items.owner == item]).max())
+
+    item, where, start = items.begins(place)
+    text = np.searchsorted(passages.before, where, "right") - 1
+    first, last = passages.before[text], passages.before[text + 1]
+    long = sizes[item] >= LEAST_WORDS
+    slack = np.maximum(2, sizes[item] // 4)
+    low, high = np.maximum(first, start - slack), np.minimum(last, start + sizes[item] + slack)
+    already = set(found)
+    check(item[long], text[long], np.zeros(int(long.sum())), low[long], high[long])
+    for pair in found.keys() - already:
+        begun = int(low[long][np.flatnonzero((text[long] == pair[0]) & (item[long] == pair[1]))[0]])
+        found[pair] = (found[pair][0], likeness(*pair, begun))
+    short = np.flatnonzero(~long & (start >= first) & (start + sizes[item] <= last))
+    own = np.full((len(sizes), LEAST_WORDS), -1)
+    for i in np.flatnonzero(sizes < LEAST_WORDS).tolist():
+        own[i, : sizes[i]] = items.words[i]
+    for k in range(LEAST_WORDS):
+        wanted = own[item[short], k]
+        short = short[(wanted < 0) | (place[np.minimum(start[short] + k, len(place) - 1)] == wanted)]
+    for k in short.tolist():
+        pair = (int(text[k]), int(item[k]))
+        if pair not in found:
+            found[pair] = (int(sizes[pair[1]]), likeness(*pair, int(start[k])))
     return found
 
 
@@ -288,8 +356,19 @@ def _held(batches: Iterator[pa.RecordBatch], blocks: list[Items], space: Space,
         passages = Passages.of(data, offsets)
         rows: list[list[dict]] = [[] for _ in range(len(part))]
         if len(passages.terms):
+            lower = LOWER[data].tobytes() if any(items.runs for items in blocks) else b""
             for items in blocks:
-                for (text, item), (words, value) in sorted(_matches(passages, items, space, cosine, covered).items()):
+                matches = _matches(passages, items, space, cosine, covered)
+                for item, run in items.runs:
+                    at = lower.find(run)
+                    while at >= 0:
+                        text = int(np.searchsorted(offsets, at, "right")) - 1
+                        if at + len(run) <= offsets[text + 1]:
+                            matches.setdefault((text, item), (len(items.words[item]), 1.0))
+                            at = lower.find(run, int(offsets[text + 1]))
+                        else:
+                            at = lower.find(run, at + 1)
+                for (text, item), (words, value) in sorted(matches.items()):
                     rows[text].append({"item": items.ids[item], "words": words, "cosine": value})
         yield part, rows
 

@@ -57,6 +57,27 @@ def test_planted_items_are_found_and_nothing_else(spark):
     assert sorted(r.doc_id for r in drop_contaminated(docs, benchmark).collect()) == [k for k in range(400) if k not in wanted]
 
 
+def test_copies_of_short_items_are_found(spark):
+    """Copies word for word of items of 1 to 16 words, and items in a script without blanks."""
+    rng = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    weights = [1 / (i + 1) for i in range(3000)]
+    items = [[f"only{n}", *rng.choices(vocabulary, weights, k=n - 1)] for n in range(1, 17) for _ in range(5)]
+    rows = []
+    for i, item in enumerate(items):
+        text = rng.choices(vocabulary, weights, k=160)
+        text[i:i] = item
+        rows.append((i, " ".join(text).upper()))
+        rows.append((1000 + i, " ".join(rng.choices(vocabulary, weights, k=160))))
+    items = [[f"only{n}x{i}" if w == f"only{n}" else w for w in item] for i, item in enumerate(items) for n in [len(item)]]
+    rows = [(k, t.replace(f"ONLY{len(items[k])} ", f"ONLY{len(items[k])}X{k} ") if k < 1000 else t) for k, t in rows]
+    texts = [(i, " ".join(w)) for i, w in enumerate(items)] + [(500, "日本の首都はどこですか"), (501, " ")]
+    rows += [(2000, "昔々、日本の首都はどこですか？東京です。"), (2001, "昔々、日本の首都は"), (2002, "どこですか")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, m.item) for r in find_items(docs, spark.createDataFrame(texts, "item_id long, text string")).collect() for m in r.matches}
+    assert found == {(i, i) for i in range(80)} | {(2000, 500)}
+
+
 def test_given_tables(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     benchmark = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
