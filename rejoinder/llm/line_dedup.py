@@ -1,7 +1,7 @@
 """Near-duplicate lines by an exact set-similarity join, in DataFrame operations alone.
 
 A line's tokens are its distinct words, in lower case, parted by spaces and tabs. A line
-with at least ``LEAST_TOKENS`` of them is removed if an earlier line (by document id, then
+with at least ``LEAST_TOKENS`` of them, or of ``LEAST_BYTES`` bytes with any, is removed if an earlier line (by document id, then
 line number) has a Jaccard similarity of ``PERCENT`` percent or more with it, whether
 that line stays or not.
 
@@ -38,6 +38,7 @@ from rejoinder.llm.frames import discard, saved
 
 PERCENT = 90
 LEAST_TOKENS = 5
+LEAST_BYTES = 32
 COUNTERS = 1 << 16
 BITS = 1 << 23
 LEADER_ROWS = 64
@@ -76,14 +77,14 @@ def _ranked(docs: DataFrame, percent: int) -> DataFrame:
         level = F.element_at(levels, x.bitwiseAND(COUNTERS - 1).cast("int") + 1).cast("long")
         return F.when(word == "", none).otherwise(F.shiftleft(level, 56).bitwiseOR(F.shiftrightunsigned(x, 8)))
 
-    lines = _lines(docs).filter(F.length("line") >= 2 * LEAST_TOKENS - 1)
+    lines = _lines(docs).filter(F.octet_length("line") >= 2 * LEAST_TOKENS - 1)
     words = F.split(F.expr(_spaced("line")), " ")
     hashes = F.array_remove(F.sort_array(F.array_distinct(F.transform(words, rank))), -1)
     # Exploding a list of one keeps the filter below from hashing every line a second time.
-    tokens = lines.select("doc_id", "line_no", F.explode(F.array(hashes)).alias("h"))
+    tokens = lines.select("doc_id", "line_no", (F.octet_length("line") >= LEAST_BYTES).alias("long"), F.explode(F.array(hashes)).alias("h"))
     prefix = F.slice("h", 1, F.expr(f"cast(size(h) - ({percent} * size(h) + 99) div 100 + 1 as int)"))
     picture = "aggregate(h, 0L, (a, x) -> a | shiftleft(1L, cast(shiftright(x, 40) & 63 as int)))"
-    return tokens.filter(F.size("h") >= LEAST_TOKENS).select(
+    return tokens.filter((F.size("h") >= LEAST_TOKENS) | (F.col("long") & (F.size("h") > 0))).select(
         F.xxhash64("h").alias("h1"), F.xxhash64(F.lit(1), "h").alias("h2"), "doc_id", "line_no",
         F.size("h").alias("n"), prefix.alias("prefix"), F.expr(picture).alias("picture"),
     )

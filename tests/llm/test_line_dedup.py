@@ -77,6 +77,13 @@ def test_lines_go_and_the_rest_stays(spark):
     assert found == {1: (rows[0][1], len(rows[0][1])), 2: ("first here\nshort\nend", 20)}
 
 
+def test_long_lines_of_few_words_go(spark):
+    lines = ["https://example.com/a/very/long/address?of=one&word=only", "日本語の文には空白がありませんので一語です", "again and " * 6, "=" * 40 + " ="]
+    rows = [(1, "\n".join(lines)), (2, "\n".join(["own", *lines, " " * 40])), (3, " " * 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, repeated_lines(docs).collect())) == [(2, i) for i in range(1, 5)]
+
+
 def test_no_python_in_the_plan(spark):
     docs = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
     plan = repeated_lines(docs)._jdf.queryExecution().toString()
