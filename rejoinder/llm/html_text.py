@@ -6,11 +6,10 @@ on how many different pages of a host each hash occurs. Pages with the same text
 once, so copies of a page do not turn its article into a template.
 
 Pass 2 parses again and deletes subtrees that occur on at least ``LEAST_PAGES`` different
-pages and ``LEAST_SHARE`` of the pages of their host, then elements that are no article
+pages of their host, however many it has, then elements that are no article
 text whatever their content (navigation, forms, scripts, adverts by class, reader
-comments and so on), and reads the blocks of what remains. A host has at most
-1 / ``LEAST_SHARE`` times as many such hashes as a page has elements, so the list that
-goes to its pages is bounded.
+comments and so on), and reads the blocks of what remains. A page gets the hashes of its own
+subtrees only, so its list is bounded by its elements.
 
 Within an article, paragraphs, headings and other running text never count as template:
 an article that quotes another keeps the quotation.
@@ -33,8 +32,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rejoinder.llm.frames import saved
+
 LEAST_PAGES = 5
-LEAST_SHARE = 0.1
+SALTS = 16
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|\Z)",
@@ -248,46 +249,51 @@ def host_of(url: Column) -> Column:
 
 def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        hosts, marks, pages = [], [], []
-        for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        hosts, keys, marks, pages = [], [], [], []
+        for host, key, page in zip(*(c.to_pylist() for c in batch.columns)):
             root = parse(page or "")
             own = set(mark_subtrees(root))
             _kept(root, frozenset())
             text = hashlib.blake2b("\n".join(blocks(root)).encode("utf-8", "replace"), digest_size=8).digest()
-            for mark in (b"", *own):
+            for mark in own:
                 hosts.append(host)
+                keys.append(key)
                 marks.append(mark)
                 pages.append(text)
-        yield pa.record_batch([pa.array(hosts, pa.string()), pa.array(marks, pa.binary()), pa.array(pages, pa.binary())], names=["host", "mark", "page"])
+        columns = [pa.array(hosts, pa.string()), *(pa.array(c, pa.binary()) for c in (keys, marks, pages))]
+        yield pa.record_batch(columns, names=["host", "key", "mark", "page"])
+
 
+def site_templates(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
+    """``host, key, marks``: the hashes of the subtrees of a page that are template of its host.
 
-def site_templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """``host, marks``: the hashes of the subtrees that make up the template of a host."""
-    seen = pages.filter("host IS NOT NULL").select("host", "html").mapInArrow(_mark, "host string, mark binary, page binary")
-    counts = seen.distinct().groupBy("host", "mark").agg(F.count(F.lit(1)).alias("n"))
-    totals = counts.filter(F.length("mark") == 0).select("host", F.col("n").alias("total"))
-    often = counts.filter((F.length("mark") > 0) & (F.col("n") >= least_pages)).join(totals, "host")
-    return often.filter(F.col("n") >= least_share * F.col("total")).groupBy("host").agg(F.collect_list("mark").alias("marks"))
+    A mark on all pages of a host is dealt over ``SALTS`` tasks.
+    """
+    known = pages.filter("host IS NOT NULL AND key IS NOT NULL").select("host", "key", "html")
+    seen = saved(known.mapInArrow(_mark, "host string, key binary, mark binary, page binary"), "page-marks")
+    counts = seen.select("host", "mark", "page").distinct().groupBy("host", "mark").agg(F.count(F.lit(1)).alias("n"))
+    often = counts.filter(F.col("n") >= least_pages).select("host", "mark")
+    often = often.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    own = seen.select("host", "key", "mark", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int").alias("salt"))
+    return own.join(often, ["host", "mark", "salt"]).groupBy("host", "key").agg(F.collect_set("mark").alias("marks"))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        known: dict[str, frozenset[bytes]] = {}
         texts = []
-        for host, page, marks in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "marks"))):
-            if marks and host not in known:
-                known[host] = frozenset(marks)
-            texts.append(main_text(page, known.get(host, frozenset()) if marks else frozenset()))
+        for page, marks in zip(*(batch.column(c).to_pylist() for c in ("html", "marks"))):
+            texts.append(main_text(page, frozenset(marks or ())))
         yield pa.record_batch(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
             names=["page_id", "url", "text", "n_chars"],
         )
 
 
-def extract_text(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
+def extract_text(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
     """``page_id, url, text, n_chars`` for each row of ``page_id, url, html``."""
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host_of(F.col("url")).alias("host"))
-    joined = own.join(site_templates(own, least_pages, least_share), "host", "left")
-    return joined.select("page_id", "url", "html", "host", "marks").mapInArrow(
+    own = own.withColumn("key", F.unhex(F.md5(F.col("html"))))
+    joined = own.join(site_templates(own, least_pages), ["host", "key"], "left")
+    return joined.select("page_id", "url", "html", "marks").mapInArrow(
         _extract, "page_id long, url string, text string, n_chars long"
     )

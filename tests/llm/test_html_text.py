@@ -33,6 +33,12 @@ def test_templates_of_a_host_go(spark):
     assert texts[200] == "" and texts[201] == "x" and texts[None] == "" and all(r.n_chars == len(r.text) for r in found)
 
 
+def test_blocks_of_few_pages_of_a_large_host_go(spark):
+    rows = [(i, f"http://h.com/{i}", f"<div><p>text {i}</p></div>" + ("<div>Section bar</div>" if i < 12 else "")) for i in range(200)]
+    found = extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in found} == {i: f"text {i}" for i in range(200)}
+
+
 def test_copies_of_a_page_are_no_template(spark):
     page = "<div><p>An article that was copied.</p></div>"
     rows = [(i, "http://h.com/a", page) for i in range(50)] + [(50 + i, "http://h.com/b", f"<p>own {i}</p>") for i in range(3)]
