@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rejoinder.llm import html_text, pii, topk, toxicity
 from rejoinder.llm.decontamination import find_items
+from rejoinder.llm.filter_audit import audit_filters
 from rejoinder.llm.line_dedup import line_report, repeated_lines
 from rejoinder.llm.near_dedup import near_duplicates
 from rejoinder.llm.packing import pack_documents
@@ -146,6 +147,55 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return held.select("doc_id", F.size("items").alias("n_items"), F.array_join(F.col("items").cast("array<string>"), ",").alias("items"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP12_SQL = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+    min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least
+  FROM documents
+), l AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id
+), m AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(l.toxic, 0) AS toxic,
+    CASE WHEN len(words) < 200 THEN 1 ELSE 0 END
+    + CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * len(regexp_extract_all(text, '[A-Z]')) > 2 * length(text) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN t.doc_id > least THEN 16 ELSE 0 END AS mask
+  FROM t LEFT JOIN l USING (doc_id)
+), c AS (
+  SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, mask
+), f AS (
+  SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS v(name, bit)
+), o AS (
+  SELECT a.name || b.name || c.name || d.name || e.name AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM f a, f b, f c, f d, f e
+  WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND len(list_distinct([a.bit, b.bit, c.bit, d.bit, e.bit])) = 5
+), s AS (
+  SELECT filter_order, step, bits[step] AS bit, CAST(coalesce(list_sum(bits[1 : step - 1]), 0) AS INTEGER) AS before
+  FROM o, (SELECT unnest(range(1, 6)) AS step)
+), r AS (
+  SELECT part, filter_order, step, bit,
+    sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & before <> 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM c, s GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM r
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_token_counts": op2_token_counts,
@@ -157,11 +207,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_text": op8_html_text,
     "op9_packing": op9_packing,
     "op10_decontamination": op10_decontamination,
+    "op12_filter_audit": op12_filter_audit,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_near_dedup": OP5_SQL,
     "op7_topk": OP7_SQL,
+    "op12_filter_audit": OP12_SQL,
 }
 
 
