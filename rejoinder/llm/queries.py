@@ -14,6 +14,7 @@ from rejoinder.llm.filter_audit import audit_filters
 from rejoinder.llm.line_dedup import line_report, repeated_lines
 from rejoinder.llm.near_dedup import near_duplicates
 from rejoinder.llm.packing import pack_documents
+from rejoinder.llm.prefix_trie import conversation_trie
 from rejoinder.llm.suffix_dedup import remove_repeats
 from rejoinder.llm.token_counts import count_tokens
 
@@ -147,6 +148,48 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return held.select("doc_id", F.size("items").alias("n_items"), F.array_join(F.col("items").cast("array<string>"), ",").alias("items"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+OP11_SQL = r"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), o AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY pos) AS turns FROM t GROUP BY conv_id
+), h AS (
+  SELECT conv_id, turns, CAST(xor(list_reduce(
+      list_transform(range(1, length(CAST(conv_id AS VARCHAR)) + 1), lambda i: CAST(ascii(substr(CAST(conv_id AS VARCHAR), i, 1)) AS BIGINT)),
+      lambda c, b: list_reduce(range(8), lambda d, j: xor(d >> 1, 3988292384 * (d & 1)), xor(c, b)),
+      4294967295), 4294967295) % 4 AS BIGINT) AS h
+  FROM o
+), r AS (
+  SELECT h.conv_id, list_concat(coalesce(f.turns, [])[1 : h.h], h.turns[h.h + 1 :]) AS turns
+  FROM h LEFT JOIN o f ON f.conv_id = h.conv_id - h.conv_id % 20
+), p AS (
+  SELECT conv_id, d AS depth, turns[1 : d] AS path, CASE WHEN d > 0 THEN turns[1 : d - 1] END AS above, d = len(turns) AS ends
+  FROM r, (SELECT unnest(range(0, (SELECT max(len(turns)) + 1 FROM r))) AS d) WHERE d <= len(turns)
+), n AS (
+  SELECT path, depth, above, min(conv_id) AS conv_id, count(*) AS n_convs,
+    CASE WHEN depth = 0 THEN 0 ELSE len(regexp_extract_all(path[depth].text, '[^\x20\x09-\x0D]+')) END AS words,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM p GROUP BY path, depth, above
+), c AS (
+  SELECT above AS path, count(*) AS n_children FROM n WHERE above IS NOT NULL GROUP BY above
+), k AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN c USING (path)
+), s AS (
+  SELECT path[1 : d] AS path, sum((n_convs - 1) * words) AS saved_tokens, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves
+  FROM k, (SELECT unnest(range(0, (SELECT max(depth) + 1 FROM n))) AS d) WHERE d <= depth GROUP BY 1
+)
+SELECT k.conv_id, k.depth, a.conv_id AS parent_conv_id, k.n_convs, k.n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves,
+  CAST(s.saved_tokens AS BIGINT) AS saved_tokens, k.ends_sha256
+FROM k JOIN s ON s.path = k.path LEFT JOIN n a ON a.path = k.above
+"""
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -207,12 +250,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_text": op8_html_text,
     "op9_packing": op9_packing,
     "op10_decontamination": op10_decontamination,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_filter_audit": op12_filter_audit,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_near_dedup": OP5_SQL,
     "op7_topk": OP7_SQL,
+    "op11_prefix_trie": OP11_SQL,
     "op12_filter_audit": OP12_SQL,
 }
 
