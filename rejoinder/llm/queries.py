@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rejoinder.llm import html_text, pii, topk, toxicity
+from rejoinder.llm import html_text, pii, projected_search, topk, toxicity
 from rejoinder.llm.decontamination import find_items
 from rejoinder.llm.filter_audit import audit_filters
 from rejoinder.llm.line_dedup import line_report, repeated_lines
@@ -239,6 +239,10 @@ FROM r
 """
 
 
+def op13_projected_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projected_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_token_counts": op2_token_counts,
@@ -252,6 +256,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": op10_decontamination,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_filter_audit": op12_filter_audit,
+    "op13_projected_search": op13_projected_search,
 }
 
 ORACLE_SQL: dict[str, str] = {
