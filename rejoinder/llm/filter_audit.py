@@ -109,16 +109,16 @@ def failure_masks(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``part, mask, quality, toxic`` for each document.
 
     Copies are found by 128-bit hashes. Only texts that more than one document has are
-    joined back, on the hash; a text of very many documents makes a skewed left side,
-    which AQE splits.
+    joined back, on the hash. They and the labels are written first: AQE splits the documents of a
+    very frequent text or id only where both sides of the join come straight from a shuffle.
     """
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("source", F.lit("")).alias("part"), "text")
     read = saved(own.mapInArrow(_masks, "doc_id long, part string, mask int, key binary"), "masks")
     least = read.groupBy("key").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    copies = read.join(least, "key", "left")
+    copies = read.join(saved(least, "copied-texts"), "key", "left")
     repeats = F.coalesce(F.col("doc_id") > F.col("least"), F.lit(False)).cast("int")
     masked = copies.select("doc_id", "part", (F.col("mask") + F.lit(16) * repeats).alias("mask"))
-    found = masked.join(_labelled(labels), "doc_id", "left")
+    found = masked.join(saved(_labelled(labels), "labels"), "doc_id", "left")
     return found.select("part", "mask", *(F.coalesce(F.col(n), F.lit(0)).alias(n) for n in ("quality", "toxic")))
 
 
