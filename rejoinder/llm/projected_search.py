@@ -431,6 +431,7 @@ def search(
     best = Window.partitionBy("key").orderBy(F.desc("score"), "id")
     ranked = candidates.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= k + 1)
     ranked = ranked.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("nth", "id", "score", "copies"))).alias("best"))
+    ranked = saved(ranked, "ranked")  # so that AQE can split the queries that share a vector
     others = F.filter("best", lambda x: x["id"] != F.col("query_id"))
     every = F.flatten(F.transform(others, lambda x: F.array_repeat(x, F.least(x["copies"], F.lit(k)).cast("int"))))
     joined = asking.join(ranked, "key").select("query_id", F.posexplode(F.slice(every, 1, k)).alias("at", "x"))
