@@ -9,7 +9,10 @@ the salt as a second key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rejoinder.session import scratch_dir
@@ -18,11 +21,26 @@ SALT = "__salt"
 SALTS = "__salts"
 
 ROWS_PER_TASK = 250_000
-LISTED = 1_000_000
+LISTED = 1 << 15
+
+# A sketch is sure to list what is above a LISTED-th of a task's rows if it tracks seven
+# times as many keys; it takes a power of two.
+_TRACKED_PER_LISTED = 8
 
 _SKEWED = "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"
 _BROADCAST = "spark.sql.autoBroadcastJoinThreshold"
 
+#: One key column or several that are a key together.
+Key = str | Sequence[str]
+
+
+def key_columns(key: Key) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def _all_known(columns: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"`{c}`").isNotNull() for c in columns])
+
 
 def may_be_skewed(df: DataFrame) -> bool:
     """Whether ``df`` is estimated larger than one partition that AQE would call skewed.
@@ -46,29 +64,57 @@ def aqe_splits(spark: SparkSession) -> bool:
     return all(spark.conf.get(name).lower() == "true" for name in names)
 
 
-def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame | None:
-    """The keys with more than ``rows_per_task`` rows, as a table ``key, __salts``, or none.
+def heavy_hitters(df: DataFrame, key: Key) -> DataFrame:
+    """``task, rows, found``: for every task its rows with a key, and the hashes of keys that are
+    frequent there with the most rows they can have.
 
-    Every key is counted, with partial counts before the shuffle, and keys are compared
-    as the join compares them, so all types are covered. The list is written, since it
-    is used on both sides. Its size has a proven bound: where more than ``LISTED`` keys are
-    frequent, only those above a ``LISTED``-th of all their rows need salts to keep tasks
-    even, and there are fewer than ``LISTED`` of these.
+    Frequent items are summed up within the task, in bounded memory, so what is sent does
+    not grow with the number of distinct keys. Any key above a ``LISTED``-th of a task's
+    rows is in its list.
+    """
+    columns = key_columns(key)
+    hashed = F.xxhash64(*[F.col(f"`{c}`") for c in columns]).alias("hash")
+    rows = df.filter(_all_known(columns)).select(F.spark_partition_id().alias("task"), hashed)
+    top = F.expr(f"approx_top_k(hash, {LISTED}, {_TRACKED_PER_LISTED * LISTED})")
+    return rows.groupBy("task").agg(F.count(F.lit(1)).alias("rows"), top.alias("found"))
+
+
+def hot_keys(df: DataFrame, key: Key, rows_per_task: int = ROWS_PER_TASK) -> DataFrame | None:
+    """The keys with more than ``rows_per_task`` rows, as a table of the key and ``__salts``, or none.
+
+    A key that is frequent in the whole has the same share of the rows of at least one task, so the
+    lists of the tasks hold every such key; only what they hold is counted exactly. Keys are compared as the join
+    compares them, so all types are covered. The list is written, since it is used on both
+    sides. Its size has a proven bound: where ``rows_per_task`` is less than a ``LISTED``-th
+    of all rows, only keys above that share need salts to keep tasks even, and there are
+    fewer than ``LISTED`` of these.
     """
-    keys = df.select(F.col(f"`{key}`").alias(key)).filter(F.col(f"`{key}`").isNotNull())
-    counts = keys.groupBy(f"`{key}`").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > rows_per_task)
-    path = scratch_dir(df.sparkSession, "hot-keys")
-    counts.write.parquet(path)
-    counts = df.sparkSession.read.schema(counts.schema).parquet(path)
-    known = counts.agg(F.count(F.lit(1)).alias("keys"), F.sum("rows").alias("rows")).first()
-    if not known["keys"]:
+    columns = key_columns(key)
+    tasks = _written(heavy_hitters(df, columns), "heavy-hitters")
+    rows = tasks.agg(F.sum("rows")).first()[0] or 0
+    least = max(rows_per_task, rows // LISTED)
+    if rows <= least:
+        return None
+    share = F.col("rows") * F.lit(least / rows)
+    listed = tasks.select(F.explode(F.filter("found", lambda x: x["count"] >= F.floor(share))).alias("x"))
+    listed = _written(listed.select(F.col("x.item").alias("__hash")).distinct(), "listed-keys")
+    if listed.isEmpty():
         return None
-    least = max(rows_per_task, known["rows"] // LISTED)
-    salts = F.ceil(F.col("rows") / least).cast("int").alias(SALTS)
-    return counts.filter(F.col("rows") > least if least > rows_per_task else F.lit(True)).select(f"`{key}`", salts)
+    known = df.select(*[F.col(f"`{c}`") for c in columns]).filter(_all_known(columns))
+    hashed = known.withColumn("__hash", F.xxhash64(*[F.col(f"`{c}`") for c in columns]))
+    counts = hashed.join(listed, "__hash", "left_semi").groupBy(*[f"`{c}`" for c in columns]).agg(F.count(F.lit(1)).alias("__rows"))
+    hot = counts.filter(F.col("__rows") > least)
+    hot = _written(hot.select(*[f"`{c}`" for c in columns], F.ceil(F.col("__rows") / least).cast("int").alias(SALTS)), "hot-keys")
+    return None if hot.isEmpty() else hot
+
+
+def _written(df: DataFrame, purpose: str) -> DataFrame:
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def scatter(df: DataFrame, key: str, hot: DataFrame | None, salt: str = SALT) -> DataFrame:
+def scatter(df: DataFrame, key: Key, hot: DataFrame | None, salt: str = SALT) -> DataFrame:
     """Add ``salt``: rows of a hot key go round its salts, all others get 0.
 
     The salt follows the position of a row in its partition, so exact copies are
@@ -81,7 +127,7 @@ def scatter(df: DataFrame, key: str, hot: DataFrame | None, salt: str = SALT) ->
     return _with_salts(df, key, hot).withColumn(salt, position).drop(SALTS)
 
 
-def replicate(df: DataFrame, key: str, hot: DataFrame | None, salt: str = SALT) -> DataFrame:
+def replicate(df: DataFrame, key: Key, hot: DataFrame | None, salt: str = SALT) -> DataFrame:
     """Add ``__salts`` and ``salt``: rows of a hot key once per salt, all others
     once with salt 0."""
     if hot is None:
@@ -90,16 +136,16 @@ def replicate(df: DataFrame, key: str, hot: DataFrame | None, salt: str = SALT)
     return _with_salts(df, key, hot).withColumn(salt, every)
 
 
-def join_keys(key: str, hot: DataFrame | None, salt: str = SALT) -> list[str]:
+def join_keys(key: Key, hot: DataFrame | None, salt: str = SALT) -> list[str]:
     """The columns to join on: the salt is there only if a key is hot."""
-    return [key] if hot is None else [key, salt]
+    return key_columns(key) + ([] if hot is None else [salt])
 
 
-def _with_salts(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+def _with_salts(df: DataFrame, key: Key, hot: DataFrame) -> DataFrame:
     # Fewer than LISTED rows, see hot_keys, so the broadcast cannot grow with the data.
-    own = F.broadcast(hot.select(F.col(f"`{hot.columns[0]}`").alias("__hot"), F.col(SALTS).alias("__found")))
-    return (
-        df.join(own, F.col(f"`{key}`") == F.col("__hot"), "left")
-        .withColumn(SALTS, F.coalesce("__found", F.lit(1)))
-        .drop("__found", "__hot")
-    )
+    columns = key_columns(key)
+    renamed = [F.col(f"`{name}`").alias(f"__hot{i}") for i, name in enumerate(hot.columns[: len(columns)])]
+    own = F.broadcast(hot.select(*renamed, F.col(SALTS).alias("__found")))
+    same = reduce(lambda a, b: a & b, [F.col(f"`{c}`") == F.col(f"__hot{i}") for i, c in enumerate(columns)])
+    found = df.join(own, same, "left").withColumn(SALTS, F.coalesce("__found", F.lit(1)))
+    return found.drop("__found", *[f"__hot{i}" for i in range(len(columns))])

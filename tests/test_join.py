@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql.functions import spark_partition_id
 
 from rejoinder.operators import skew
-from rejoinder.operators.enrich import drop_null_keys, enrich, join_returns, stamp
+from rejoinder.operators.enrich import drop_null_keys, enrich, join_returns, join_spread, stamp
 from rejoinder.operators.gates import InputError, gate_report
 from rejoinder.operators.landing import accepted_keys, refused_keys
 from tests.conftest import rows
@@ -141,7 +141,31 @@ def test_the_list_has_no_cap_and_any_resolution(spark):
 def test_longer_lists_keep_the_most_frequent(spark, monkeypatch):
     monkeypatch.setattr(skew, "LISTED", 4)
     rows = spark.range(1_000).selectExpr("if(id < 600, 0, id % 40) as k")
-    assert listed(rows, "k", 5) == {0: 3}  # above a fourth of the rows of all frequent keys
+    assert listed(rows, "k", 5) == {0: 3}  # above a fourth of all rows
+
+
+def test_heavy_keys_among_very_many(spark, monkeypatch):
+    """Far more distinct keys than a sketch can track, and hot ones that only some tasks see."""
+    monkeypatch.setattr(skew, "LISTED", 64)
+    rows = spark.range(0, 400_000, 1, 8).selectExpr(
+        "case when id % 10 = 0 then -1 when id % 50 = 1 then -2 when id between 350000 and 370000 then -3 else id * 7919 % 1000003 end as k"
+    )
+    exact = {r.k: -(-r["count"] // 6_250) for r in rows.groupBy("k").count().filter("count > 6250").collect()}
+    assert exact.keys() == {-1, -2, -3} and listed(rows, "k", 10) == exact
+    plan = skew.heavy_hitters(rows, "k")._jdf.queryExecution().toString()
+    assert plan.count("Exchange hashpartitioning(task") >= 1 and "hashpartitioning(k" not in plan
+    assert len(skew.heavy_hitters(rows, "k").collect()) == 8
+
+
+def test_keys_of_several_columns(spark, no_broadcast):
+    left = spark.createDataFrame([("a", "1", 0), ("b", "1", 1), ("b", None, 2), ("c", "2", 3)], "pair string, `Order ID` string, c int")
+    right = spark.range(90).selectExpr("if(id < 60, 'a', 'c') as pair", "if(id < 80, '1', '2') as `Order ID`", "id as r")
+    hot = skew.hot_keys(right, ["pair", "Order ID"], 20)
+    assert sorted(map(tuple, hot.collect())) == [("a", "1", 3)]
+    joined = join_spread(left, right, hot, by=("pair",))
+    assert joined.columns == ["pair", "Order ID", "c", "r"]
+    found = Counter((r.pair, r["Order ID"], r.c, r.r is None) for r in joined.collect())
+    assert found == {("a", "1", 0, False): 60, ("b", "1", 1, True): 1, ("b", None, 2, True): 1, ("c", "2", 3, False): 10}
 
 
 KEYS = {
