@@ -141,7 +141,7 @@ def csv_scan_blank_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     pending = F.col(ORDER_KEY).isNull()
     for layout, part in (("a", rows.filter(~pending)), ("b", rows.filter(pending).select(*reversed(rows.columns)))):
         nameless = part.select(F.lit(0).cast("string").alias(" "), *part.columns)
-        nameless.coalesce(1).write.option("header", True).csv(f"{base}/layout={layout}")
+        nameless.write.option("header", True).csv(f"{base}/layout={layout}")
     return csv.scan_text(spark, f"{base}/*").select(*rows.columns)
 
 
@@ -596,35 +596,31 @@ def stream_landing_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_result(spark, "parquet", path=f"{base}/landed").select(*rows.columns)
 
 
-_PAIRS = 3
+# Orders per pair of files, and the pairs that there are at least.
+_PER_PAIR, _PAIRS = 5_000, 3
 
 
 @_register(
     f"""{relations_sql(keyless=True)}
-SELECT CAST(o."Customer ID" % {_PAIRS} AS VARCHAR) AS pair, o."Order ID", o."Customer ID", o."Order Date",
+, n AS (
+  SELECT greatest({_PAIRS}, count(*) // {_PER_PAIR}) AS pairs, min("Order ID") AS low, max("Order ID") AS high FROM o
+)
+SELECT CAST((o."Order ID" - low) * pairs // (high - low + 1) AS INTEGER) AS pair, o."Order ID", o."Customer ID", o."Order Date",
        r."Return Reason", r."Return Date"
-FROM o LEFT JOIN r ON o."Order ID" = r."Order ID" WHERE o."Order ID" IS NOT NULL"""
+FROM o LEFT JOIN r ON o."Order ID" = r."Order ID", n WHERE o."Order ID" IS NOT NULL"""
 )
 def arrivals_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of files that arrive at once: every pair has its result."""
+    """Pairs of files that arrive at once, one for each range of keys: every pair has its result."""
     base = scratch_dir(spark, "arrivals")
     left, right = orders(spark, sf_dir, keyless=True), returns(spark, sf_dir, keyless=True)
-    for i in range(_PAIRS):
-        part = left.filter(F.col("Customer ID") % _PAIRS == i)
-        for kind, rows in (("orders", part), ("returns", right)):
-            export_csv(rows.coalesce(1), f"{base}/parts", f"{kind}{i}")
-            _move_part(spark, f"{base}/parts/{kind}{i}", f"{base}/{kind}/2024010{i + 1}_000000_{kind}.csv")
+    found = left.agg(F.count(F.lit(1)), F.min(ORDER_KEY), F.max(ORDER_KEY)).first()
+    pairs, low, high = max(_PAIRS, found[0] // _PER_PAIR), found[1] or 0, found[2] or 0
+    place = F.coalesce(F.expr(f"(`{ORDER_KEY}` - {low}L) * {pairs}L div ({high}L - {low}L + 1)"), F.lit(0))
+    inside = F.greatest(F.lit(0), F.least(place, F.lit(pairs - 1))).cast("int")
+    for kind, rows in (("orders", left), ("returns", right)):
+        # The number of the task is that of the pair and goes into the name of its file.
+        export_csv(rows.repartitionById(pairs, inside), base, kind)
     types = {"order_types": _BIGINT_KEYS, "return_types": {ORDER_KEY: "bigint"}, "at": RUN_TIME}
     run_on_arrival(spark, f"{base}/orders", f"{base}/returns", f"{base}/out", f"{base}/progress", **types).awaitTermination()
-    found = spark.read.parquet(f"{base}/out")
-    day = F.substring("pair", 8, 1).cast("int") - 1
-    return found.withColumn("pair", day.cast("string")).drop(STAMP)
-
-
-def _move_part(spark: SparkSession, folder: str, file: str) -> None:
-    """The one part file of ``folder`` under a name of its own."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    part = list_files(spark, folder, "*.csv").first()["path"]
-    system = hadoop(file).getFileSystem(spark._jsc.hadoopConfiguration())
-    system.mkdirs(hadoop(file).getParent())
-    system.rename(hadoop(part), hadoop(file))
+    number = F.regexp_extract("pair", r"part-(\d+)", 1).cast("int")
+    return spark.read.parquet(f"{base}/out").withColumn("pair", number).drop(STAMP)

@@ -8,6 +8,8 @@ from datetime import date
 
 import pytest
 
+from rejoinder.operators.gates import InputError
+from rejoinder.plans.arrivals import Pair, file_name, run_pairs
 from rejoinder.streaming.landing import LANDING_KEY, land_files, land_rows
 from rejoinder.sources.results import read_result
 from rejoinder.streaming.trigger import run_on_arrival, runs
@@ -156,3 +158,84 @@ def test_every_pair_runs(spark, write_csv, tmp_path):
     arrive(5, "orders", "Order ID,c\n5,a\n")
     arrive(6, "orders", "Order ID,c\n6,a\n")
     assert run() == found + [("20240105", "5", "z")]
+
+
+def paired(write_csv, tmp_path, texts):
+    """Files of pairs, by number; returns the pairs as listed."""
+    found = []
+    for i, (orders, returns) in enumerate(texts):
+        paths = [write_csv(f"{kind}/{i:03d} a+b%41[{kind}].csv", text) for kind, text in (("orders", orders), ("returns", returns))]
+        found.append(Pair(file_name(paths[0]), *[f"file:{path}" for path in paths]))
+    return found
+
+
+def jobs_of(spark, work):
+    name = f"jobs-{time.time()}"
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+
+def test_jobs_do_not_grow_with_pairs(spark, write_csv, tmp_path):
+    def texts(n):
+        return [(f"Order ID,c\n{i},a\n{i}0,b\n,none\n", f"Order ID,r\n{i},x\n{i},y\n") for i in range(n)]
+
+    counts = []
+    for n in (35, 110):  # from 33 paths on, Spark lists them by jobs of its own
+        pairs, out = paired(write_csv, tmp_path / str(n), texts(n)), str(tmp_path / f"out{n}")
+        counts.append(jobs_of(spark, lambda: run_pairs(spark, pairs, out)))
+        found = rows(spark.read.parquet(out), "pair", "Order ID", "c", "r")
+        wanted = [(p.name, k, c, r) for i, p in enumerate(pairs) for k, c, r in ((f"{i}", "a", "x"), (f"{i}", "a", "y"), (f"{i}0", "b", None))]
+        assert found == sorted(wanted, key=lambda r: [(v is not None, str(v)) for v in r])
+    assert counts[0] == counts[1] <= 20
+
+
+def test_pairs_of_many_kinds(spark, write_csv, tmp_path):
+    texts = [
+        ("Order ID,c\n01,a\n", "Order ID,r\n1,x\n"),
+        ("c,Order ID\na,1\n", "Order ID,r,s\n1,x,y\n"),
+        ("order id,c\n1,a\n", "Order ID,r\n1,x\n"),
+        ("", "Order ID,r\n1,x\n"),
+        ("Order ID,c\n1,a\n", "Order ID,r\n\n \n"),
+        ("Order ID,c\n1,a\n", "Order ID,C\n1,x\n"),
+        ("Order ID,Pair\n1,a\n", "Order ID,r\n1,x\n"),
+        ("Order ID,c\n,a\n", "Order ID,r\n1,x\n"),
+        ("Order ID,c\n9,a\n", "Order ID,r\n1,x\n"),
+    ]
+    pairs, out = paired(write_csv, tmp_path, texts), str(tmp_path / "out")
+    for _ in range(2):  # the second run replaces the first
+        errors = run_pairs(spark, pairs, out)
+        bad = {i: errors[p.name] for i, p in enumerate(pairs) if errors[p.name]}
+        assert list(bad) == [2, 3, 4, 5, 6] and "'C'" in bad[5] and "Pair" in bad[6] and "missing columns" in bad[2]
+        assert [bad[i] for i in (3, 4)] == ["no rows in: orders", "no rows in: returns"]
+        found = spark.read.option("mergeSchema", True).parquet(out)
+        names = {p.name: i for i, p in enumerate(pairs)}
+        got = sorted((names[r.pair], r["Order ID"], r.c, r.r, r.s) for r in found.collect())
+        assert got == [(0, "01", "a", None, None), (1, "1", "a", "x", "y"), (8, "9", "a", None, None)]
+
+
+def test_pairs_with_types_and_frequent_keys(spark, write_csv, tmp_path, no_broadcast):
+    texts = [("Order ID,c\n01,a\n2,b\n", "Order ID,r\n" + "1,x\n" * 40 + "2,y\n"), ("Order ID,c\n1,a\nbad,b\n", "Order ID,r\n3,x\n")]
+    pairs, out = paired(write_csv, tmp_path, texts), str(tmp_path / "out")
+    options = {"order_types": {"Order ID": "int"}, "return_types": {"Order ID": "int"}, "rows_per_task": 5}
+    assert set(run_pairs(spark, pairs, out, **options).values()) == {None}
+    found = spark.read.parquet(out).groupBy("pair", "Order ID", "c", "r").count()
+    assert {tuple(r)[1:] for r in found.collect()} == {(1, "a", None, 1), (1, "a", "x", 40), (2, "b", "y", 1)}
+
+
+def test_output_among_the_inputs_is_refused(spark, write_csv, tmp_path):
+    pairs = paired(write_csv, tmp_path, [("Order ID,c\n1,a\n", "Order ID,r\n1,x\n")])
+    with pytest.raises(InputError, match="overwrite"):
+        run_pairs(spark, pairs, str(tmp_path))
+    assert run_pairs(spark, [], str(tmp_path / "out")) == {}
+
+
+def test_arrivals_with_options_of_single_pairs(spark, write_csv, tmp_path):
+    write_csv("orders/1.csv", 'Order ID,c\n1,"a\nb"\n')
+    write_csv("returns/1.csv", "Order ID,r\n1,x\n")
+    folders = [str(tmp_path / name) for name in ("orders", "returns", "out", "cp")]
+    run_on_arrival(spark, *folders, multi_line=True).awaitTermination()
+    assert rows(spark.read.parquet(folders[2]), "pair", "Order ID", "c", "r") == [("1.csv", "1", "a\nb", "x")]
