@@ -15,6 +15,7 @@ from rejoinder.functions.fixed import DATE_FORMAT
 from rejoinder.operators.enrich import enrich, run_time, trimmed_keys
 from rejoinder.operators.gates import InputError, require_columns, require_distinct_columns, require_rows
 from rejoinder.operators.skew import ROWS_PER_TASK
+from rejoinder.sinks.staging import can_stage
 from rejoinder.sinks.tables import write_jdbc, write_parquet
 from rejoinder.sources.csv import rejected_rows, scan_csv, scan_text
 from rejoinder.sources.paths import holds_files_of
@@ -58,7 +59,8 @@ def run_batch(
 
     ``jdbc`` holds the arguments of ``write_jdbc`` (``url``, ``table``, ...) and
     may be left out. The table is fed from the written dataset: the join runs once
-    and both sinks hold the same rows and the same time. The rows of the table are
+    and both sinks hold the same rows and the same time. Where the database is one that
+    ``write_jdbc`` can stage for, the table is replaced in one step; else its rows are
     counted, and it is written again where they are not all there once.
 
     Values that do not fit ``order_types`` or ``return_types`` become null in the
@@ -98,7 +100,7 @@ def run_batch(
     if jdbc:
         result.jdbc_table = str(jdbc["table"])
         try:
-            write_jdbc(spark.read.parquet(output_path), **{"attempts": 3, **jdbc})
+            write_jdbc(spark.read.parquet(output_path), **{"attempts": 3, "staged": can_stage(str(jdbc["url"])), **jdbc})
             log.info("replaced table %s", result.jdbc_table)
         except Exception as error:  # any driver may fail in its own way
             log.error("table %s was not replaced: %s", result.jdbc_table, error)

@@ -23,6 +23,7 @@ from rejoinder.plans.relations import joined_sql, orders, relations_sql, returns
 from rejoinder.plans.requests import accepted_batches, answer_requests
 from rejoinder.session import is_local, scratch_dir
 from rejoinder.sinks.export import export_csv
+from rejoinder.sinks.staging import can_stage
 from rejoinder.sinks.tables import write_jdbc, write_parquet
 from rejoinder.sources import csv, responses
 from rejoinder.sources.paths import with_input_paths
@@ -210,7 +211,7 @@ def jdbc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "parquet")
     write_parquet(joined(spark, sf_dir), path)
     stored = read_result(spark, "parquet", path=path)
-    write_jdbc(stored, table=name, num_partitions=8, attempts=3, **options)
+    write_jdbc(stored, table=name, num_partitions=8, staged=can_stage(options["url"]), attempts=3, **options)
     return read_result(spark, "jdbc", table=name, partition_column=ORDER_KEY, **options)
 
 
