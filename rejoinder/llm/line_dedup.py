@@ -1,16 +1,16 @@
 """Near-duplicate lines by an exact set-similarity join, in DataFrame operations alone.
 
 A line's tokens are its distinct words, in lower case, parted by spaces and tabs. A line
-with at least ``LEAST_TOKENS`` of them, or of ``LEAST_BYTES`` bytes with any, is removed if an earlier line (by document id, then
-line number) has a Jaccard similarity of ``PERCENT`` percent or more with it, whether
-that line stays or not.
+with any is removed if an earlier line (by document id, then line number) has a Jaccard
+similarity of ``PERCENT`` percent or more with it, whether that line stays or not.
 
 1. Rarity: words are counted over all texts in a table of ``COUNTERS`` hashed counters,
    whose size is fixed. Any order of tokens is right for what follows; rare ones first
    make it fast.
 2. Lines with equal token sets form a class, represented by its first line. Equal lines
    are combined before the shuffle, so a line that is a third of all rows is one row per
-   task.
+   task. With too few tokens for one of them to differ, lines are similar only if equal, and
+   take no part in what follows.
 3. Prefixes: two similar lines share one of their rarest tokens (prefix filter). In
    dense groups each line is first compared with one line per frequent prefix token, its
    leader; what matches is settled. Only lines that are still open are joined with all
@@ -22,7 +22,8 @@ that line stays or not.
 The bounds on similarity are exact; hashes of tokens are only used to find candidates,
 and, 56 bits of each, in the 128-bit name of a token set.
 
-Null and empty texts have no lines to remove. Rows without an id stay as they are. Lines
+Null and empty texts have no lines to remove, and blank lines stay. A very long line is one
+row, and a very long text as many rows as it has lines. Rows without an id stay as they are. Lines
 at the same place of repeated rows are not earlier than each other: both are judged
 alike. Columns other than id and text pass through ``drop_lines`` untouched.
 """
@@ -37,8 +38,6 @@ from pyspark.sql import functions as F
 from rejoinder.llm.frames import discard, saved
 
 PERCENT = 90
-LEAST_TOKENS = 5
-LEAST_BYTES = 32
 COUNTERS = 1 << 16
 BITS = 1 << 23
 LEADER_ROWS = 64
@@ -77,14 +76,16 @@ def _ranked(docs: DataFrame, percent: int) -> DataFrame:
         level = F.element_at(levels, x.bitwiseAND(COUNTERS - 1).cast("int") + 1).cast("long")
         return F.when(word == "", none).otherwise(F.shiftleft(level, 56).bitwiseOR(F.shiftrightunsigned(x, 8)))
 
-    lines = _lines(docs).filter(F.octet_length("line") >= 2 * LEAST_TOKENS - 1)
+    lines = _lines(docs).filter(F.octet_length("line") > 0)
     words = F.split(F.expr(_spaced("line")), " ")
     hashes = F.array_remove(F.sort_array(F.array_distinct(F.transform(words, rank))), -1)
     # Exploding a list of one keeps the filter below from hashing every line a second time.
-    tokens = lines.select("doc_id", "line_no", (F.octet_length("line") >= LEAST_BYTES).alias("long"), F.explode(F.array(hashes)).alias("h"))
-    prefix = F.slice("h", 1, F.expr(f"cast(size(h) - ({percent} * size(h) + 99) div 100 + 1 as int)"))
+    tokens = lines.select("doc_id", "line_no", F.explode(F.array(hashes)).alias("h"))
+    # Sets of n and n + 1 tokens are the most alike of those that differ, at n to n + 1.
+    may_differ = f"size(h) * {100 - percent} >= {percent}"
+    prefix = F.slice("h", 1, F.expr(f"if({may_differ}, cast(size(h) - ({percent} * size(h) + 99) div 100 + 1 as int), 0)"))
     picture = "aggregate(h, 0L, (a, x) -> a | shiftleft(1L, cast(shiftright(x, 40) & 63 as int)))"
-    return tokens.filter((F.size("h") >= LEAST_TOKENS) | (F.col("long") & (F.size("h") > 0))).select(
+    return tokens.filter(F.size("h") > 0).select(
         F.xxhash64("h").alias("h1"), F.xxhash64(F.lit(1), "h").alias("h2"), "doc_id", "line_no",
         F.size("h").alias("n"), prefix.alias("prefix"), F.expr(picture).alias("picture"),
     )

@@ -12,7 +12,7 @@ def brute(rows, percent):
         for k, t in sorted((k, t) for k, t in rows if k is not None and t is not None)
         for i, line in enumerate(t.split("\n"))
     ]
-    lines = [x for x in lines if len(x[2]) >= 5]
+    lines = [x for x in lines if x[2]]
     return sorted(
         {
             (k, i)
@@ -74,7 +74,17 @@ def test_lines_go_and_the_rest_stays(spark):
     rows = [(1, "a b c d e f g\nshort\n\nlast  one"), (2, "first here\nA B C\tD E F G\nshort\nend"), (3, "a b c d e f g")]
     docs = spark.createDataFrame([(k, t, len(t)) for k, t in rows], "doc_id long, text string, n_chars int")
     found = {r.doc_id: (r.text, r.n_chars) for r in drop_lines(docs, repeated_lines(docs)).collect()}
-    assert found == {1: (rows[0][1], len(rows[0][1])), 2: ("first here\nshort\nend", 20)}
+    assert found == {1: (rows[0][1], len(rows[0][1])), 2: ("first here\nend", 14)}
+
+
+def test_short_lines(spark):
+    rng = random.Random(9)
+    words = ["a", "B", "b", "cc", "d", "日本", "=", "", "\t", "e"]
+    rows = [(k, "\n".join(" ".join(rng.choices(words, k=rng.randint(0, 4))) for _ in range(rng.randint(0, 6)))) for k in range(60)]
+    rows += [(100 + k, " ".join(f"w{i}" for i in range(n))) for k, n in enumerate((8, 9, 9, 10, 8, 7, 10, 11, 19, 20, 18))]
+    check(spark, rows)
+    check(spark, rows, 50)
+    check(spark, rows, 100)
 
 
 def test_long_lines_of_few_words_go(spark):

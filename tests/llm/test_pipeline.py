@@ -46,7 +46,7 @@ def test_lines(stages):
     for k, text in before:
         lines = text.split("\n")
         left = "\n".join(line for i, line in enumerate(lines) if (k, i) not in gone)
-        if left.strip() or len(left.split("\n")) == len(lines):
+        if left.strip() or not any((k, i) in gone for i in range(len(lines))):
             wanted.append((k, left))
     assert after == wanted and len(gone) > 0
 
@@ -83,4 +83,4 @@ def test_run(spark, stages):
 def test_names(stages):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_dedup", "decontamination", "packing"]
     names = [n for n in contract.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
