@@ -115,20 +115,23 @@ def _evidence(sizes: tuple[int, int]) -> Column:
     return F.when(k1 / n1 > k0 / n0, 2 * (term(k1, n1, share) + term(k0, n0, share))).otherwise(0.0)
 
 
-def _found_stems(batches: Iterator[pa.RecordBatch], known: frozenset[str]) -> Iterator[pa.RecordBatch]:
-    """Of each sampled text its known stems, the lists it hits and the patterns it shows."""
+_SHOWN = [*_SEEDS, "address", "shouting", "marks"]
+
+
+def _found_stems(batches: Iterator[pa.RecordBatch], place: dict[str, int]) -> Iterator[pa.RecordBatch]:
+    """Of each sampled text the places of its known stems, and a bit for each list it hits and pattern it shows."""
+    schema = pa.schema([("toxic", pa.int32()), ("stems", pa.binary()), ("shows", pa.int32())])
     for label, text in _texts(batches):
         text = text or ""
         words = words_of(text)
         lowered = text.lower()
-        shows = [name for name, seeds in _SEEDS.items() if seeds & words.keys()]
-        shows += ["address"] * bool(_ADDRESS.search(lowered))
-        shows += ["shouting"] * (len(_SHOUT.findall(text)) * 2 > len(text.split()) > 0)
-        shows += ["marks"] * (len(_MARKS.findall(text)) >= 3)
-        yield pa.record_batch(
-            [[int(label)], [sorted(stems_of(words) & known)], [shows]],
-            schema=pa.schema([("toxic", pa.int32()), ("stems", pa.list_(pa.string())), ("shows", pa.list_(pa.string()))]),
-        )
+        shows = [bool(seeds & words.keys()) for seeds in _SEEDS.values()]
+        shows.append(bool(_ADDRESS.search(lowered)))
+        shows.append(len(_SHOUT.findall(text)) * 2 > len(text.split()) > 0)
+        shows.append(len(_MARKS.findall(text)) >= 3)
+        found = sorted(place[s] for s in stems_of(words) & place.keys())
+        bits = sum(1 << i for i, shown in enumerate(shows) if shown)
+        yield pa.record_batch([[int(label)], [np.array(found, np.int32).tobytes()], [bits]], schema=schema)
 
 
 def label_model(votes: np.ndarray, weights: np.ndarray, prior: float, rounds: int = 25) -> np.ndarray:
@@ -142,25 +145,37 @@ def label_model(votes: np.ndarray, weights: np.ndarray, prior: float, rounds: in
     each other.
     """
     rows, voters = votes.shape
-    shown = np.stack([votes == v for v in (1, -1, 0)], axis=2).astype(np.float64)
+    kinds = (1, -1, 0)
+
+    def totals(mass: np.ndarray) -> np.ndarray:
+        """The mass of each kind of vote of each voter; one kind is laid out at a time."""
+        return np.stack([mass @ (votes == v) for v in kinds], axis=1)
+
     rates = np.empty((2, voters, 3))
-    overall = np.maximum(np.average(shown, axis=0, weights=weights), 1e-6)
+    overall = np.maximum(totals(weights) / weights.sum(), 1e-6)
     for y, lean in ((1, (3.0, 1 / 3, 1.0)), (0, (1 / 3, 3.0, 1.0))):
         start = overall * np.array(lean)
         rates[y] = start / start.sum(axis=1, keepdims=True)
-    centred = (votes - np.average(votes, axis=0, weights=weights)) * np.sqrt(weights)[:, None]
-    size = np.maximum(np.sqrt((centred * centred).sum(axis=0)), 1e-9)
-    say = 1 / np.maximum((np.abs(centred.T @ centred / np.outer(size, size)) > REPEATS).sum(axis=1), 1)
+
+    def spread_of(mass: np.ndarray) -> np.ndarray:
+        """Covariance of the votes under a mass of rows."""
+        residual = (votes - mass @ votes) * np.sqrt(mass)[:, None]
+        return residual.T @ residual
+
+    covariance = spread_of(weights / weights.sum())
+    size = np.maximum(np.sqrt(np.diag(covariance)), 1e-9)
+    say = 1 / np.maximum((np.abs(covariance / np.outer(size, size)) > REPEATS).sum(axis=1), 1)
     posterior = np.full(rows, prior)
     for turn in range(rounds):
-        odds = math.log(prior / (1 - prior)) + np.einsum("rvk,vk->r", shown, say[:, None] * np.log(rates[1] / rates[0]))
+        odds = np.full(rows, math.log(prior / (1 - prior)))
+        for k, v in enumerate(kinds):
+            odds += (votes == v) @ (say * np.log(rates[1, :, k] / rates[0, :, k]))
         posterior = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
         covariance = np.zeros((voters, voters))
         for y, mass in ((1, posterior * weights), (0, (1 - posterior) * weights)):
             total = mass.sum() + 1e-9
-            rates[y] = (np.einsum("r,rvk->vk", mass, shown) + 0.5 * overall + 1e-3) / (total + 0.5 + 3e-3)
-            residual = (votes - mass @ votes / total) * np.sqrt(mass / total)[:, None]
-            covariance += residual.T @ residual
+            rates[y] = (totals(mass) + 0.5 * overall + 1e-3) / (total + 0.5 + 3e-3)
+            covariance += spread_of(mass / total)
         spread = np.sqrt(np.maximum(np.diag(covariance), 1e-9))
         if turn >= rounds // 2:
             linked = np.abs(covariance / np.outer(spread, spread))
@@ -234,30 +249,29 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
         )
         best = [r["stem"] for r in counted.orderBy(F.desc("evidence"), "stem").limit(MODEL_STEMS).collect()]
         vocabulary = frozenset(best) | {"=" + w for w in _ALL_SEEDS}
-        schema = "toxic int, stems array<string>, shows array<string>"
-        found = texts.mapInArrow(lambda it: _found_stems(it, vocabulary), schema).collect()
+        place = {stem: i for i, stem in enumerate(sorted(vocabulary))}
+        # Numbers, not words, and one row for each sampled text.
+        found = texts.mapInArrow(lambda it: _found_stems(it, place), "toxic int, stems binary, shows int").toArrow()
     finally:
         texts.unpersist()
-    place = {stem: i for i, stem in enumerate(sorted(vocabulary))}
-    rows = [np.array([place[s] for s in r["stems"]], np.int64) for r in found]
-    labels_of = np.array([r["toxic"] for r in found])
+    rows = [np.frombuffer(x.as_py(), np.int32) for x in found["stems"]]
+    labels_of, shown = (found[c].to_numpy() for c in ("toxic", "shows"))
     weights = np.where(labels_of == 1, sizes[True] / n[True], sizes[False] / n[False])
-    stems, shows = best[:VOTER_STEMS], [*_SEEDS, "address", "shouting", "marks"]
-    votes = np.zeros((len(found), len(stems) + len(shows) + 4), np.int8)
-    column = {s: i for i, s in enumerate(stems)}
-    strong = {s for s in vocabulary if s in column or s[1:] in _ALL_SEEDS}
-    for i, r in enumerate(found):
-        hits = [s for s in r["stems"] if s in strong]
-        for s in hits:
-            if s in column:
-                votes[i, column[s]] = 1
-        for j, name in enumerate(shows):
-            votes[i, len(stems) + j] = name in r["shows"]
-        votes[i, -4] = 1 if len(hits) >= 2 else 0
+    stems = best[:VOTER_STEMS]
+    votes = np.zeros((len(rows), len(stems) + len(_SHOWN) + 4), np.int8)
+    column = np.full(len(place), -1)
+    column[[place[s] for s in stems]] = np.arange(len(stems))
+    strong = (column >= 0) | np.array([s[1:] in _ALL_SEEDS for s in sorted(vocabulary)])
+    for i, own in enumerate(rows):
+        votes[i, column[own][column[own] >= 0]] = 1
+        hits = int(strong[own].sum())
+        votes[i, -4] = hits >= 2
         votes[i, -3] = 1 if hits else -1
-        votes[i, -2] = 0 if r["stems"] else -1
-        votes[i, -1] = 1 if r["toxic"] else -1
-    posterior = label_model(votes.astype(np.float64), weights, sizes[True] / (sizes[True] + sizes[False]))
+        votes[i, -2] = 0 if len(own) else -1
+    for j in range(len(_SHOWN)):
+        votes[:, len(stems) + j] = shown >> j & 1
+    votes[:, -1] = np.where(labels_of == 1, 1, -1)
+    posterior = label_model(votes, weights, sizes[True] / (sizes[True] + sizes[False]))
     w, b = fit_linear(rows, len(place), posterior, weights)
     return Model({s: float(w[i]) for s, i in place.items() if abs(w[i]) > 1e-6}, float(b))
 
