@@ -2,21 +2,59 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rejoinder.llm.frames import discard, saved
 
 
+#: Links of one task when circles are taken out of them.
+TASK_LINKS = 1 << 18
+
+
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of a task that connect what its earlier links did not."""
+    above: dict[bytes, bytes] = {}
+
+    def top(node: bytes) -> bytes:
+        while (up := above.get(node, node)) != node:
+            above[node] = node = above.get(up, up)
+        return node
+
+    for batch in batches:
+        kept = []
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+            a, b = top(a), top(b)
+            kept.append(a != b)
+            if a != b:
+                above[max(a, b)] = min(a, b)
+        yield batch.filter(pa.array(kept, pa.bool_()))
+
+
+def without_circles(links: DataFrame) -> DataFrame:
+    """Links ``a, b`` (a written table) that connect the same nodes, fewer than there are nodes in every task.
+
+    Tasks take a fixed number of links at any size, so a group of very many copies is left
+    with about one link per member.
+    """
+    tasks = max(1, -(-links.count() // TASK_LINKS))
+    return links.repartition(tasks).mapInArrow(_forest, links.schema)
+
+
 def connected_components(links: DataFrame) -> DataFrame:
     """``node, component`` for every node of the links ``a, b``; the component is its least node.
 
-    Large-star and small-star in turn: each node's larger neighbours, then its smaller
+    Links that close a circle are left out where one task sees it. Large-star and small-star in turn: each node's larger neighbours, then its smaller
     ones, are linked to the least node it knows, until no link changes. Minima are
     aggregated before the shuffle and joined back, so a node with very many links is
     split like any skewed side of a join.
     """
-    edges = saved(links.select("a", "b").filter("a <> b").distinct(), "links")
+    given = saved(links.select("a", "b").filter("a <> b"), "links")
+    edges = saved(without_circles(given), "forest-links")
+    discard(given)
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -7,6 +7,8 @@
    longest common prefix stand next to each other; each class is paired with its
    ``WIDTH`` next neighbours that share at least ``DEPTH`` values. Sparse regions are
    thereby compared whole at a low depth; in dense regions the neighbours agree in more.
+   The first ``FIRST_TREES`` trees go first: what their links connect needs no more links, so
+   the other trees pair only what lies in different components.
 3. Classes in regions with more members than neighbours take part in a second, larger
    forest with deeper prefixes, in which each is paired with those of its next ``REACH``
    neighbours in other components whose signatures are most alike: what is already connected needs no further link, so a group of
@@ -45,6 +47,7 @@ SHINGLE = 5
 PERCENT = 75
 VALUES = 128
 TREES, DEPTH = 16, 2
+FIRST_TREES = 4
 MORE_TREES, MORE_DEPTH, MORE_WIDTH = 48, 3, 2
 KEY_VALUES = 6
 WIDTH = 4
@@ -234,6 +237,17 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
             yield pa.record_batch([pa.array(c, pa.binary()) for c in zip(*rows)], names=["node", "own"])
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+
+
+def _sets_of(texts: DataFrame, classes: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """The shingle sets of some classes, from the text of a member."""
+    wanted = classes.join(nodes.distinct(), "node").select(F.col("first").alias("doc_id"))
+    own = texts.join(wanted, "doc_id", "left_semi").select("text")
+    return saved(own.mapInArrow(lambda it: _sets(it, size), "node binary, own binary").dropDuplicates(["node"]), "sets")
+
+
 def _in_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Runs of rows with all hashes of their sets ``own`` and the row of each."""
     for batch in batches:
@@ -404,17 +418,25 @@ def near_duplicates(
         firsts.mapInArrow(_low_bytes, "node binary, first long, n long, signature binary, sketch binary"), "classes"
     )
     alone = classes.withColumns({"component": F.col("node"), "sketch": F.lit(None).cast("binary")})
-    pairs, dense, forest = _candidates(alone, 0, TREES, DEPTH, WIDTH, "forest")
-    near = saved(_thinned(pairs, classes, percent), "near-pairs")
-    dense = saved(dense, "dense")
+    pairs, dense, forest = _candidates(alone, 0, FIRST_TREES, DEPTH, WIDTH, "forest")
+    near, dense = saved(_thinned(pairs, classes, percent), "near-pairs"), saved(dense, "dense")
     discard(forest)
-    needed = near.select(F.col("a").alias("node")).union(near.select("b")).union(dense).distinct()
-    wanted = classes.join(needed, "node").select(F.col("first").alias("doc_id"), F.col("node").alias("own_node"))
-    own = texts.join(wanted, "doc_id", "left_semi").select("text")
-    sets = saved(own.mapInArrow(lambda it: _sets(it, size), "node binary, own binary").dropDuplicates(["node"]), "sets")
-    links = saved(_confirmed(near, sets, percent), "near-links")
+    some = _sets_of(texts, classes, _ends(near).union(dense), size)
+    links = saved(_confirmed(near, some, percent), "near-links")
     components = saved(connected_components(links), "components")
     discard(near, links)
+    known = classes.withColumn("sketch", F.lit(None).cast("binary")).join(components, "node", "left")
+    known = known.withColumn("component", F.coalesce("component", "node"))
+    pairs, also, forest = _candidates(known, FIRST_TREES, TREES - FIRST_TREES, DEPTH, WIDTH, "forest")
+    near, also = saved(_thinned(pairs, classes, percent), "near-pairs"), saved(also.union(dense).distinct(), "dense")
+    discard(forest, dense)
+    dense = also
+    new = _ends(near).union(dense).distinct().join(some.select("node"), "node", "left_anti")
+    others = _sets_of(texts, classes, new, size)
+    sets = some.unionByName(others)
+    more = saved(_confirmed(near, sets, percent), "near-links")
+    components = _joined(components, more)
+    discard(near, more)
     crowded = classes.join(dense, "node").join(components, "node", "left")
     crowded = crowded.withColumn("component", F.coalesce("component", "node"))
     more, _, forest = _candidates(crowded, TREES, MORE_TREES, MORE_DEPTH, MORE_WIDTH, "second-forest")
@@ -429,7 +451,7 @@ def near_duplicates(
         if not more.isEmpty():
             components = _joined(components, more)
         discard(pairs, near, more)
-    discard(sets, dense)
+    discard(some, others, dense)
     named = classes.select("node", "first").join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
     named = saved(named.join(least, "component").select("node", "component_id"), "named")
