@@ -12,8 +12,10 @@ best k of all groups are taken in the end.
 
 Components are multiplied by ``scale`` and rounded down; scores are integers and must fit
 in 64 bits. Vectors that are null or hold null or non-finite components take no part, nor
-do rows without an id. Shorter vectors count as ending in zeros. An id that comes several
-times stands for one vector, the least. Other columns are left out.
+do rows without an id. Shorter vectors count as ending in zeros. Every row is a candidate
+and every row that asks does so, also where rows repeat an id; none is a candidate for a
+row of its own id. The results of rows that ask under one id are ranked together, and ties between
+rows of one id are equal rows of the result. Other columns are left out.
 """
 
 from __future__ import annotations
@@ -42,7 +44,7 @@ def _usable(vector: Column) -> Column:
 
 def _pack(batches: Iterator[pa.RecordBatch], size: int, scale: int, rows: int | None) -> Iterator[pa.RecordBatch]:
     """Sorted ids and integer vectors of a partition as one row, or one per ``rows`` rows."""
-    part, ids, vectors, last = TaskContext.get().partitionId(), [], [], None
+    part, ids, vectors = TaskContext.get().partitionId(), [], []
 
     def row() -> pa.RecordBatch:
         values = np.zeros((len(ids), size))
@@ -56,9 +58,6 @@ def _pack(batches: Iterator[pa.RecordBatch], size: int, scale: int, rows: int |
 
     for batch in batches:
         for key, vector in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if key == last:
-                continue
-            last = key
             ids.append(key)
             vectors.append(vector)
             if rows and len(ids) == rows:

@@ -9,17 +9,13 @@ from rejoinder.llm.topk import best_of_group, search
 
 
 def brute(rows, k):
-    usable = {}
-    for key, v in rows:
-        if key is None or v is None or any(x is None or not math.isfinite(x) for x in v):
-            continue
-        usable[key] = min(usable.get(key, v), v)
-    packed = {key: [math.floor(256 * x) for x in v] for key, v in usable.items()}
+    usable = [(key, v) for key, v in rows if key is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    packed = [(key, [math.floor(256 * x) for x in v]) for key, v in usable]
     result = []
-    for q in packed:
-        if q % 50 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(packed[q], v)), key) for key, v in packed.items() if key != q)
-            result += [(q, r, key, -s) for r, (s, key) in enumerate(scored[:k], 1)]
+    for q in sorted({key for key, _ in packed if key % 50 == 0}):
+        asked = [v for key, v in packed if key == q]
+        scored = sorted((-sum(a * b for a, b in zip(own, v)), key) for own in asked for key, v in packed if key != q)
+        result += [(q, r, key, -s) for r, (s, key) in enumerate(scored[:k], 1)]
     return sorted(result)
 
 
@@ -28,6 +24,7 @@ def test_like_brute_force(spark, seed):
     rng = random.Random(seed)
     rows = [(i, [rng.choice((-0.5, 0.0, 0.25, rng.uniform(-2, 2))) for _ in range(6)]) for i in range(700)]
     rows += [(1000, None), (1050, [1.0, None]), (1100, [float("nan")] * 6), (None, [1.0] * 6), (1150, []), (1200, [0.5]), (50, [9.0] * 6)]
+    rows += [(7, [9.0] * 6), (7, [9.0] * 6), (8, [9.0] * 6), (9, [8.0] * 6), (9, [8.5] * 6), (100, [-9.0] * 6), (100, [-9.0] * 6)]
     found = search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0)
     assert sorted(map(tuple, found.select("query_id", "rank", "vec_id", "score").collect())) == brute(rows, 5)
 
