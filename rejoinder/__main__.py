@@ -31,6 +31,7 @@ def parse_arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--mode", choices=MODES, default="declared")
     parser.add_argument("--multi_line", action="store_true")
     parser.add_argument("--trim_keys", action="store_true")
+    parser.add_argument("--snapshots", action="store_true", help="replace the dataset in one step")
     parser.add_argument("--rejects", help="folder for rows with values that do not fit")
     for name in ("order", "return"):
         parser.add_argument(
@@ -74,6 +75,7 @@ def main(argv: list[str] | None = None) -> int:
             multi_line=given.multi_line,
             trim_keys=given.trim_keys,
             rejects_path=given.rejects,
+            snapshots=given.snapshots,
         )
     except Exception as error:
         logging.getLogger(__name__).error("%s", error)

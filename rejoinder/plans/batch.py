@@ -15,6 +15,7 @@ from rejoinder.functions.fixed import DATE_FORMAT
 from rejoinder.operators.enrich import enrich, run_time, trimmed_keys
 from rejoinder.operators.gates import InputError, require_columns, require_distinct_columns, require_rows
 from rejoinder.operators.skew import ROWS_PER_TASK
+from rejoinder.sinks.snapshots import write_snapshot
 from rejoinder.sinks.staging import can_stage
 from rejoinder.sinks.tables import write_jdbc, write_parquet
 from rejoinder.sources.csv import rejected_rows, scan_csv, scan_text
@@ -54,6 +55,7 @@ def run_batch(
     rejects_path: str | None = None,
     at: datetime | None = None,
     rows_per_task: int = ROWS_PER_TASK,
+    snapshots: bool = False,
 ) -> BatchResult:
     """Scan, check, join, stamp, replace the dataset, replace the table.
 
@@ -66,7 +68,8 @@ def run_batch(
     Values that do not fit ``order_types`` or ``return_types`` become null in the
     result; with ``rejects_path`` the rows concerned are also kept there as text, in
     ``orders`` and ``returns``. ``trim_keys`` takes the blanks off keys, so that a
-    blank key is none.
+    blank key is none. With ``snapshots`` the dataset is replaced in one step and
+    ``read_parquet_result`` finds it, see ``write_snapshot``; else its files are replaced in place.
     """
     outputs = [output_path] + ([rejects_path] if rejects_path else [])
     for output in outputs:
@@ -89,7 +92,11 @@ def run_batch(
     result = BatchResult(output_path, at or run_time())
     joined = enrich(orders, returns, result.updated_on, rows_per_task)
     result.columns = joined.columns
-    write_parquet(joined, output_path)
+    stored = output_path
+    if snapshots:
+        stored = write_snapshot(joined, output_path)
+    else:
+        write_parquet(joined, output_path)
     log.info("replaced dataset %s", output_path)
     if rejects_path:
         given = (("orders", orders_path, order_types), ("returns", returns_path, return_types))
@@ -100,7 +107,7 @@ def run_batch(
     if jdbc:
         result.jdbc_table = str(jdbc["table"])
         try:
-            write_jdbc(spark.read.parquet(output_path), **{"attempts": 3, "staged": can_stage(str(jdbc["url"])), **jdbc})
+            write_jdbc(spark.read.parquet(stored), **{"attempts": 3, "staged": can_stage(str(jdbc["url"])), **jdbc})
             log.info("replaced table %s", result.jdbc_table)
         except Exception as error:  # any driver may fail in its own way
             log.error("table %s was not replaced: %s", result.jdbc_table, error)

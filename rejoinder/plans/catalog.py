@@ -23,6 +23,7 @@ from rejoinder.plans.relations import joined_sql, orders, relations_sql, returns
 from rejoinder.plans.requests import accepted_batches, answer_requests
 from rejoinder.session import is_local, scratch_dir
 from rejoinder.sinks.export import export_csv
+from rejoinder.sinks.snapshots import write_snapshot
 from rejoinder.sinks.staging import can_stage
 from rejoinder.sinks.tables import write_jdbc, write_parquet
 from rejoinder.sources import csv, responses
@@ -203,6 +204,16 @@ def parquet_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_result(spark, "parquet", path=path)
 
 
+@_register(joined_sql(keyless=True))
+def parquet_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dataset replaced by another, and by one whose job dies: the second is read."""
+    path = scratch_dir(spark, "snapshots")
+    write_snapshot(joined(spark, sf_dir), path)
+    write_snapshot(joined(spark, sf_dir, keyless=True), path)
+    orders(spark, sf_dir).limit(1).write.parquet(f"{path}/run-{uuid.uuid4().hex}")  # never published
+    return read_result(spark, "parquet", path=path)
+
+
 @_register(joined_sql())
 def jdbc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written Parquet to a table and back over several connections."""
