@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rejoinder.llm import toxicity
 from rejoinder.llm.decontamination import drop_contaminated
-from rejoinder.llm.frames import discard, saved
+from rejoinder.llm.frames import bound_batches, discard, saved
 from rejoinder.llm.line_dedup import drop_lines, repeated_lines
 from rejoinder.llm.near_dedup import drop_near_duplicates
 from rejoinder.llm.packing import pack_documents
@@ -25,10 +25,11 @@ _left: dict[str, list[str]] = {}
 
 
 def _stage(work: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
-    """Deletes what the stage before has written for itself: its output is written by now."""
+    """Bounds what a task holds of texts, and deletes what the stage before has written for itself: its output is written by now."""
 
     @functools.wraps(work)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bound_batches(spark)
         forget_scratch(spark, _left.pop(sf_dir, []))
         before = set(scratch_made())
         result = work(spark, docs, sf_dir)

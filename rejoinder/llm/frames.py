@@ -7,10 +7,24 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from rejoinder.session import forget_scratch, scratch_dir
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+_SPARKS_OWN = 64 << 20
+
+
+def bound_batches(spark: SparkSession, limit: int = 4 << 20) -> None:
+    """Hands texts to Python in batches of about ``limit`` bytes, unless the session has a limit of its own.
+
+    A batch is held several times over, on both sides of the pipe and by every task at
+    once; whole texts of any length still come in one row.
+    """
+    given = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(BATCH_BYTES))
+    if given == _SPARKS_OWN:
+        spark.conf.set(BATCH_BYTES, f"{limit}b")
+
 
 def saved(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read back.

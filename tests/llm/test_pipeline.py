@@ -4,6 +4,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
 import corpus_pipeline
+from rejoinder.llm.frames import BATCH_BYTES, bound_batches
 from tests.llm.test_decontamination import lcs
 from tests.llm.test_line_dedup import brute as repeated
 from tests.llm.test_near_dedup import brute as components
@@ -84,3 +85,14 @@ def test_names(stages):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_dedup", "decontamination", "packing"]
     names = [n for n in contract.queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
+
+
+def test_batches_are_bounded_unless_the_session_says_otherwise(spark):
+    before = spark.conf.get(BATCH_BYTES)
+    try:
+        for given, wanted in (("67108864b", "1048576b"), ("8m", "8m"), ("1048576b", "1048576b")):
+            spark.conf.set(BATCH_BYTES, given)
+            bound_batches(spark, 1 << 20)
+            assert spark.conf.get(BATCH_BYTES) == wanted
+    finally:
+        spark.conf.set(BATCH_BYTES, before)
