@@ -36,7 +36,6 @@ rows. Other columns are left out.
 
 from __future__ import annotations
 
-import heapq
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -56,6 +55,8 @@ CELLS = 4096
 BLOCK = 4096
 CHUNK = 256
 LEAF = 64
+#: Leaves of a block that are verified before the bound is looked at again; twice as many each time.
+FIRST_LEAVES = 4
 SEED = 20250307
 
 _CANDIDATES = "key binary, score double, id long, copies long"
@@ -171,7 +172,9 @@ class Block:
 
     def __init__(self, vectors: np.ndarray, ids: list[list[int]], copies: list[list[int]], projection: Projection):
         self.vectors, self.ids, self.copies, self.projection = vectors, ids, copies, projection
+        self.smallest = np.array([x[0] for x in ids], np.int64)
         self.points = projection.points(vectors)
+        self.lengths = (self.points * self.points).sum(axis=1)
         self.leaves = leaves_of(self.points)
         self.low = np.array([self.points[rows].min(axis=0) for rows in self.leaves])
         self.high = np.array([self.points[rows].max(axis=0) for rows in self.leaves])
@@ -181,32 +184,33 @@ class Block:
         projected, stretch = self.projection.queries(queries), self.projection.stretch(queries)
         boxes = box_distances(projected, self.low, self.high)
         orders = np.argsort(boxes, axis=1)
+        apart = (projected * projected).sum(axis=1)[:, None] + self.lengths - 2 * (projected @ self.points.T)
         found, verified = [], 0
         for q, query in enumerate(queries):
-            best: list[tuple[float, int, int]] = []  # a heap, the worst first
-            bound, distances, at, width = float(bounds[q]), boxes[q], 0, 1
+            score, row = np.zeros(0), np.zeros(0, np.int64)
+            slack = 1e-12 * self.projection.radius * float(np.sqrt(query @ query))
+            bound, distances, at, width = float(bounds[q]), boxes[q], 0, FIRST_LEAVES
             while at < len(orders[q]) and distances[orders[q][at]] <= bound * quantile:
                 radius = bound * quantile
                 near = orders[q][at : at + width]
                 at, width = at + width, 2 * width
                 rows = np.concatenate([self.leaves[leaf] for leaf in near if distances[leaf] <= radius])
                 if radius < math.inf:
-                    apart = self.points[rows] - projected[q]
-                    rows = rows[(apart * apart).sum(axis=1) <= radius]
+                    rows = rows[apart[q, rows] <= radius * (1 + 1e-9)]
                 verified += len(rows)
-                scores = (self.vectors[rows] * query).sum(axis=1)  # the same sum for equal vectors wherever they lie
-                if len(best) == k:
-                    worth = scores >= best[0][0]
+                scores = self.vectors[rows] @ query
+                if len(score) == k:  # what rounding could still bring among the best is kept
+                    worth = scores >= score[-1] - slack
                     rows, scores = rows[worth], scores[worth]
-                for score, row in zip(scores.tolist(), rows.tolist()):
-                    entry = (score, -self.ids[row][0], row)
-                    if len(best) < k:
-                        heapq.heappush(best, entry)
-                    elif entry > best[0]:
-                        heapq.heapreplace(best, entry)
-                if len(best) == k:
-                    bound = min(bound, float(self.projection.squared_distance(best[0][0], stretch[q])))
-            found.append([(score, row) for score, _, row in sorted(best, reverse=True)])
+                elif len(rows) > 4 * k:
+                    rows = rows[scores >= np.partition(scores, -k)[-k] - slack]
+                # The same sum for equal vectors, wherever they lie; ties go to the smaller id.
+                score, row = np.concatenate([score, (self.vectors[rows] * query).sum(axis=1)]), np.concatenate([row, rows])
+                best = np.lexsort((self.smallest[row], -score))[:k]
+                score, row = score[best], row[best]
+                if len(score) == k:
+                    bound = min(bound, float(self.projection.squared_distance(score[-1], stretch[q])))
+            found.append(list(zip(score.tolist(), row.tolist())))
         return found, verified
 
 
