@@ -1,4 +1,6 @@
-"""Removal of byte strings that occur elsewhere, by bucket-pointer refinement.
+"""Removal of byte strings that occur elsewhere, by winnowing and a two-part hash of each window.
+
+Two fixed rounds stand in for bucket-pointer refinement with recursive reuse.
 
 A byte goes if a string of ``LENGTH`` bytes around it also starts anywhere else, in the
 same document or another. Positions are sorted into buckets of equal strings, first of
