@@ -161,6 +161,13 @@ def csv_scan_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scanned.select(ORDER_KEY, "Customer ID", "Order Date")
 
 
+@_register("SELECT CAST(doc_id AS VARCHAR) AS doc_id, NULLIF(source, '') AS source, NULLIF(text, '') AS text FROM documents")
+def csv_scan_multi_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with line breaks inside quotes, from files that are split."""
+    texts = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return csv.scan_csv(spark, export_csv(texts, scratch_dir(spark, "csv"), "texts"), multi_line=True)
+
+
 @_register(
     f"""{relations_sql(keyless=True)}
 SELECT CAST("Order ID" AS VARCHAR) AS "Order ID", "Return Reason", "Return Date",
