@@ -164,10 +164,13 @@ def _verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     ends = [pairs.select(F.col(f"{s}doc_id").alias("doc_id"), F.col(f"{s}line_no").alias("line_no")) for s in "xy"]
     needed = saved(ends[0].union(ends[1]).distinct(), "lines-needed")
     lines = _needed_lines(docs, needed).join(needed.hint("merge"), ["doc_id", "line_no"])
-    lines = lines.dropDuplicates(["doc_id", "line_no"]).select("doc_id", "line_no", _words("line").alias("words"))
-    lines = saved(lines, "line-words")
+    # Lines travel as text: a list of words takes several times the bytes in a shuffle.
+    lines = saved(lines.dropDuplicates(["doc_id", "line_no"]).select("doc_id", "line_no", "line"), "line-texts")
     x, y = (lines.select(*(F.col(c).alias(s + c) for c in lines.columns)) for s in "xy")
     both = pairs.join(x, ["xdoc_id", "xline_no"]).join(y, ["ydoc_id", "yline_no"])
+    # Exploding a list of one keeps the lines from being parted again for every use.
+    words = F.struct(_words("xline").alias("xwords"), _words("yline").alias("ywords"))
+    both = both.select("ydoc_id", "yline_no", F.explode(F.array(words)).alias("w")).select("ydoc_id", "yline_no", "w.*")
     both = both.withColumn("shared", F.size(F.array_intersect("xwords", "ywords")))
     similar = both.filter(f"100 * shared >= {percent} * (size(xwords) + size(ywords) - shared)")
     return similar.select(F.col("ydoc_id").alias("doc_id"), F.col("yline_no").alias("line_no")).distinct()
