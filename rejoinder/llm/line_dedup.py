@@ -67,24 +67,24 @@ def _rarity(docs: DataFrame) -> str:
 
 def _ranked(docs: DataFrame, percent: int) -> DataFrame:
     """Lines with the name of their token set, its size, prefix of rarest tokens and picture."""
-    levels = F.split(F.lit(_rarity(docs)), ",").cast("array<int>")  # folded to one constant
-    none = F.lit(-1).cast("long")
+    levels = F.split(F.lit(_rarity(docs)), ",").cast("array<bigint>")  # folded to one constant
 
     def rank(word: Column) -> Column:
-        # Rarest first: the level above 56 bits of the hash; nothing for no word.
+        # Rarest first: the level above 56 bits of the hash. Few steps, for each is interpreted word by word.
         x = F.xxhash64(word)
-        level = F.element_at(levels, x.bitwiseAND(COUNTERS - 1).cast("int") + 1).cast("long")
-        return F.when(word == "", none).otherwise(F.shiftleft(level, 56).bitwiseOR(F.shiftrightunsigned(x, 8)))
+        level = F.get(levels, x.bitwiseAND(COUNTERS - 1).cast("int"))
+        return F.shiftleft(level, 56).bitwiseOR(F.shiftrightunsigned(x, 8))
 
     lines = _lines(docs).filter(F.octet_length("line") > 0)
     words = F.split(F.expr(_spaced("line")), " ")
-    hashes = F.array_remove(F.sort_array(F.array_distinct(F.transform(words, rank))), -1)
+    hashes = F.array_remove(F.sort_array(F.array_distinct(F.transform(words, rank))), rank(F.lit("")))
     # Exploding a list of one keeps the filter below from hashing every line a second time.
     tokens = lines.select("doc_id", "line_no", F.explode(F.array(hashes)).alias("h"))
     # Sets of n and n + 1 tokens are the most alike of those that differ, at n to n + 1.
     may_differ = f"size(h) * {100 - percent} >= {percent}"
     prefix = F.slice("h", 1, F.expr(f"if({may_differ}, cast(size(h) - ({percent} * size(h) + 99) div 100 + 1 as int), 0)"))
-    picture = "aggregate(h, 0L, (a, x) -> a | shiftleft(1L, cast(shiftright(x, 40) & 63 as int)))"
+    # A shift by a whole number goes by its last six bits.
+    picture = "aggregate(h, 0L, (a, x) -> a | shiftleft(1L, cast(shiftright(x, 40) as int)))"
     return tokens.filter(F.size("h") > 0).select(
         F.xxhash64("h").alias("h1"), F.xxhash64(F.lit(1), "h").alias("h2"), "doc_id", "line_no",
         F.size("h").alias("n"), prefix.alias("prefix"), F.expr(picture).alias("picture"),
