@@ -225,12 +225,30 @@ def parquet_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 def jdbc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written Parquet to a table and back over several connections."""
     options = _jdbc_options(spark)
+    name = _stored_table(spark, joined(spark, sf_dir), options)
+    return read_result(spark, "jdbc", table=name, partition_column=ORDER_KEY, **options)
+
+
+@_register(
+    f"""SELECT * REPLACE (CAST(strptime("Return Date", '%d-%m-%Y') AS DATE) AS "Return Date")
+FROM ({joined_sql()})"""
+)
+def jdbc_even_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table read in even ranges of the date of return, which a great part of the rows has not."""
+    options = _jdbc_options(spark)
+    rows = csv.cast_columns(joined(spark, sf_dir), {"Return Date": "date"})
+    name = _stored_table(spark, rows, options)
+    return read_result(spark, "jdbc", table=name, partition_column="Return Date", even=True, then_by=[ORDER_KEY], **options)
+
+
+def _stored_table(spark: SparkSession, rows: DataFrame, options: dict[str, str]) -> str:
+    """The name of a new table with the rows."""
     name = f"result_{uuid.uuid4().hex}"
     path = scratch_dir(spark, "parquet")
-    write_parquet(joined(spark, sf_dir), path)
+    write_parquet(rows, path)
     stored = read_result(spark, "parquet", path=path)
     write_jdbc(stored, table=name, num_partitions=8, staged=can_stage(options["url"]), attempts=3, **options)
-    return read_result(spark, "jdbc", table=name, partition_column=ORDER_KEY, **options)
+    return name
 
 
 def _jdbc_options(spark: SparkSession) -> dict[str, str]:
