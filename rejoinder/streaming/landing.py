@@ -10,7 +10,6 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,9 +27,7 @@ from rejoinder.sources.csv import (
     scan_text,
 )
 from rejoinder.sources.paths import literal_path
-
-LANDING_KEY = "landing_key"
-LEDGER = "_landed"
+from rejoinder.streaming.ledger import LANDING_KEY, add_landed, landed_files
 
 # By default a stream passes over files a week older than the newest it has seen,
 # such as copies that kept their times. Here none is passed over; the price is that
@@ -68,17 +65,6 @@ def stream_id(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
 
 
-def landed_files(spark: SparkSession, target: str) -> DataFrame:
-    """``landing_key, folder`` of every file that lies below ``target``."""
-    schema = f"{LANDING_KEY} string, folder string"
-    try:
-        return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(f"{target.rstrip('/')}/{LEDGER}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def land_rows(
     spark: SparkSession,
     arrivals: str,
@@ -145,7 +131,7 @@ def _land(
     """The stream carries names. Each micro-batch replaces its own folder below ``target``,
     named after the stream and the batch, so a batch that is run again leaves no copies.
 
-    Beside the rows lies a list of the files landed, which readers of ``target`` pass over.
+    Beside the rows lies a list of the files landed (``ledger``), which readers of ``target`` pass over.
     A stream that starts anew after its checkpoint was lost meets all files again; those on
     the list in another folder are refused.
     """
@@ -155,7 +141,10 @@ def _land(
         name = F.element_at(F.split("path", "/"), -1)
         folder = f"batch_id={stream_id(session, checkpoint)}-{batch_id}"
         files = batch.select("path", landing_key(F.col("modificationTime"), name).alias(LANDING_KEY))
-        known = landed_files(session, target).filter(F.col("folder") != folder)
+        ends = files.agg(F.min(LANDING_KEY), F.max(LANDING_KEY)).first()
+        if ends[0] is None:
+            return
+        known = landed_files(session, target, tuple(ends)).filter(F.col("folder") != folder)
         new = accepted_keys(files, known, LANDING_KEY).collect()  # at most max_files
         if not new:
             return
@@ -168,8 +157,7 @@ def _land(
             except Exception as error:
                 if last or not is_header_mismatch(error):
                     raise
-        listed = session.createDataFrame([(row[LANDING_KEY], folder) for row in new], f"{LANDING_KEY} string, folder string")
-        listed.coalesce(1).write.mode("overwrite").parquet(f"{target.rstrip('/')}/{LEDGER}/{folder}")
+        add_landed(session, target, folder, [row[LANDING_KEY] for row in new])
 
     return (
         file_names(spark, arrivals, pattern, max_files)
