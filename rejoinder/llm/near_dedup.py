@@ -6,7 +6,8 @@
    trees are sorted together, range by range. In sorted order the classes with the
    longest common prefix stand next to each other; each class is paired with its
    ``WIDTH`` next neighbours that share at least ``DEPTH`` values. Sparse regions are
-   thereby compared whole at a low depth; in dense regions the neighbours agree in more.
+   thereby compared whole at a low depth; in dense regions, whose members step 4 joins
+   exactly, each is paired with the next one only.
 3. Classes in regions with more members than neighbours take part in a second, larger
    forest with deeper prefixes, in which each is paired with those of its next ``REACH``
    neighbours in other components whose signatures are most alike: what is already connected needs no further link, so a group of
@@ -134,6 +135,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch], depth: int, edges: bool, widt
             sketches = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(len(rows), VALUES)
         found = []
         taken = np.zeros(len(rows), np.int64)
+        crowded = np.zeros(len(rows), bool)
         alike = np.zeros((REACH, len(rows)), np.int16)  # equal values of the sketches, by step
         for step in range(1, min(REACH, len(rows) - 1) + 1):
             same = (prefix[step:] == prefix[:-step]).all(axis=1)
@@ -143,6 +145,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch], depth: int, edges: bool, widt
                 begins = np.flatnonzero(same[:settled])
                 members = np.unique(begins[:, None] + np.arange(width + 2))
                 found.extend((rows[i][1], *[None] * 4, True) for i in members.tolist())
+                crowded[members] = True
             other = same & (codes[step:] != codes[:-step])
             if sketches is None:
                 alike[step - 1, :-step] = np.where(other & (taken[:-step] < width), VALUES, 0)
@@ -151,6 +154,8 @@ def _neighbours(batches: Iterator[pa.RecordBatch], depth: int, edges: bool, widt
                 at = np.flatnonzero(other)
                 alike[step - 1, at] = (sketches[at] == sketches[at + step]).sum(axis=1)
         best = np.argsort(-alike, axis=0, kind="stable")[:width]
+        if sketches is None and edges:  # members of a dense region meet in the exact join
+            alike[:, crowded] *= np.arange(REACH)[:, None] == best[0, crowded]
         for step in best:
             near = np.flatnonzero(np.take_along_axis(alike, step[None], axis=0)[0] >= ALIKE)
             for i, j in zip(near.tolist(), (near + step[near] + 1).tolist()):

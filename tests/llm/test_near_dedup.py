@@ -1,9 +1,13 @@
 import random
 import re
 
+import pyarrow as pa
+import pytest
+
+from rejoinder.llm import components
 from rejoinder.llm.components import connected_components
 from rejoinder.llm.hashing import shingle_sets
-from rejoinder.llm.near_dedup import drop_near_duplicates, near_duplicates
+from rejoinder.llm.near_dedup import _PLANTED, DEPTH, KEY_VALUES, _neighbours, drop_near_duplicates, near_duplicates
 from tests.llm.conftest import TEXTS
 
 
@@ -115,3 +119,24 @@ def test_shingles_of_bytes():
     with np.errstate(over="ignore"):
         sets = shingle_sets(np.frombuffer(data, np.uint8), offsets)
     assert [len(s) for s in sets] == [len(shingles(t)) for t in texts] and (sets[0] == sets[1]).all()
+
+
+@pytest.mark.parametrize("members, pairs, dense", [(5, 10, 0), (6, 5, 6), (300, 299, 300)])
+def test_dense_regions_give_one_pair_per_member(members, pairs, dense):
+    """The others of its pairs are the exact join's, which all members reach."""
+    nodes = [b"%016d" % i for i in range(members)]
+    rows = [[bytes(1 + 4 * KEY_VALUES)] * members, nodes, nodes, [None] * members]
+    batch = pa.record_batch([pa.array(c, pa.binary()) for c in rows], names=_PLANTED)
+    found = [row for out in _neighbours(iter([batch.slice(0, members // 2), batch.slice(members // 2)]), DEPTH, True) for row in out.to_pylist()]
+    marked = {row["a"] for row in found if row["dense"]}
+    assert len({(row["a"], row["b"]) for row in found if row["b"]}) == pairs
+    assert len(marked) == dense
+
+
+def test_components_end_with_stars(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(components, "saved", lambda df, purpose, saved=components.saved: rounds.append(purpose) or saved(df, purpose))
+    links = spark.createDataFrame([(2, 1), (1, 3), (5, 4), (3, 3)], "a long, b long")
+    found = dict(map(tuple, connected_components(links).collect()))
+    assert found == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4}
+    assert rounds.count("small-star") == 1
