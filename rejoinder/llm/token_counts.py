@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rejoinder.llm.frames import saved
+from rejoinder.llm.frames import bound_batches, saved
 
 BLOCK_BYTES = 16 << 20
 BLOCK_ROWS = 1 << 16
@@ -175,6 +175,7 @@ def count_tokens(
     """
     import public_tokenizers
 
+    bound_batches(docs.sparkSession)
     special = tuple(t.content for t in tokenizer(path).get_added_tokens_decoder().values())
     pattern = public_tokenizers.PATTERN
     texts = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].alias("text"))

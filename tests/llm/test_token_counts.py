@@ -2,6 +2,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from rejoinder.llm.frames import BATCH_BYTES
 from rejoinder.llm.token_counts import count_tokens
 from tests.llm.conftest import TEXTS, ordered
 
@@ -26,3 +27,13 @@ def test_blocks_of_any_size(spark, block):
 
 def test_no_rows(no_docs):
     assert count_tokens(no_docs, PATH).collect() == []
+
+
+def test_batches_are_bounded(spark, odd_docs):
+    spark.conf.unset(BATCH_BYTES)
+    try:
+        found = count_tokens(odd_docs, PATH)
+        assert spark.conf.get(BATCH_BYTES) == f"{4 << 20}b"
+        assert ordered(map(tuple, found.collect())) == expected(TEXTS)
+    finally:
+        spark.conf.unset(BATCH_BYTES)
