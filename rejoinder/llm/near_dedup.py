@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rejoinder.llm.components import connected_components
-from rejoinder.llm.frames import chunks, discard, saved
+from rejoinder.llm.frames import bound_batches, chunks, discard, saved
 from rejoinder.llm.hashing import mix, shingle_sets, texts_in_chunks
 
 SHINGLE = 5
@@ -399,6 +399,7 @@ def near_duplicates(
 
     The component is the least id among all documents that links lead to.
     """
+    bound_batches(docs.sparkSession)
     texts = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].alias("text"))
     signed = saved(
         texts.mapInArrow(lambda it: _sign(it, size), "doc_id long, n long, node binary, signature binary"), "signatures"

@@ -6,6 +6,7 @@ import pytest
 
 from rejoinder.llm import components
 from rejoinder.llm.components import connected_components
+from rejoinder.llm.frames import BATCH_BYTES
 from rejoinder.llm.hashing import shingle_sets
 from rejoinder.llm.near_dedup import _PLANTED, DEPTH, KEY_VALUES, _neighbours, drop_near_duplicates, near_duplicates
 from tests.llm.conftest import TEXTS
@@ -140,3 +141,13 @@ def test_components_end_with_stars(spark, monkeypatch):
     found = dict(map(tuple, connected_components(links).collect()))
     assert found == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4}
     assert rounds.count("small-star") == 1
+
+
+def test_batches_are_bounded(spark, odd_docs):
+    spark.conf.unset(BATCH_BYTES)
+    try:
+        found = near_duplicates(odd_docs)
+        assert spark.conf.get(BATCH_BYTES) == f"{4 << 20}b"
+        assert found.count() == len(TEXTS)
+    finally:
+        spark.conf.unset(BATCH_BYTES)
