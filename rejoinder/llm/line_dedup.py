@@ -16,8 +16,9 @@ similarity of ``PERCENT`` percent or more with it, whether that line stays or no
    leader; what matches is settled. Only lines that are still open are joined with all
    others. The join tests length, position of the shared token, and a 64-bit picture of
    both token sets, of which bits that one side lacks each stand for a missing token.
-4. Pairs that pass are verified on the words themselves, read again from the texts. A
-   fixed table of bits tells which lines are needed, so the others are not shuffled.
+4. Pairs that pass are verified on the words themselves, read again from the texts. Fixed
+   tables of bits tell which texts and lines are needed, so the others are not shuffled.
+   Distinct words are found once per line, so that a pair only costs their intersection.
 
 The bounds on similarity are exact; hashes of tokens are only used to find candidates,
 and, 56 bits of each, in the 128-bit name of a token set.
@@ -147,16 +148,21 @@ def _with_all(classes: DataFrame, open_classes: DataFrame, percent: int) -> Data
     return pairs.filter(f"{_EARLIER} AND {_possible(percent)} AND {roles}").select(*_PAIR).distinct()
 
 
-def _needed_lines(docs: DataFrame, needed: DataFrame) -> DataFrame:
-    """The lines that may be among the needed, by a table of ``BITS`` bits over their places.
+def _may_be_among(rows: DataFrame, needed: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose ``keys`` may be among the needed, by a table of ``BITS`` bits over the keys' hashes.
 
     The table has at most ``BITS`` / 64 rows, so its broadcast is bounded.
     """
-    place = F.xxhash64("doc_id", "line_no").bitwiseAND(BITS - 1)
+    place = F.xxhash64(*keys).bitwiseAND(BITS - 1)
     word, bit = F.expr("cast(p div 64 as int)").alias("w"), F.expr("cast(p & 63 as int)").alias("bit")
     marked = needed.select(place.alias("p")).select(word, bit).groupBy("w").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("m"))
-    lines = _lines(docs).withColumn("p", place).select("*", word, bit)
-    return lines.join(F.broadcast(marked), "w").filter("getbit(m, bit) = 1").select("doc_id", "line_no", "line")
+    found = rows.withColumn("p", place).select("*", word, bit)
+    return found.join(F.broadcast(marked), "w").filter("getbit(m, bit) = 1").select(rows.columns)
+
+
+def _needed_lines(docs: DataFrame, needed: DataFrame) -> DataFrame:
+    """The lines that may be among the needed; texts without any are not parted."""
+    return _may_be_among(_lines(_may_be_among(docs, needed, ["doc_id"])), needed, ["doc_id", "line_no"])
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -164,15 +170,16 @@ def _verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     ends = [pairs.select(F.col(f"{s}doc_id").alias("doc_id"), F.col(f"{s}line_no").alias("line_no")) for s in "xy"]
     needed = saved(ends[0].union(ends[1]).distinct(), "lines-needed")
     lines = _needed_lines(docs, needed).join(needed.hint("merge"), ["doc_id", "line_no"])
-    # Lines travel as text: a list of words takes several times the bytes in a shuffle.
-    lines = saved(lines.dropDuplicates(["doc_id", "line_no"]).select("doc_id", "line_no", "line"), "line-texts")
+    lines = lines.dropDuplicates(["doc_id", "line_no"])
+    # Exploding a list of one keeps the lines from being parted again for every use.
+    lines = lines.select("doc_id", "line_no", F.explode(F.array(_words("line"))).alias("words"))
+    # A line's distinct words travel as text: a list of words takes several times the bytes in a shuffle.
+    lines = saved(lines.select("doc_id", "line_no", F.size("words").alias("n"), F.array_join("words", " ").alias("line")), "line-texts")
     x, y = (lines.select(*(F.col(c).alias(s + c) for c in lines.columns)) for s in "xy")
     both = pairs.join(x, ["xdoc_id", "xline_no"]).join(y, ["ydoc_id", "yline_no"])
-    # Exploding a list of one keeps the lines from being parted again for every use.
-    words = F.struct(_words("xline").alias("xwords"), _words("yline").alias("ywords"))
-    both = both.select("ydoc_id", "yline_no", F.explode(F.array(words)).alias("w")).select("ydoc_id", "yline_no", "w.*")
-    both = both.withColumn("shared", F.size(F.array_intersect("xwords", "ywords")))
-    similar = both.filter(f"100 * shared >= {percent} * (size(xwords) + size(ywords) - shared)")
+    # Lines meet in several pairs: only what needs both of them is done here, and once.
+    shared = F.size(F.array_intersect(F.split("xline", " "), F.split("yline", " ")))
+    similar = both.filter((100 + percent) * shared >= percent * (F.col("xn") + F.col("yn")))
     return similar.select(F.col("ydoc_id").alias("doc_id"), F.col("yline_no").alias("line_no")).distinct()
 
 
@@ -199,7 +206,8 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def line_report(docs: DataFrame, removed: DataFrame) -> DataFrame:
     """``doc_id, n_lines, removed`` (line numbers, rising) for each row."""
     lists = removed.groupBy("doc_id").agg(F.sort_array(F.collect_list("line_no")).alias("removed"))
-    counted = docs.select("doc_id", F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).alias("n_lines"))
+    breaks = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
+    counted = docs.select("doc_id", F.coalesce(breaks + 1, F.lit(0)).alias("n_lines"))
     empty = F.array().cast("array<int>")
     return counted.join(lists, "doc_id", "left").withColumn("removed", F.coalesce("removed", empty))
 

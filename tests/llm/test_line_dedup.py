@@ -98,3 +98,33 @@ def test_no_python_in_the_plan(spark):
     docs = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
     plan = repeated_lines(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "InArrow" not in plan
+
+
+def test_pairs_cost_one_intersection(spark):
+    rows = [(1, "a b c d e f g h i j\nother"), (2, "A B C D E F G H I J k a"), (3, "a b c d e f g h x y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    pairs = spark.createDataFrame([(1, 0, 2, 0), (1, 0, 3, 0), (2, 0, 3, 0)], "xdoc_id long, xline_no int, ydoc_id long, yline_no int")
+    found = line_dedup._verified(docs, pairs, 90)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_intersect") == 1 and "array_distinct" not in plan
+    assert list(map(tuple, found.collect())) == [(2, 0)]
+
+
+def test_texts_without_needed_lines_are_not_parted(spark, monkeypatch):
+    parted = []
+    monkeypatch.setattr(line_dedup, "_lines", lambda docs, lines=line_dedup._lines: parted.append(docs) or lines(docs))
+    docs = spark.createDataFrame([(k, f"a {k}\nb {k}") for k in range(200)], "doc_id long, text string")
+    needed = spark.createDataFrame([(7, 1), (11, 0)], "doc_id long, line_no int")
+    found = line_dedup._needed_lines(docs, needed)
+    assert {(7, 1, "b 7"), (11, 0, "a 11")} <= set(map(tuple, found.collect()))
+    assert parted[0].count() < 10
+
+
+def test_lines_are_counted_like_parts(spark):
+    rows = [(1, ""), (2, "\n"), (3, "a\n\nb\n"), (4, None), (5, "日本\n語")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    removed = spark.createDataFrame([], "doc_id long, line_no int")
+    report = line_report(docs, removed)
+    assert dict(report.select("doc_id", "n_lines").collect()) == {k: 0 if t is None else len(t.split("\n")) for k, t in rows}
+    assert report.schema["n_lines"].dataType.simpleString() == "int"
+    assert "split" not in report._jdf.queryExecution().optimizedPlan().toString()
