@@ -14,8 +14,9 @@ similarity of ``PERCENT`` percent or more with it, whether that line stays or no
 3. Prefixes: two similar lines share one of their rarest tokens (prefix filter). In
    dense groups each line is first compared with one line per frequent prefix token, its
    leader; what matches is settled. Only lines that are still open are joined with all
-   others. The join tests length, position of the shared token, and a 64-bit picture of
-   both token sets, of which bits that one side lacks each stand for a missing token.
+   others. The join tests length, position of the shared token, and 64-bit pictures of
+   both token sets, of all tokens and of a quarter, of which bits that one side lacks each
+   stand for a missing token.
 4. Pairs that pass are verified on the words themselves, read again from the texts. Fixed
    tables of bits tell which texts and lines are needed, so the others are not shuffled.
    Distinct words are found once per line, so that a pair only costs their intersection.
@@ -42,10 +43,11 @@ PERCENT = 90
 COUNTERS = 1 << 16
 BITS = 1 << 23
 LEADER_ROWS = 64
+_HASHES = {"parquet.enable.dictionary": "false"}  # hardly any value comes twice
 
 
 def _spaced(line: str) -> str:
-    return f"lower(if(instr({line}, '\\t') > 0 or instr({line}, '\\r') > 0, translate({line}, '\\t\\r', '  '), {line}))"
+    return f"lower(if(contains({line}, '\\t') or contains({line}, '\\r'), translate({line}, '\\t\\r', '  '), {line}))"
 
 
 def _words(line: str) -> Column:
@@ -70,15 +72,15 @@ def _ranked(docs: DataFrame, percent: int) -> DataFrame:
     """Lines with the name of their token set, its size, prefix of rarest tokens and picture."""
     levels = F.split(F.lit(_rarity(docs)), ",").cast("array<bigint>")  # folded to one constant
 
-    def rank(word: Column) -> Column:
+    def rank(x: Column) -> Column:
         # Rarest first: the level above 56 bits of the hash. Few steps, for each is interpreted word by word.
-        x = F.xxhash64(word)
         level = F.get(levels, x.bitwiseAND(COUNTERS - 1).cast("int"))
         return F.shiftleft(level, 56).bitwiseOR(F.shiftrightunsigned(x, 8))
 
     lines = _lines(docs).filter(F.octet_length("line") > 0)
     words = F.split(F.expr(_spaced("line")), " ")
-    hashes = F.array_remove(F.sort_array(F.array_distinct(F.transform(words, rank))), rank(F.lit("")))
+    hashes = F.array_remove(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
+    hashes = F.sort_array(F.transform(hashes, rank))
     # Exploding a list of one keeps the filter below from hashing every line a second time.
     tokens = lines.select("doc_id", "line_no", F.explode(F.array(hashes)).alias("h"))
     # Sets of n and n + 1 tokens are the most alike of those that differ, at n to n + 1.
@@ -86,23 +88,25 @@ def _ranked(docs: DataFrame, percent: int) -> DataFrame:
     prefix = F.slice("h", 1, F.expr(f"if({may_differ}, cast(size(h) - ({percent} * size(h) + 99) div 100 + 1 as int), 0)"))
     # A shift by a whole number goes by its last six bits.
     picture = "aggregate(h, 0L, (a, x) -> a | shiftleft(1L, cast(shiftright(x, 40) as int)))"
+    # Lines of many words fill a picture; one of a quarter of their words still tells them apart.
+    sparse = "aggregate(h, 0L, (a, x) -> if(x & 3 = 0, a | shiftleft(1L, cast(shiftright(x, 34) as int)), a))"
     return tokens.filter(F.size("h") > 0).select(
         F.xxhash64("h").alias("h1"), F.xxhash64(F.lit(1), "h").alias("h2"), "doc_id", "line_no",
-        F.size("h").alias("n"), prefix.alias("prefix"), F.expr(picture).alias("picture"),
+        F.size("h").alias("n"), prefix.alias("prefix"), F.expr(picture).alias("picture"), F.expr(sparse).alias("sparse"),
     )
 
 
 def _classes(ranked: DataFrame) -> DataFrame:
     """One row per token set, with the place of its first line."""
     rows = ranked.withColumn("at", F.struct("doc_id", "line_no"))
-    found = rows.groupBy("h1", "h2").agg(F.min("at").alias("at"), *(F.first(c).alias(c) for c in ("n", "prefix", "picture")))
-    return found.select("h1", "h2", "at.doc_id", "at.line_no", "n", "prefix", "picture")
+    found = rows.groupBy("h1", "h2").agg(F.min("at").alias("at"), *(F.first(c).alias(c) for c in ("n", "prefix", "picture", "sparse")))
+    return found.select("h1", "h2", "at.doc_id", "at.line_no", "n", "prefix", "picture", "sparse")
 
 
 def _prefix_rows(classes: DataFrame, side: str, shorter: str | None = None) -> DataFrame:
-    rows = classes.select("doc_id", "line_no", "n", "picture", F.posexplode("prefix").alias("i", "token"))
+    rows = classes.select("doc_id", "line_no", "n", "picture", "sparse", F.posexplode("prefix").alias("i", "token"))
     rows = rows.filter(shorter) if shorter else rows
-    return rows.select("token", *(F.col(c).alias(side + c) for c in ("doc_id", "line_no", "n", "picture", "i")))
+    return rows.select("token", *(F.col(c).alias(side + c) for c in ("doc_id", "line_no", "n", "picture", "sparse", "i")))
 
 
 def _shorter_prefix(percent: int, side: str = "") -> str:
@@ -112,14 +116,11 @@ def _shorter_prefix(percent: int, side: str = "") -> str:
 
 
 def _possible(percent: int) -> str:
-    """That lines ``x`` and ``y`` can be similar, by length and picture."""
+    """That lines ``x`` and ``y`` can be similar, by length and pictures."""
     total = 100 + percent
     need = f"{percent} * (xn + yn)"
-    return (
-        f"100 * least(xn, yn) >= {percent} * greatest(xn, yn)"
-        f" AND {total} * (xn - bit_count(xpicture & ~ypicture)) >= {need}"
-        f" AND {total} * (yn - bit_count(ypicture & ~xpicture)) >= {need}"
-    )
+    seen = [f"{total} * ({a}n - bit_count({a}{c} & ~{b}{c})) >= {need}" for c in ("picture", "sparse") for a, b in ("xy", "yx")]
+    return " AND ".join([f"100 * least(xn, yn) >= {percent} * greatest(xn, yn)", *seen])
 
 
 _EARLIER = "(xdoc_id < ydoc_id OR (xdoc_id = ydoc_id AND xline_no < yline_no))"
@@ -132,8 +133,8 @@ def _with_leaders(classes: DataFrame, percent: int) -> DataFrame:
     counts = rows.groupBy("token").agg(F.count(F.lit(1)).alias("rows"), F.min("ydoc_id").alias("xdoc_id"))
     frequent = saved(counts.filter(F.col("rows") > LEADER_ROWS).drop("rows"), "frequent-tokens")
     own = rows.join(frequent, "token").filter("ydoc_id = xdoc_id")
-    first = own.groupBy("token", "xdoc_id").agg(F.min(F.struct("yline_no", "yn", "ypicture")).alias("m"))
-    leaders = saved(first.select("token", "xdoc_id", *(F.col(f"m.y{c}").alias(f"x{c}") for c in ("line_no", "n", "picture"))), "line-leaders")
+    first = own.groupBy("token", "xdoc_id").agg(F.min(F.struct("yline_no", "yn", "ypicture", "ysparse")).alias("m"))
+    leaders = saved(first.select("token", "xdoc_id", *(F.col(f"m.y{c}").alias(f"x{c}") for c in ("line_no", "n", "picture", "sparse"))), "line-leaders")
     return rows.join(leaders, "token").filter(f"{_EARLIER} AND {_possible(percent)}").select(*_PAIR).distinct()
 
 
@@ -186,8 +187,8 @@ def _verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
 def repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc_id, line_no`` (from 0) of the lines to remove, from ``doc_id, text``."""
     texts = docs.select("doc_id", "text")
-    ranked = saved(_ranked(texts, percent), "lines")
-    classes = saved(_classes(ranked), "line-classes")
+    ranked = saved(_ranked(texts, percent), "lines", **_HASHES)
+    classes = saved(_classes(ranked), "line-classes", **_HASHES)
     place = ["doc_id", "line_no"]
     pairs = saved(_with_leaders(classes, percent), "leader-pairs")
     first = saved(_verified(texts, pairs, percent), "lines-settled")

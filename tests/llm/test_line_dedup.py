@@ -110,6 +110,23 @@ def test_pairs_cost_one_intersection(spark):
     assert list(map(tuple, found.collect())) == [(2, 0)]
 
 
+def test_long_lines_are_told_apart_before_their_words_are_read(spark):
+    rng = random.Random(4)
+    pool = [f"w{i}" for i in range(1000)]
+    rows = []
+    for i in range(40):
+        words = rng.sample(pool, 140) + [f"rare{i // 2}x{j}" for j in range(10)]
+        rng.shuffle(words)
+        rows.append((i, " ".join(words)))
+    rows += [(40 + i, rows[i][1] + " more") for i in range(0, 40, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    classes = line_dedup._classes(line_dedup._ranked(docs, 90))
+    pairs = line_dedup._with_all(classes, classes, 90)
+    found = {(r.xdoc_id, r.ydoc_id) for r in pairs.collect()}
+    assert {(i, 40 + i) for i in range(0, 40, 8)} <= found and len(found) < 12
+    check(spark, rows)
+
+
 def test_texts_without_needed_lines_are_not_parted(spark, monkeypatch):
     parted = []
     monkeypatch.setattr(line_dedup, "_lines", lambda docs, lines=line_dedup._lines: parted.append(docs) or lines(docs))
