@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -70,3 +71,38 @@ def test_long_texts_are_cut_into_overlapping_pieces():
 
 def test_no_rows(no_docs):
     assert remove_repeats(no_docs).collect() == []
+
+
+def test_ranges_are_those_of_the_upper_bits():
+    rng = np.random.default_rng(6)
+    for ranges in (1, 3, 64, 1000):
+        edges = np.array([-(-(p << 32) // ranges) << 32 for p in range(ranges)], np.uint64)
+        hashes = np.concatenate([edges, edges[1:] - np.uint64(1), rng.integers(0, 2**64, 500, np.uint64), edges[:2]])
+        known, times = np.unique(hashes, return_counts=True)
+        part = ((known >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+        found = [suffix_dedup._received(blob) if blob else ([], []) for blob in suffix_dedup._ranges(hashes, ranges)]
+        assert [len(h) for h, _ in found] == np.bincount(part.astype(int), minlength=ranges).tolist()
+        assert np.concatenate([h for h, _ in found]).tolist() == known.tolist()
+        assert np.concatenate([o for _, o in found]).tolist() == (times > 1).tolist()
+
+
+def test_hashes_of_a_block_that_repeats_are_held_few_times():
+    names = np.random.default_rng(7).integers(0, 2**64, 1 << 18, np.uint64)
+    sent = [suffix_dedup._received(blob)[0] for blob in suffix_dedup._ranges(names.copy(), 64)]
+    block = suffix_dedup._Block.__new__(suffix_dedup._Block)
+    block.answers = {(2, p): np.packbits(h % np.uint64(2) == 0).tobytes() for p, h in enumerate(sent)}
+    wanted = np.unique(names[names % np.uint64(2) == 0])
+    tracemalloc.start()
+    found = block.several(names, 2, 64)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.tolist() == wanted.tolist() and most < 3 * names.nbytes
+
+
+def test_small_partitions_share_blocks(spark, monkeypatch):
+    blocks = []
+    monkeypatch.setattr(suffix_dedup, "saved", lambda df, purpose, saved=suffix_dedup.saved: blocks.append(saved(df, purpose)) or blocks[-1])
+    docs = spark.createDataFrame([(i, f"{i} " + "ab" * 250) for i in range(200)], "doc_id long, text string").repartition(100)
+    found = remove_repeats(docs).collect()
+    assert len(found) == 200 and all(r.spans for r in found)
+    assert blocks[0].count() <= 3 * spark.sparkContext.defaultParallelism < 100
