@@ -15,8 +15,8 @@ similarity of ``PERCENT`` percent or more with it, whether that line stays or no
    dense groups each line is first compared with one line per frequent prefix token, its
    leader; what matches is settled. Only lines that are still open are joined with all
    others. The join tests length, position of the shared token, and 64-bit pictures of
-   both token sets, of all tokens and of a quarter, of which bits that one side lacks each
-   stand for a missing token.
+   both token sets, of all tokens and in long lines of a quarter, of which bits that one
+   side lacks each stand for a missing token.
 4. Pairs that pass are verified on the words themselves, read again from the texts. Fixed
    tables of bits tell which texts and lines are needed, so the others are not shuffled.
    Distinct words are found once per line, so that a pair only costs their intersection.
@@ -36,13 +36,16 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from rejoinder.llm.frames import discard, saved
 
 PERCENT = 90
 COUNTERS = 1 << 16
 BITS = 1 << 23
+LINES = 1 << 31  # more than a text has
 LEADER_ROWS = 64
+FULL = 64  # tokens; up to here the first picture is enough
 _HASHES = {"parquet.enable.dictionary": "false"}  # hardly any value comes twice
 
 
@@ -60,7 +63,8 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 def _rarity(docs: DataFrame) -> str:
     """For each counter a level up to 127 that rises with the logarithm of its count."""
-    words = _lines(docs).select(F.explode(F.split(F.lower("line"), " ")).alias("word"))
+    texts = docs.filter("doc_id IS NOT NULL").select(F.lower(F.replace("text", F.lit("\n"), F.lit(" "))).alias("text"))
+    words = texts.select(F.explode(F.split("text", " ")).alias("word"))
     counts = words.groupBy((F.xxhash64("word").bitwiseAND(COUNTERS - 1)).alias("b")).count().collect()
     table = [0] * COUNTERS
     for row in counts:  # one row per counter, at most COUNTERS
@@ -89,7 +93,7 @@ def _ranked(docs: DataFrame, percent: int) -> DataFrame:
     # A shift by a whole number goes by its last six bits.
     picture = "aggregate(h, 0L, (a, x) -> a | shiftleft(1L, cast(shiftright(x, 40) as int)))"
     # Lines of many words fill a picture; one of a quarter of their words still tells them apart.
-    sparse = "aggregate(h, 0L, (a, x) -> if(x & 3 = 0, a | shiftleft(1L, cast(shiftright(x, 34) as int)), a))"
+    sparse = f"if(size(h) > {FULL}, aggregate(h, 0L, (a, x) -> if(x & 3 = 0, a | shiftleft(1L, cast(shiftright(x, 34) as int)), a)), 0L)"
     return tokens.filter(F.size("h") > 0).select(
         F.xxhash64("h").alias("h1"), F.xxhash64(F.lit(1), "h").alias("h2"), "doc_id", "line_no",
         F.size("h").alias("n"), prefix.alias("prefix"), F.expr(picture).alias("picture"), F.expr(sparse).alias("sparse"),
@@ -97,10 +101,24 @@ def _ranked(docs: DataFrame, percent: int) -> DataFrame:
 
 
 def _classes(ranked: DataFrame) -> DataFrame:
-    """One row per token set, with the place of its first line."""
-    rows = ranked.withColumn("at", F.struct("doc_id", "line_no"))
-    found = rows.groupBy("h1", "h2").agg(F.min("at").alias("at"), *(F.first(c).alias(c) for c in ("n", "prefix", "picture", "sparse")))
-    return found.select("h1", "h2", "at.doc_id", "at.line_no", "n", "prefix", "picture", "sparse")
+    """One row per token set, with the place of its first line and whether it has others.
+
+    What depends on the name alone is part of the key, and the place is one number if ids are
+    whole: so Spark combines rows in a hash table, where a struct or list among the values
+    makes it sort them.
+    """
+    kind = ranked.schema["doc_id"].dataType
+    if isinstance(kind, IntegralType):
+        place = F.expr(f"cast(doc_id as decimal(20)) * {LINES} + line_no")
+        line_no = f"pmod(at, {LINES})"
+        doc_id = f"cast((at - {line_no}) div {LINES} as {kind.simpleString()})"
+    else:
+        place, doc_id, line_no = F.struct("doc_id", "line_no"), "at.doc_id", "at.line_no"
+    found = ranked.groupBy("h1", "h2", "n", "prefix", "picture", "sparse").agg(F.min(place).alias("at"), F.count(F.lit(1)).alias("rows"))
+    return found.select(
+        "h1", "h2", F.expr(doc_id).alias("doc_id"), F.expr(f"cast({line_no} as int)").alias("line_no"),
+        "n", "prefix", "picture", "sparse", (F.col("rows") > 1).alias("several"),
+    )
 
 
 def _prefix_rows(classes: DataFrame, side: str, shorter: str | None = None) -> DataFrame:
@@ -119,8 +137,10 @@ def _possible(percent: int) -> str:
     """That lines ``x`` and ``y`` can be similar, by length and pictures."""
     total = 100 + percent
     need = f"{percent} * (xn + yn)"
-    seen = [f"{total} * ({a}n - bit_count({a}{c} & ~{b}{c})) >= {need}" for c in ("picture", "sparse") for a, b in ("xy", "yx")]
-    return " AND ".join([f"100 * least(xn, yn) >= {percent} * greatest(xn, yn)", *seen])
+    seen, sparse = (
+        " AND ".join(f"{total} * ({a}n - bit_count({a}{c} & ~{b}{c})) >= {need}" for a, b in ("xy", "yx")) for c in ("picture", "sparse")
+    )
+    return f"100 * least(xn, yn) >= {percent} * greatest(xn, yn) AND {seen} AND (least(xn, yn) <= {FULL} OR ({sparse}))"
 
 
 _EARLIER = "(xdoc_id < ydoc_id OR (xdoc_id = ydoc_id AND xline_no < yline_no))"
@@ -197,11 +217,12 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     pairs = saved(_with_all(classes, still, percent), "line-pairs")
     second = saved(_verified(texts, pairs, percent), "lines-similar")
     discard(pairs)
-    similar = first.unionByName(second).withColumn("similar", F.lit(True))
-    judged = classes.join(similar, place, "left").select("h1", "h2", *(F.col(c).alias("first_" + c) for c in place), "similar")
-    lines = ranked.select("h1", "h2", *place).join(judged, ["h1", "h2"])
-    later = "doc_id > first_doc_id OR (doc_id = first_doc_id AND line_no > first_line_no) OR similar"
-    return lines.filter(later).select(*place).distinct()
+    # A class's later lines go in any case, its first one if it is similar to an earlier line.
+    firsts = classes.filter("several").select("h1", "h2", *(F.col(c).alias("first_" + c) for c in place))
+    lines = ranked.select("h1", "h2", *place).join(firsts, ["h1", "h2"])
+    later = lines.filter("doc_id > first_doc_id OR (doc_id = first_doc_id AND line_no > first_line_no)")
+    # Dealt by document, for what follows goes by document as well.
+    return later.select(*place).union(first).union(second).repartition("doc_id").distinct()
 
 
 def line_report(docs: DataFrame, removed: DataFrame) -> DataFrame:

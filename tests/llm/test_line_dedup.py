@@ -127,6 +127,42 @@ def test_long_lines_are_told_apart_before_their_words_are_read(spark):
     check(spark, rows)
 
 
+def test_classes_are_combined_without_sorting(spark):
+    ids = (-(2**63), -7, 0, 2**63 - 1)
+    docs = spark.createDataFrame([(k, f"same line here\nown {k}\nHERE same line") for k in ids], "doc_id long, text string")
+    classes = line_dedup._classes(line_dedup._ranked(docs, 90))
+    plan = classes._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    found = {(r.doc_id, r.line_no, r.several) for r in classes.collect()}
+    assert found == {(-(2**63), 0, True), *((k, 1, False) for k in ids)}
+    check(spark, [(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_lines_around_the_length_from_which_a_second_picture_counts(spark):
+    words = [f"w{i}" for i in range(2 * line_dedup.FULL)]
+    sizes = range(line_dedup.FULL - 4, line_dedup.FULL + 5)
+    rows = [(k, " ".join(words[:n])) for k, n in enumerate(sizes)] + [(20 + k, " ".join(["x", *words[1:n]])) for k, n in enumerate(reversed(sizes))]
+    check(spark, rows)
+    ranked = {r.n: r.sparse for r in line_dedup._ranked(spark.createDataFrame(rows, "doc_id long, text string"), 90).collect()}
+    assert {n for n, sparse in ranked.items() if sparse} == {n for n in sizes if n > line_dedup.FULL}
+
+
+def test_ids_of_any_kind(spark):
+    texts = ["same line here\nown one", "HERE same line\nown two"]
+    for kind, ids in (("int", (-4, 3)), ("string", ("a", "b"))):
+        found = repeated_lines(spark.createDataFrame(list(zip(ids, texts)), f"doc_id {kind}, text string"))
+        assert found.schema["doc_id"].dataType.simpleString() == kind and list(map(tuple, found.collect())) == [(ids[1], 0)]
+
+
+def test_lines_are_found_with_one_look_at_their_classes(spark):
+    docs = spark.createDataFrame([(1, "a b c\nd"), (2, "C b a\ne"), (2, "C b a\ne")], "doc_id long, text string")
+    found = repeated_lines(docs)
+    report = line_report(docs, found)
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 2  # of lines with the classes of several, of documents with their lists
+    assert {(r.doc_id, *r.removed) for r in report.collect()} == {(1,), (2, 0)}
+
+
 def test_texts_without_needed_lines_are_not_parted(spark, monkeypatch):
     parted = []
     monkeypatch.setattr(line_dedup, "_lines", lambda docs, lines=line_dedup._lines: parted.append(docs) or lines(docs))
